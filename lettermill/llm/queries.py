@@ -1,21 +1,53 @@
 """The registered queries of the training-data operators and their SQL."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lettermill.llm.common import table
+from lettermill.llm.decontamination import benchmark_hits
 from lettermill.llm.exact_dedup import exact_dedup
+from lettermill.llm.packing import place_pieces, token_pieces
+from lettermill.llm.quality import fit_quality, quality_grades, score_quality
 from lettermill.llm.sharding import stratified_shards
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+    placed = place_pieces(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, quality_grades(table(spark, sf_dir, "labels")), 3)
+    return score_quality(docs, model).drop("text")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_shards(table(spark, sf_dir, "documents"), 24, seed=7)
 
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op7_sharding": op7_sharding}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op2_packing": op2_packing,
+    "op4_quality": op4_quality,
+    "op7_sharding": op7_sharding,
+    "op9_decontamination": op9_decontamination,
+}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
