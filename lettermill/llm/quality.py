@@ -1,5 +1,6 @@
 """Ordinal cumulative-link regression of graded ratings on hashed text."""
 
+import operator
 import typing
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -14,39 +15,45 @@ from pyspark.sql import functions as F
 
 #: Hash buckets of words and, behind them, of word shapes.
 WORDS, SHAPES = 1 << 18, 1 << 10
+#: Bucket of the share of words that repeat the word before them.
+REPEATS = WORDS + SHAPES
+#: ASCII marks, which don't belong to a word.
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 #: Bound of the labelled rows that are fitted on.
-MAX_TRAIN = 5000
+MAX_TRAIN = 8000
 #: A document stays when its tail probability of the best grade reaches this.
-KEEP_FROM = 0.35
+KEEP_FROM = 0.4
 
 
 @dataclass
 class OrdinalModel:
-    """P(grade <= k) = sigmoid(thresholds[k] - score); score: summed weights of a text's distinct words plus the mean weight of its words' shapes."""
+    """P(grade <= k) = sigmoid(thresholds[k] - score); score: summed weights of a text's distinct words plus ten times the mean weight of its words' shapes and repeats."""
 
     weights: np.ndarray
     thresholds: np.ndarray
 
 
 def word_bucket(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word.lower()) % WORDS
+    return xxhash.xxh3_64_intdigest(word.lower().strip(MARKS)) % WORDS
 
 
 def shape_bucket(word: bytes) -> int:
     """Shape: what stands before and behind the letters and digits, and the word's case and length class."""
-    core = word.strip(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    core = word.strip(MARKS)
     at = word.find(core) if core else len(word)
     case = b"U" if core.isupper() and len(core) > 1 else b"D" if core.isdigit() else b"l"
     return WORDS + xxhash.xxh3_64_intdigest(b"|".join([word[:at][:4], case, b"%d" % min(len(core), 12), word[at + len(core) :][:4]])) % SHAPES
 
 
 def features(text: bytes) -> tuple[list[int], list[float]]:
-    """Sparse features of one text: 1 for each word bucket, and for each shape ten times its share of the words."""
+    """Sparse features of one text: 1 for each word bucket, and for each shape ten times its share of the words, likewise for repeats."""
     words = text.split()
     found = dict.fromkeys({word_bucket(w) for w in set(words)}, 1.0)
     for w in words:
         s = shape_bucket(w)
         found[s] = found.get(s, 0.0) + 10 / len(words)
+    if words:
+        found[REPEATS] = 10 * sum(map(operator.eq, words, words[1:])) / len(words)
     return list(found), list(found.values())
 
 
@@ -54,9 +61,9 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(rows: list[tuple[list[int], list[float], int]], n_grades: int, steps: int = 250, l2: float = 2e-4, min_docs: int = 3) -> OrdinalModel:
+def fit_ordinal(rows: list[tuple[list[int], list[float], int]], n_grades: int, steps: int = 250, l2: float = 1e-3, min_docs: int = 5) -> OrdinalModel:
     """Full-batch Adam on the log likelihood. Buckets of fewer than min_docs rows get no weight."""
-    weights = np.zeros(WORDS + SHAPES)
+    weights = np.zeros(WORDS + SHAPES + 1)
     thresholds = np.linspace(-1.0, 1.0, n_grades - 1) if n_grades > 2 else np.zeros(1)
     if not rows:
         return OrdinalModel(weights, thresholds)
@@ -111,6 +118,7 @@ def score_column(spark: SparkSession, text: Column, model: OrdinalModel) -> Colu
     @F.pandas_udf("double")
     def score(batches: typing.Iterator[pd.Series]) -> typing.Iterator[pd.Series]:
         weights = shared.value
+        repeats = float(weights[REPEATS])
         memo: dict[bytes, tuple[float, float]] = {}
         for batch in batches:
             out = []
@@ -120,8 +128,8 @@ def score_column(spark: SparkSession, text: Column, model: OrdinalModel) -> Colu
                     memo.clear()
                 for w in set(words).difference(memo):
                     memo[w] = float(weights[word_bucket(w)]), float(weights[shape_bucket(w)])
-                lowered = {w.lower(): w for w in set(words)}
-                out.append(sum(memo[w][0] for w in lowered.values()) + (10 * sum(memo[w][1] for w in words) / len(words) if words else 0.0))
+                lowered = {w.lower().strip(MARKS): w for w in set(words)}
+                out.append(sum(memo[w][0] for w in lowered.values()) + (10 * (sum(memo[w][1] for w in words) + repeats * sum(map(operator.eq, words, words[1:]))) / len(words) if words else 0.0))
             yield pd.Series(out, dtype="float64")
 
     return score(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
