@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lettermill.llm.common import table
 from lettermill.llm.decontamination import benchmark_hits
 from lettermill.llm.exact_dedup import exact_dedup
+from lettermill.llm.neardup import jaccard_components
 from lettermill.llm.packing import place_pieces, token_pieces
 from lettermill.llm.quality import fit_quality, quality_grades, score_quality
 from lettermill.llm.sharding import stratified_shards
@@ -27,6 +28,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), 3, (90, 100))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_quality(docs, quality_grades(table(spark, sf_dir, "labels")), 3)
@@ -44,6 +49,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_quality": op4_quality,
     "op7_sharding": op7_sharding,
     "op9_decontamination": op9_decontamination,
