@@ -8,6 +8,7 @@ from lettermill.llm.decontamination import benchmark_hits
 from lettermill.llm.exact_dedup import exact_dedup
 from lettermill.llm.neardup import jaccard_components
 from lettermill.llm.packing import place_pieces, token_pieces
+from lettermill.llm.pii import KINDS, find_pii
 from lettermill.llm.quality import fit_quality, quality_grades, score_quality
 from lettermill.llm.sharding import stratified_shards
 
@@ -38,6 +39,15 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).drop("text")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    order = F.array(*map(F.lit, KINDS))
+    place = lambda s: F.struct(F.array_position(order, s["kind"]).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
+    joined = lambda spans: F.array_join(F.transform(F.array_sort(F.transform(spans, place)), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.expr(f"bigint(size(filter(base, s -> s.kind = '{k}')))").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_shards(table(spark, sf_dir, "documents"), 24, seed=7)
 
@@ -51,6 +61,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_quality": op4_quality,
+    "op5_pii": op5_pii,
     "op7_sharding": op7_sharding,
     "op9_decontamination": op9_decontamination,
 }
