@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lettermill.llm.common import table
 from lettermill.llm.decontamination import benchmark_hits
 from lettermill.llm.exact_dedup import exact_dedup
+from lettermill.llm.katz import katz_scores
 from lettermill.llm.neardup import jaccard_components
 from lettermill.llm.packing import place_pieces, token_pieces
 from lettermill.llm.pii import KINDS, find_pii
@@ -48,6 +49,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_shards(table(spark, sf_dir, "documents"), 24, seed=7)
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_quality": op4_quality,
     "op5_pii": op5_pii,
+    "op6_katz": op6_katz,
     "op7_sharding": op7_sharding,
     "op9_decontamination": op9_decontamination,
 }
