@@ -1,6 +1,7 @@
 """Best-fit packing of tokenised documents into sequences by the sum-of-squares rule."""
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,20 +13,42 @@ from lettermill.llm.common import materialize
 #: White space that the tokenizer drops; str.split() also splits at \x1c-\x1f, which the tokenizer reads as symbols.
 SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
-#: A word of ASCII letters and marks behind it are encoded apart by the tokenizer, whatever the case of the letters.
-PLAIN = re.compile("([A-Za-z]+)([.,;:!?|]+)?")
+#: Letters and ASCII marks behind them, which the tokenizer encodes apart. Apostrophes can go with letters and are left to the tokenizer.
+PLAIN = re.compile(r"""([^\W\d_]+)([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)?""")
 #: Pieces that one packing task takes on average.
 GROUP_PIECES = 20_000
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class ChunkIds(dict):
-    """Text between white space -> its token ids as little-endian 32-bit bytes; the tokenizer never joins across white space. Bounded."""
+    """Text between white space -> its token ids as little-endian 32-bit bytes; the tokenizer never joins across white space. Bounded.
+
+    The vocabulary has far more chunks than words, so words are remembered apart
+    from the marks behind them, and a word goes straight to the BPE model.
+    """
 
     def __init__(self, path: str, bound: int = 300_000):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.bound = Tokenizer.from_file(path), bound
+        self.tokenizer, self.bound, self.parts, self.letters = Tokenizer.from_file(path), bound, {}, byte_letters()
+        self.model = self.tokenizer.model
+
+    def part(self, text: str) -> bytes:
+        """Ids of lower-case letters, or of marks."""
+        ids = self.parts.get(text)
+        if ids is None:
+            if len(self.parts) >= self.bound:
+                self.parts.clear()
+            shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+            ids = self.parts[text] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+        return ids
 
     def encode(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
@@ -34,8 +57,10 @@ class ChunkIds(dict):
         if len(self) >= self.bound:
             self.clear()
         plain = PLAIN.fullmatch(chunk)
-        if plain and (plain[2] or not chunk.islower()):
-            ids = self[plain[1].lower()] + (self[plain[2]] if plain[2] else b"")
+        word = plain[1].lower() if plain else ""
+        # a final sigma is lowered in another way, and letters that compose change under NFC
+        if plain and (word.isascii() or "\u03a3" not in chunk and word.isalpha() and unicodedata.is_normalized("NFC", plain[1])):
+            ids = self.part(word) + (self.part(plain[2]) if plain[2] else b"")
         else:
             ids = self.encode(chunk)
         self[chunk] = ids

@@ -11,6 +11,7 @@ from lettermill.llm.neardup import jaccard_components
 from lettermill.llm.packing import place_pieces, token_pieces
 from lettermill.llm.pii import KINDS, find_pii
 from lettermill.llm.quality import fit_quality, quality_grades, score_quality
+from lettermill.llm.secrets import scan_secrets
 from lettermill.llm.sharding import stratified_shards
 
 
@@ -57,6 +58,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_shards(table(spark, sf_dir, "documents"), 24, seed=7)
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), F.round("probability", 9).alias("probability"), "is_secret")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,6 +75,7 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_katz": op6_katz,
     "op7_sharding": op7_sharding,
+    "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
 }
 
