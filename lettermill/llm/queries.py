@@ -7,6 +7,7 @@ from lettermill.llm.common import table
 from lettermill.llm.decontamination import benchmark_hits
 from lettermill.llm.exact_dedup import exact_dedup
 from lettermill.llm.katz import katz_scores
+from lettermill.llm.lines import similar_lines
 from lettermill.llm.neardup import jaccard_components
 from lettermill.llm.packing import place_pieces, token_pieces
 from lettermill.llm.pii import KINDS, find_pii
@@ -67,6 +68,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -77,6 +82,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL = {
