@@ -1,13 +1,51 @@
-"""Corpus pipeline: documents through five of the training-data operators."""
+"""Corpus pipeline: documents through five of the training-data operators, each stage on all that the one before kept."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from lettermill.llm.common import table
+from lettermill.llm.decontamination import decontaminate
+from lettermill.llm.exact_dedup import drop_exact_copies
+from lettermill.llm.neardup import drop_near_copies
+from lettermill.llm.packing import place_pieces, token_pieces
+from lettermill.llm.quality import fit_quality, quality_grades, score_quality
+from lettermill.llm.queries import tokenizer_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of the best grade is high enough; fitted on rated ones."""
+    model = fit_quality(docs, quality_grades(table(spark, sf_dir, "labels")), 3)
+    return score_quality(docs, model, prefix="__").where("__keep").select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each text."""
+    return drop_exact_copies(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a similarity of 0.8."""
+    return drop_near_copies(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in sequences of 2048 tokens."""
+    pieces = token_pieces(docs, tokenizer_path()).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return place_pieces(pieces)
+
+
+STAGES = [("quality", quality), ("exact", exact), ("near", near), ("benchmark", benchmark), ("packing", packing)]
+#: Trained scores and tokenisation have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
