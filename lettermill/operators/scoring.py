@@ -68,7 +68,9 @@ def sequence_scores(pairs: DataFrame, scores: DataFrame, seqs: DataFrame, keys:
     fold; the sequences that have none of the k-mers have total 0.
     """
     shared = [c for c in seqs.columns if c != "seq_id"]
-    hits = pairs.join(scores.select(*keys, "kmer", "score"), "kmer").groupBy(*keys, "seq_id").agg(F.sum("score").alias("total"))
+    # a sequence meets the scores of its own folds only
+    own = pairs.join(seqs, "seq_id") if shared else pairs
+    hits = own.join(scores.select(*keys, "kmer", "score"), [*shared, "kmer"]).groupBy(*keys, "seq_id").agg(F.sum("score").alias("total"))
     models = scores.select(*keys).distinct()
     # the result has a row for every sequence and model
     grid = seqs.join(models, shared) if shared else seqs.join(F.broadcast(models), F.lit(True))
