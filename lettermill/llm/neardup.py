@@ -286,27 +286,20 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: tuple[int, int]
     dealt = materialize(dealt.select("x", "size", F.xxhash64("p", F.least("i", "j"), F.greatest("i", "j")).alias("task")), "dealt")
     n_tasks = max(1, -(-dealt.count() // TASK_ROWS))
     dealt = dealt.select("x", F.pmod("task", F.lit(n_tasks)).alias("task")).distinct()
-    wanted = dealt.select("x").distinct()
-
-    def as_sets(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        hashes = WordHashes()
-        for batch in batches:
-            sets = [shingle_set(hashes.of(t), k).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["x", "own"])
-
-    sets = texts.join(wanted, texts["doc_id"] == wanted["x"], "left_semi").dropDuplicates(["doc_id"]).mapInArrow(as_sets, "x long, own binary")
 
     def search(table):
         import pyarrow as pa
 
-        x = table.column("x").to_pylist()
-        tree = CountTree([np.frombuffer(s, np.uint64) for s in table.column("own").to_pylist()], num, den)
+        hashes = WordHashes()
+        texts = dict(zip(table.column("x").to_pylist(), table.column("text").to_pylist(), strict=True))
+        x = sorted(texts)
+        tree = CountTree([shingle_set(hashes.of(texts[i]), k) for i in x], num, den)
         links = tree.links()
         return pa.table({"a": pa.array([x[i] for i, _ in links], pa.int64()), "b": pa.array([x[j] for _, j in links], pa.int64())})
 
-    links = dealt.join(sets, "x").groupBy("task").applyInArrow(search, "a long, b long")
+    # texts move once to their ids and those that meet others once more to their tasks; sets are made anew there, as texts compress and hashes don't
+    meeting = texts.join(dealt.hint("shuffle_hash"), F.col("doc_id") == F.col("x")).select("x", "task", "text")
+    links = meeting.groupBy("task").applyInArrow(search, "a long, b long")
     components = connected_components(links)
     joined = rows.join(F.broadcast(classes.where(F.col("members") > max(2, rows.count() // 1000))).select("hi", "lo", F.col("class_id").alias("hot_id")), ["hi", "lo"], "left")
     hot = joined.where("hot_id IS NOT NULL").select("doc_id", "n", F.col("hot_id").alias("class_id"))
