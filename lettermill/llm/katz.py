@@ -4,9 +4,10 @@ Counting and scoring meet in one shuffle. Documents are dealt into groups of
 bounded size; a group asks each bucket of bigrams for the counts of its distinct
 bigrams and brings its own training counts along. Buckets hold whole contexts,
 so they know what backoff weights need; contexts too frequent for one bucket are
-spread over all and summed apart. Keys travel packed, not as rows.
+spread over all and summed apart. Keys travel packed, not as rows; a bucket's table of bigrams is stored the same way.
 """
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ K = 5
 #: Words that a broadcast vocabulary may have (12 bytes each); beyond, score_by_joins() does the work.
 MAX_VOCABULARY = 8_000_000
 #: Text bytes of a group, training tokens of a bucket; a context with more than 1 / HOT of the tokens is spread over the buckets.
-GROUP_BYTES, BUCKET_TOKENS, HOT = 24_000_000, 1_000_000, 2000
+GROUP_BYTES, BUCKET_TOKENS, HOT = 10_000_000, 1_000_000, 2000
 #: Stands for the end of a text; no word has a space.
 END = b" "
 
@@ -43,6 +44,23 @@ def discounted(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
     return counts * np.where(counts <= K, d[np.minimum(counts, K)], 1.0)
 
 
+def squeezed(keys: np.ndarray) -> bytes:
+    """Sorted keys as compressed differences, their bytes of equal place side by side."""
+    return zlib.compress(np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def spread(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def squeezed_counts(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<u4").tobytes(), 1)
+
+
+def spread_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), "<u4")
+
+
 @dataclass
 class Vocabulary:
     """Words of the training texts (sorted 64-bit hashes) with counts; ids follow this order, then the start of a text, then unknown words."""
@@ -74,7 +92,7 @@ class Vocabulary:
 
 
 class WordIds(dict):
-    def __init__(self, vocabulary: Vocabulary, bound: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, bound: int = 250_000):
         super().__init__()
         self.vocabulary, self.bound = vocabulary, bound
 
@@ -194,7 +212,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         parts = [(b, order[cuts[b] : cuts[b + 1]]) for b in range(n_buckets) if cuts[b] < cuts[b + 1]]
         group = table.column("grp")[0].as_py()
-        return pa.table({"grp": pa.array([group] * len(parts), pa.int64()), "bucket": pa.array([b for b, _ in parts], pa.int64()), "keys": pa.array([keys[p].tobytes() for _, p in parts], pa.binary()), "counts": pa.array([train[p].tobytes() for _, p in parts], pa.binary())})
+        return pa.table({"grp": pa.array([group] * len(parts), pa.int64()), "bucket": pa.array([b for b, _ in parts], pa.int64()), "keys": pa.array([squeezed(keys[p]) for _, p in parts], pa.binary()), "counts": pa.array([squeezed_counts(train[p]) for _, p in parts], pa.binary())})
 
     asked = grouped.groupBy("grp").applyInArrow(ask, "grp long, bucket long, keys binary, counts binary")
 
@@ -203,12 +221,12 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         own = shared.value
         hot = own.hot()
-        parts = [(np.frombuffer(k, np.uint64), np.frombuffer(c, "<u4")) for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True)]
+        parts = [(spread(k), spread_counts(c)) for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True)]
         keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
         counts = np.bincount(at, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
         seen = counts > 0
         contexts, stats = context_stats(keys[seen], counts[seen], own)
-        spread = np.isin(contexts, hot)
+        wide = np.isin(contexts, hot)
         groups = table.column("grp").to_pylist()
         cut = np.cumsum([0, *(len(k) for k, _ in parts)])
         out = {"grp": [], "bucket": [], "counts": [], "contexts": [], "stats": [], "seen": []}
@@ -216,10 +234,10 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             mine = counts[at[cut[i] : cut[i + 1]]]
             # statistics of those contexts of this group that it needs: they back off, or discounts leave them nothing; but for spread ones
             context = (parts[i][0] >> np.uint64(32)).astype(np.int64)
-            used = (np.isin(contexts, context[mine == 0]) | np.isin(contexts, context) & ~stats[:, :K].any(axis=1)) & ~spread
-            for name, value in (("grp", group), ("counts", mine.astype("<u4").tobytes()), ("contexts", contexts[used].tobytes()), ("stats", stats[used].tobytes()), ("seen", None)):
+            used = (np.isin(contexts, context[mine == 0]) | np.isin(contexts, context) & ~stats[:, :K].any(axis=1)) & ~wide
+            for name, value in (("grp", group), ("counts", squeezed_counts(mine)), ("contexts", contexts[used].tobytes()), ("stats", stats[used].tobytes()), ("seen", None)):
                 out[name].append(value)
-        for name, value in (("grp", None), ("counts", counts[seen].astype("<u4").tobytes()), ("contexts", contexts[spread].tobytes()), ("stats", stats[spread].tobytes()), ("seen", keys[seen].tobytes())):
+        for name, value in (("grp", None), ("counts", squeezed_counts(counts[seen])), ("contexts", contexts[wide].tobytes()), ("stats", stats[wide].tobytes()), ("seen", squeezed(keys[seen]))):
             out[name].append(value)
         out["bucket"] = [table.column("bucket")[0].as_py()] * len(out["grp"])
         kinds = pa.schema([("grp", pa.int64()), ("bucket", pa.int64()), ("counts", pa.binary()), ("contexts", pa.binary()), ("stats", pa.binary()), ("seen", pa.binary())])
@@ -234,7 +252,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         for batch in batches:
             for counts, contexts, stats in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                of = np.bincount(np.minimum(np.frombuffer(counts, "<u4"), K + 2), minlength=K + 3)[: K + 2]
+                of = np.bincount(np.minimum(spread_counts(counts), K + 2), minlength=K + 3)[: K + 2]
                 which, rows = np.frombuffer(contexts, np.int64), np.frombuffer(stats).reshape(-1, K + 2)
                 yield pa.RecordBatch.from_arrays([pa.array([-1, *which.tolist()], pa.int64()), pa.array([of.astype(float).tolist(), *rows.tolist()], pa.list_(pa.float64()))], names=["context", "stats"])
 
@@ -259,7 +277,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         which, stats = [np.array(list(of_hot), np.int64)], [np.array(list(of_hot.values())).reshape(-1, K + 2)]
         for b, c, w, s in zip(*(right.column(n).to_pylist() for n in ("bucket", "counts", "contexts", "stats")), strict=True):
-            counts[order[cuts[b] : cuts[b + 1]]] = np.frombuffer(c, "<u4")
+            counts[order[cuts[b] : cuts[b + 1]]] = spread_counts(c)
             which.append(np.frombuffer(w, np.int64))
             stats.append(np.frombuffer(s).reshape(-1, K + 2))
         which, stats = np.concatenate(which), np.concatenate(stats)
