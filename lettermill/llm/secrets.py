@@ -12,10 +12,11 @@ from lettermill.llm.common import materialize
 NAMES = "api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|secret|token|passw(?:or)?d|passwd|pwd|credentials?|auth"
 #: Shapes that providers document; fixed values.
 KNOWN = r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9a-zA-Z]{24,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-#: A candidate: a known shape, or a long run, or a shorter run that is assigned to a name.
+#: A candidate: a known shape, or a long run, or a shorter run that is assigned to a name. A short look at a character or two goes ahead of
+#: each costly part, since the pattern is tried at every character of the text.
 LONG = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
-ASSIGNED = rf"(?i)(?<=(?:{NAMES.replace('?', '{0,1}')})\s{{0,3}}[:=]\s{{0,3}}[\"']{{0,1}})[A-Za-z0-9+/_.!@#$%^&*-]{{8,}}={{0,2}}"
-CANDIDATE = f"{KNOWN}|{LONG}|{ASSIGNED}"
+ASSIGNED = rf"(?<=[:=\"' ])(?<=[:=]\s{{0,3}}[\"']{{0,1}})(?i)(?<=(?:{NAMES.replace('?', '{0,1}')})\s{{0,3}}[:=]\s{{0,3}}[\"']{{0,1}})[A-Za-z0-9+/_.!@#$%^&*-]{{8,}}={{0,2}}"
+CANDIDATE = f"(?=[Agxse-])(?:{KNOWN})|{LONG}|{ASSIGNED}"
 #: Sizes: labelled findings that are fitted on, dictionary words, findings' neighbourhood in characters.
 MAX_TRAIN, MAX_WORDS, AROUND = 10_000, 5000, 60
 FEATURES = ["n_chars", "digits", "uppers", "marks", "distinct", "transitions", "hex", "coverage", "longest_word", "named", "assigned", "quoted", "known", "path_test", "path_config"]
