@@ -91,24 +91,22 @@ class Vocabulary:
         return np.flatnonzero(np.append(self.counts, self.texts) * HOT > self.tokens)
 
 
-class WordIds(dict):
-    def __init__(self, vocabulary: Vocabulary, bound: int = 250_000):
-        super().__init__()
-        self.vocabulary, self.bound = vocabulary, bound
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.bound:
-            self.clear()
-        v = self.vocabulary
-        key = np.uint64(xxhash.xxh3_64_intdigest(word))
-        at = int(np.searchsorted(v.hashes, key))
-        value = self[word] = at if at < v.size and v.hashes[at] == key else v.unknown
-        return value
-
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        words.append(END)
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+def word_ids(texts: list[bytes], v: Vocabulary) -> list[np.ndarray]:
+    """Word ids of each text, its end included. The distinct words of all are looked up at once."""
+    words = {END}
+    for text in texts:
+        words.update(text.lower().split())
+    words = list(words)
+    keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    at = np.searchsorted(v.hashes, keys)
+    known = np.append(v.hashes, np.uint64(0))[at] == keys
+    ids = dict(zip(words, np.where(known & (at < v.size), at, v.unknown).tolist(), strict=True))
+    out = []
+    for text in texts:
+        own = text.lower().split()
+        own.append(END)
+        out.append(np.fromiter(map(ids.__getitem__, own), np.int64, len(own)))
+    return out
 
 
 def bigrams(ids: list[np.ndarray], start: int) -> np.ndarray:
@@ -202,9 +200,8 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import pyarrow as pa
 
         own = shared.value
-        memo = WordIds(own)
         held = table.column("held_out").to_pylist()
-        ids = [memo.of(t) for t in table.column("text").to_pylist()]
+        ids = word_ids(table.column("text").to_pylist(), own)
         keys, at = np.unique(bigrams(ids, own.start), return_inverse=True)
         train = np.bincount(at, np.repeat(~np.array(held), [len(x) for x in ids]), len(keys)).astype("<u4")
         bucket = buckets_of(keys, own.hot(), n_buckets)
@@ -266,10 +263,9 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import pyarrow as pa
 
         own = shared.value
-        memo = WordIds(own)
         if not left.num_rows:
             return pa.table({n: pa.array([], t) for n, t in (("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()))})
-        ids = [memo.of(t) for t in left.column("text").to_pylist()]
+        ids = word_ids(left.column("text").to_pylist(), own)
         keys, at = np.unique(bigrams(ids, own.start), return_inverse=True)
         bucket = buckets_of(keys, own.hot(), n_buckets)
         counts = np.zeros(len(keys), np.int64)
