@@ -103,7 +103,7 @@ def test_count_tree_links_like_brute_force():
         for _ in range(int(rng.integers(1, 12))):
             sets[len(sets)] = np.unique(np.where(rng.random(len(base)) < 0.04, rng.integers(0, 1 << 60, len(base), dtype=np.uint64), base))
     want = grouped(sets, similar({i: set(s.tolist()) for i, s in sets.items()}, 80, 100))
-    assert grouped(sets, neardup.CountTree(list(sets.values()), 80, 100).links()) == want
+    assert grouped(sets, neardup.CountTree(neardup.count_points(list(sets.values())), 80, 100, list(sets.values())).links()) == want
 
 
 @given
