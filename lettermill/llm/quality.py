@@ -61,22 +61,20 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(rows: list[tuple[list[int], list[float], int]], n_grades: int, steps: int = 250, l2: float = 1e-3, min_docs: int = 5) -> OrdinalModel:
-    """Full-batch Adam on the log likelihood. Buckets of fewer than min_docs rows get no weight."""
+def fit_ordinal(lengths: np.ndarray, at: np.ndarray, value: np.ndarray, grade: np.ndarray, n_grades: int, steps: int = 250, l2: float = 1e-3, min_docs: int = 5) -> OrdinalModel:
+    """Full-batch Adam on the log likelihood. Rows have `lengths` features each, of buckets `at` and values `value`. Buckets of fewer than min_docs rows get no weight."""
     weights = np.zeros(WORDS + SHAPES + 1)
     thresholds = np.linspace(-1.0, 1.0, n_grades - 1) if n_grades > 2 else np.zeros(1)
-    if not rows:
+    if not len(lengths):
         return OrdinalModel(weights, thresholds)
-    lengths = np.array([len(r[0]) for r in rows])
-    at, value, grade = np.concatenate([np.array(r[0], np.int64) for r in rows]), np.concatenate([np.array(r[1]) for r in rows]), np.array([r[2] for r in rows])
-    row = np.repeat(np.arange(len(rows)), lengths)
+    row = np.repeat(np.arange(len(lengths)), lengths)
     seen = np.bincount(at, minlength=len(weights))
     held = (seen >= min_docs)[at]
     used, at = np.unique(at[held], return_inverse=True)
     row, value = row[held], value[held]
     x = np.concatenate([np.zeros(len(used)), [thresholds[0]], np.log(np.diff(thresholds))])
     first, second = np.zeros_like(x), np.zeros_like(x)
-    n, k = len(rows), n_grades - 1
+    n, k = len(lengths), n_grades - 1
     for step in range(1, steps + 1):
         w, cuts = x[: len(used)], x[len(used)] + np.concatenate([[0], np.cumsum(np.exp(x[len(used) + 1 :]))])
         score = np.bincount(row, value * w[at], minlength=n)
@@ -107,8 +105,15 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, n_grades: int, max_train: i
             found = [features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int64())], names=["at", "value", "grade", "id"])
 
-    rows = rated.mapInArrow(extract, "at array<int>, value array<float>, grade int, id long").toArrow().sort_by("id")
-    return fit_ordinal(list(zip(rows["at"].to_pylist(), rows["value"].to_pylist(), rows["grade"].to_pylist(), strict=True)), n_grades)
+    rows = rated.mapInArrow(extract, "at array<int>, value array<float>, grade int, id long").toArrow().sort_by("id").combine_chunks()
+    at, value = (pa_flat(rows[name]) for name in ("at", "value"))
+    lengths = np.concatenate([np.diff(c.offsets.to_numpy()) for c in rows["at"].chunks]) if rows.num_rows else np.zeros(0, np.int64)
+    return fit_ordinal(lengths, at, value, rows["grade"].to_numpy(), n_grades)
+
+
+def pa_flat(column) -> np.ndarray:
+    """All items of a list column."""
+    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]) if len(column) else np.zeros(0, np.int64)
 
 
 def score_column(spark: SparkSession, text: Column, model: OrdinalModel) -> Column:
