@@ -13,6 +13,7 @@
 """
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from lettermill.llm.components import connected_components
 #: Ratio of the size classes; a pair belongs to the class of its larger set.
 CLASS_RATIO = 1.6
 #: Coordinates of a count vector, points of a leaf, children of a node.
-DIMS, LEAF, FANOUT = 64, 32, 8
+DIMS, LEAF, FANOUT = 256, 32, 8
 #: Members of one block of a large meeting; a task compares two blocks.
 BLOCK = 1024
 #: Rows that a comparing task takes on average, and routing keys that a routing bucket takes on average.
@@ -82,13 +83,19 @@ def set_key(own: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
+def count_points(sets: list[np.ndarray]) -> np.ndarray:
+    """Shingles of each set per hash group."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    return np.bincount(row * DIMS + (np.concatenate(sets) % np.uint64(DIMS)).astype(np.int64), minlength=len(sets) * DIMS).reshape(-1, DIMS).astype(np.int32)
+
+
 def profile(texts: DataFrame, k: int, num: int, den: int, n_buckets: int, flush: int = 2_000_000) -> DataFrame:
-    """Rows (doc_id, n, hi, lo) for documents, and rows (bucket, keys, ids) with the packed routing keys of many documents."""
+    """Rows (doc_id, n, hi, lo, point) for documents, and rows (bucket, keys, ids) with the packed routing keys of many documents."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
+        kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("point", pa.binary()), ("bucket", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary())])
         hashes, seen = WordHashes(), set()
         keys: list[np.ndarray] = []
         ids: list[int] = []
@@ -111,7 +118,7 @@ def profile(texts: DataFrame, k: int, num: int, den: int, n_buckets: int, flush:
 
         def batch_of(docs, packs):
             n, m = len(docs), len(packs)
-            columns = [[x[i] for x in docs] + [None] * m for i in range(4)] + [[None] * n + [x[i] for x in packs] for i in range(3)]
+            columns = [[x[i] for x in docs] + [None] * m for i in range(5)] + [[None] * n + [x[i] for x in packs] for i in range(3)]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.types, strict=True)], schema=kinds)
 
         for batch in batches:
@@ -119,7 +126,7 @@ def profile(texts: DataFrame, k: int, num: int, den: int, n_buckets: int, flush:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = shingle_set(hashes.of(text), k)
                 key = set_key(own)
-                docs.append((doc_id, len(own), *key))
+                docs.append((doc_id, len(own), *key, zlib.compress(count_points([own]).astype("<u4").tobytes(), 1) if len(own) else None))
                 if len(own) and doc_id is not None and key not in seen:
                     if len(seen) >= 500_000:
                         seen.clear()
@@ -134,7 +141,7 @@ def profile(texts: DataFrame, k: int, num: int, den: int, n_buckets: int, flush:
         if ids:
             yield batch_of([], flushed())
 
-    return texts.mapInArrow(run, "doc_id long, n long, hi long, lo long, bucket int, keys binary, ids binary")
+    return texts.mapInArrow(run, "doc_id long, n long, hi long, lo long, point binary, bucket int, keys binary, ids binary")
 
 
 def unpack(keys: bytes, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -169,17 +176,15 @@ def meetings(packs: DataFrame) -> DataFrame:
 class CountTree:
     """R-tree over count vectors of shingle sets, searched against itself."""
 
-    def __init__(self, sets: list[np.ndarray], num: int, den: int):
+    def __init__(self, points: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None):
         self.num, self.den = num, den
-        size = np.array([len(s) for s in sets], np.int64)
-        row = np.repeat(np.arange(len(sets)), size)
-        points = np.bincount(row * DIMS + (np.concatenate(sets) % np.uint64(DIMS)).astype(np.int64), minlength=len(sets) * DIMS).reshape(-1, DIMS).astype(np.int32)
+        size = points.sum(axis=1, dtype=np.int64)
         # packed by size, then by a coordinate that tells clusters apart
         slab = np.argsort(np.argsort(size, kind="stable"), kind="stable") // (LEAF * FANOUT)
         self.order = np.lexsort((points[:, :8] @ np.arange(1, 9), slab))
-        self.sets, self.size, self.points = [sets[i] for i in self.order], size[self.order], points[self.order]
+        self.sets, self.size, self.points = [sets[i] for i in self.order] if sets else [], size[self.order], points[self.order]
         self.levels = []
-        edges = np.append(np.arange(0, len(sets), LEAF), len(sets))
+        edges = np.append(np.arange(0, len(points), LEAF), len(points))
         high, low, top = np.maximum.reduceat(self.points, edges[:-1]), np.minimum.reduceat(self.size, edges[:-1]), np.maximum.reduceat(self.size, edges[:-1])
         self.edges = edges
         while True:
@@ -210,36 +215,45 @@ class CountTree:
                 a, b = a[real], b[real]
         return np.stack([a, b])
 
-    def links(self) -> list[tuple[int, int]]:
-        """Pairs (positions in the given list) that span every set of linked sets."""
-        root = np.arange(len(self.sets))
-        out = []
+    def neighbourhoods(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Points of a leaf, up to 512 points of leaves near it, and which of the pairs (each once) the bound lets through."""
         a, b = self.leaf_pairs()
         for leaf in np.unique(a).tolist():
             left = np.arange(self.edges[leaf], self.edges[leaf + 1])
             right = np.concatenate([np.arange(self.edges[j], self.edges[j + 1]) for j in b[a == leaf].tolist()])
-            vocabulary = None
-            start = 0
-            while start < len(right):
+            for start in range(0, len(right), 512):
                 some = right[start : start + 512]
                 bound = np.minimum(self.points[left][:, None, :], self.points[some][None, :, :]).sum(axis=2)
-                open_ = self.enough(bound, self.size[left][:, None], self.size[some][None, :]) & (root[left][:, None] != root[some][None, :]) & (left[:, None] < some[None, :])
-                start += 512
-                i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
-                if not len(i):
-                    continue
-                if vocabulary is None:
-                    vocabulary = np.unique(np.concatenate([self.sets[x] for x in left.tolist()]))
-                step = max(1, 16_000_000 // len(vocabulary))
-                mine = self.incidence(left[i], vocabulary)
-                for part in np.array_split(j, -(-len(j) // step)):
-                    overlap = (mine @ self.incidence(some[part], vocabulary).T).astype(np.int64)
-                    linked = open_[np.ix_(i, part)] & self.enough(overlap, self.size[left[i]][:, None], self.size[some[part]][None, :])
-                    for x, y in zip(*np.nonzero(linked), strict=True):
-                        p, q = int(left[i[x]]), int(some[part[y]])
-                        if root[p] != root[q]:
-                            root[root == root[q]] = root[p]
-                            out.append((int(self.order[p]), int(self.order[q])))
+                yield left, some, self.enough(bound, self.size[left][:, None], self.size[some][None, :]) & (left[:, None] < some[None, :])
+
+    def survivors(self) -> np.ndarray:
+        """Positions of the points that have a partner within the bound."""
+        alive = np.zeros(len(self.points), bool)
+        for left, some, near in self.neighbourhoods():
+            alive[left[near.any(axis=1)]] = True
+            alive[some[near.any(axis=0)]] = True
+        return np.sort(self.order[alive])
+
+    def links(self) -> list[tuple[int, int]]:
+        """Pairs (positions in the given list) that span every set of linked sets."""
+        root = np.arange(len(self.sets))
+        out = []
+        for left, some, near in self.neighbourhoods():
+            open_ = near & (root[left][:, None] != root[some][None, :])
+            i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+            if not len(i):
+                continue
+            vocabulary = np.unique(np.concatenate([self.sets[x] for x in left[i].tolist()]))
+            step = max(1, 16_000_000 // len(vocabulary))
+            mine = self.incidence(left[i], vocabulary)
+            for part in np.array_split(j, -(-len(j) // step)):
+                overlap = (mine @ self.incidence(some[part], vocabulary).T).astype(np.int64)
+                linked = open_[np.ix_(i, part)] & self.enough(overlap, self.size[left[i]][:, None], self.size[some[part]][None, :])
+                for x, y in zip(*np.nonzero(linked), strict=True):
+                    p, q = int(left[i[x]]), int(some[part[y]])
+                    if root[p] != root[q]:
+                        root[root == root[q]] = root[p]
+                        out.append((int(self.order[p]), int(self.order[q])))
         return out
 
     def incidence(self, rows: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
@@ -293,11 +307,22 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: tuple[int, int]
         hashes = WordHashes()
         texts = dict(zip(table.column("x").to_pylist(), table.column("text").to_pylist(), strict=True))
         x = sorted(texts)
-        tree = CountTree([shingle_set(hashes.of(texts[i]), k) for i in x], num, den)
-        links = tree.links()
+        own = [shingle_set(hashes.of(texts[i]), k) for i in x]
+        links = CountTree(count_points(own), num, den, own).links()
         return pa.table({"a": pa.array([x[i] for i, _ in links], pa.int64()), "b": pa.array([x[j] for _, j in links], pa.int64())})
 
-    # texts move once to their ids and those that meet others once more to their tasks; sets are made anew there, as texts compress and hashes don't
+    def prune(table):
+        import pyarrow as pa
+
+        points = dict(zip(table.column("x").to_pylist(), table.column("point").to_pylist(), strict=True))
+        x = sorted(points)
+        tree = CountTree(np.stack([np.frombuffer(zlib.decompress(points[i]), "<u4") for i in x]).astype(np.int32), num, den)
+        alive = [x[i] for i in tree.survivors()]
+        return pa.table({"x": pa.array(alive, pa.int64()), "task": pa.array([table.column("task")[0].as_py()] * len(alive), pa.int64())})
+
+    # first the points alone meet; texts move once to their ids, and those whose points have a partner once more to their tasks
+    points = found.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "point")
+    dealt = materialize(points.join(dealt.hint("shuffle_hash"), F.col("doc_id") == F.col("x")).select("x", "task", "point").groupBy("task").applyInArrow(prune, "x long, task long"), "alive")
     meeting = texts.join(dealt.hint("shuffle_hash"), F.col("doc_id") == F.col("x")).select("x", "task", "text")
     links = meeting.groupBy("task").applyInArrow(search, "a long, b long")
     components = connected_components(links)
