@@ -1,41 +1,127 @@
-"""Fuzzy line deduplication by MinHash, DataFrame functions only.
+"""Fuzzy line deduplication by MinHash.
 
 A line's shingle hashes, sorted, are points on a circle. The three points from
 each of BANDS fixed marks on are a band key: that is three values of one
 permutation's MinHash order, and a band of two lines of similarity J agrees with
-probability J^3. Lines that share a key are compared with leaders of the key.
+probability J^3. Lines that share a key are compared with each other, in blocks.
+
+Shingles are taken at every character. In SQL functions this costs about 0.2 CPU
+seconds a million characters, so hashing and comparing are numpy in Arrow batches.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import materialize
+from lettermill.llm.common import materialize, mix
 from lettermill.llm.components import connected_components
+from lettermill.llm.neardup import CountTree, count_points
 
 #: Characters of a shingle; marks on the circle (a power of two).
 SHINGLE, BANDS = 9, 8
-#: A line with more characters than this per word has shingles at every character instead of at every word.
-SPARSE = 16
+#: Members of one block of a large meeting, and rows that a comparing task takes on average.
+BLOCK, TASK_ROWS = 1024, 2048
+#: Characters that are hashed at once, and bits of a hash that order the points of a line; the bits above count the lines.
+CHARACTERS, BITS = 4_000_000, 48
+BASE = 0x9E3779B97F4A7C15
 
 
 def line_shingles(line: Column) -> Column:
-    """Shingles that start at words (shorter at the end of the line); of lines with hardly any space, at every character."""
-    words = F.regexp_extract_all(line, F.lit(rf"(?s)(?<![^ ])(?=([^ ].{{0,{SHINGLE - 1}}}))"), F.lit(1))
-    every = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    spaces = F.char_length(line) - F.char_length(F.replace(line, F.lit(" "), F.lit("")))
-    return F.when((F.char_length(line) > F.lit(SPARSE) * (spaces + 1)) & (F.char_length(line) >= SHINGLE), every).otherwise(words)
-
+    """Every shingle of a line; a shorter line is its only one. None starts in the middle of a surrogate pair."""
+    every = F.regexp_extract_all(line, F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    return F.when(F.char_length(line) >= SHINGLE, every).otherwise(F.array(line))
+
+
+def hashed_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all shingles of the lines in text order, and how many each line has. Shorter lines are filled up with zeros."""
+    lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    whole = "".join(lines)
+    chars = np.frombuffer(whole.encode("latin-1") if whole.isascii() else whole.encode("utf-32-le"), np.uint8 if whole.isascii() else "<u4").astype(np.uint64)
+    # Horner's rule by doubling: values of 2, 4, 8 and then 9 characters
+    value, width = chars, 1
+    while width < SHINGLE:
+        step = min(width, SHINGLE - width)
+        ahead = value if step == width else chars
+        value = value[: len(value) - step] * np.uint64(pow(BASE, step, 1 << 64)) + ahead[width : width + len(value) - step]
+        width += step
+    counts = lengths - SHINGLE + 1
+    inside = np.arange(counts.sum()) + np.repeat(np.arange(len(lines)) * (SHINGLE - 1), counts)
+    return mix(value[inside]), counts
+
+
+def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the lines, one for each mark that has a point before the next mark: the hash of the three points from there on, around the circle; and how many each line has."""
+    hashes, counts = hashed_shingles(lines)
+    bits = np.uint64(BITS)
+    points = np.sort((np.repeat(np.arange(len(lines), dtype=np.uint64), counts) << bits) | (hashes >> np.uint64(64 - BITS)))
+    points = points[np.append(True, points[1:] != points[:-1])]
+    line = (points >> bits).astype(np.int64)
+    n = np.bincount(line, minlength=len(lines))
+    start = np.cumsum(n) - n
+    mark = points >> np.uint64(BITS - (BANDS.bit_length() - 1))
+    first = np.flatnonzero(np.append(True, mark[1:] != mark[:-1]))
+    of = line[first]
+    keys = np.zeros(len(first), np.uint64)
+    for j in range(3):
+        keys = mix(keys * np.uint64(BASE) + (points[start[of] + (first - start[of] + j) % n[of]] & np.uint64((1 << BITS) - 1)))
+    return keys, np.bincount(of, minlength=len(lines))
+
+
+def slices(lines: list[str]) -> Iterator[list[str]]:
+    """The lines in parts of about CHARACTERS characters and of no more lines than fit above the bits of a hash."""
+    part, size = [], 0
+    for line in lines:
+        part.append(line)
+        size += len(line)
+        if size > CHARACTERS or len(part) == 1 << (64 - BITS):
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, line_no, lid, norm) with the band keys instead of norm."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [band_keys(part) for part in slices(batch.column(3).to_pylist())]
+            if found:
+                keys, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(keys.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["doc_id", "line_no", "lid", "keys"])
+
+    of_id = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "line_no", "lid", "norm").mapInArrow(run, f"doc_id {of_id}, line_no int, lid long, keys array<long>")
+
+
+def line_links(met: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that span the similar lines of each meeting. met: distinct (p, lid), every line of a meeting p; texts: (lid, norm).
+
+    Every two lines of a meeting are compared, block against block, until links
+    join them; a link found does not take a line out.
+    """
+    blocks = met.groupBy("p").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    dealt = met.join(blocks, "p").withColumn("i", F.pmod(F.xxhash64("lid"), F.col("blocks"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = materialize(dealt.select("lid", F.xxhash64("p", F.least("i", "j"), F.greatest("i", "j")).alias("task")), "dealt")
+    n_tasks = max(1, -(-dealt.count() // TASK_ROWS))
+    dealt = dealt.select("lid", F.pmod("task", F.lit(n_tasks)).alias("task")).distinct()
 
-def shingle_hashes(line: Column) -> Column:
-    return F.sort_array(F.array_distinct(F.transform(line_shingles(line), lambda s: F.xxhash64(s))))
+    def search(table):
+        import pyarrow as pa
 
+        lids, links = table.column("lid").to_pylist(), []
+        if len(lids) > 1:
+            own = [np.unique(hashed_shingles([x])[0]) for x in table.column("norm").to_pylist()]
+            links = CountTree(count_points(own), num, den, own).links()
+        return pa.table({"a": pa.array([lids[i] for i, _ in links], pa.int64()), "b": pa.array([lids[j] for _, j in links], pa.int64())})
 
-def band_keys(hashes: Column) -> Column:
-    """One key for each mark that has a point before the next mark: the hash of the three points from there on, around the circle."""
-    shift = 64 - (BANDS.bit_length() - 1)
-    n = F.size(hashes)
-    at = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.shiftright(F.element_at(hashes, i), shift) != F.shiftright(F.element_at(hashes, F.greatest(i - 1, F.lit(1))), shift)))
-    return F.transform(at, lambda i: F.xxhash64(*[F.element_at(hashes, (i - 1 + j) % n + 1) for j in range(3)]))
+    return dealt.join(texts, "lid").select("lid", "task", "norm").groupBy("task").applyInArrow(search, "a long, b long")
 
 
 def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -54,45 +140,21 @@ def similar_lines(docs: DataFrame, similarity: tuple[int, int] = (80, 100), id_c
     The first line of a component, by doc_id and line_no, is kept.
 
     Blank lines have no component and are kept; null text is one blank line. A
-    null doc_id sorts first; rows that repeat an id share what is kept. In a key,
-    members are compared with one leader, those that differ from it with
-    four, then sixteen and so on, until nothing is left; a member that is similar
-    to a leader leaves the key. Other columns are not read.
+    null doc_id sorts first; rows that repeat an id share what is kept. The lines
+    of a key meet under the smallest of them, and all pairs of a meeting are
+    compared. Other columns are not read. Shingles are told apart by 64-bit hashes.
     """
     num, den = similarity
     rows = split_lines(docs, id_col, text_col)
     lid = F.xxhash64("norm")
-    hashed = rows.where("norm IS NOT NULL").select("doc_id", "line_no", lid.alias("lid"), shingle_hashes(F.col("norm")).alias("h"))
-    lines = materialize(hashed.select("doc_id", "line_no", "lid", band_keys(F.col("h")).alias("keys")), "lines")
+    lines = materialize(keyed(rows.where("norm IS NOT NULL").withColumn("lid", lid)), "lines")
     banded = lines.select("lid", F.explode("keys").alias("key"))
-    turned = F.col("lid").bitwiseXOR(F.col("key"))
-    shared = banded.groupBy("key").agg(F.min(turned).alias("a"), F.max(turned).alias("b")).where("a <> b").select("key")
-    open_ = materialize(banded.join(shared, "key", "left_semi").distinct(), "open")
-    wanted = open_.select("lid").distinct()
-    sets = rows.where("norm IS NOT NULL").select(lid.alias("lid"), "norm").join(wanted, "lid", "left_semi").dropDuplicates(["lid"])
-    sets = materialize(sets.select("lid", shingle_hashes(F.col("norm")).alias("h")), "sets")
-    links, leaders = [], 1
-    while not open_.isEmpty():
-        ranked = open_.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(turned)))
-        first, rest = ranked.where(F.col("rank") <= leaders).select("key", F.col("lid").alias("leader")), ranked.where(F.col("rank") > 1).select("key", "lid")
-        pairs = rest.join(first, "key").where("lid <> leader").select("lid", "leader").distinct()
-        both = pairs.join(sets, "lid").join(sets.select(F.col("lid").alias("leader"), F.col("h").alias("g")), "leader")
-        common = F.size(F.array_intersect("h", "g"))
-        found = materialize(both.where(common * (num + den) >= (F.size("h") + F.size("g")) * num).select("lid", "leader"), "found")
-        links.append(found)
-        others = ranked.where(F.col("rank") > leaders).select("key", "lid")
-        near = others.join(found, "lid").join(first, ["key", "leader"], "left_semi").select("key", "lid").distinct()
-        left = others.join(near, ["key", "lid"], "left_anti")
-        open_ = materialize(left.join(left.groupBy("key").count().where("count > 1").select("key"), "key", "left_semi"), "open")
-        leaders *= 4
-    if links:
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionByName(more)
-        components = connected_components(every.select(F.col("lid").alias("a"), F.col("leader").alias("b")))
-        placed = lines.select("doc_id", "line_no", "lid").join(components.withColumnRenamed("node", "lid"), "lid", "left")
-    else:
-        placed = lines.select("doc_id", "line_no", "lid", F.lit(None).cast("long").alias("component"))
+    shared = banded.groupBy("key").agg(F.min("lid").alias("p"), F.max("lid").alias("q")).where("p <> q").select("key", "p")
+    met = materialize(banded.join(shared, "key").select("p", "lid").distinct(), "met")
+    wanted = met.select("lid").distinct()
+    texts = materialize(rows.where("norm IS NOT NULL").select(lid.alias("lid"), "norm").join(wanted, "lid", "left_semi").dropDuplicates(["lid"]), "texts")
+    components = connected_components(line_links(met, texts, num, den))
+    placed = lines.select("doc_id", "line_no", "lid").join(components.withColumnRenamed("node", "lid"), "lid", "left")
     placed = materialize(placed.select("doc_id", "line_no", F.coalesce("component", "lid").alias("component_id")), "placed")
     firsts = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     # lines alone in their component need no join back
