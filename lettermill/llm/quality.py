@@ -2,7 +2,7 @@
 
 import operator
 import typing
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 
 
-#: Hash buckets of words and, behind them, of word shapes.
+#: Hash buckets of words and their beginnings and, behind them, of word shapes.
 WORDS, SHAPES = 1 << 18, 1 << 10
+#: Bytes of the beginning of a longer word; inflected and compound forms of a rare stem share it.
+BEGINNING = 6
 #: Bucket of the share of words that repeat the word before them.
 REPEATS = WORDS + SHAPES
 #: ASCII marks, which don't belong to a word.
@@ -22,12 +24,12 @@ MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 #: Bound of the labelled rows that are fitted on.
 MAX_TRAIN = 8000
 #: A document stays when its tail probability of the best grade reaches this.
-KEEP_FROM = 0.4
+KEEP_FROM = 0.5
 
 
 @dataclass
 class OrdinalModel:
-    """P(grade <= k) = sigmoid(thresholds[k] - score); score: summed weights of a text's distinct words plus ten times the mean weight of its words' shapes and repeats."""
+    """P(grade <= k) = sigmoid(thresholds[k] - score); score: summed weights of a text's distinct words and beginnings of words plus ten times the mean weight of its words' shapes and repeats."""
 
     weights: np.ndarray
     thresholds: np.ndarray
@@ -37,6 +39,15 @@ def word_bucket(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word.lower().strip(MARKS)) % WORDS
 
 
+def beginnings(words: Iterable[bytes]) -> set[bytes]:
+    """Distinct first BEGINNING bytes of the longer ones of lower-cased words without marks."""
+    return {w[:BEGINNING] for w in words if len(w) > BEGINNING}
+
+
+def beginning_bucket(beginning: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(b"^" + beginning) % WORDS
+
+
 def shape_bucket(word: bytes) -> int:
     """Shape: what stands before and behind the letters and digits, and the word's case and length class."""
     core = word.strip(MARKS)
@@ -46,9 +57,10 @@ def shape_bucket(word: bytes) -> int:
 
 
 def features(text: bytes) -> tuple[list[int], list[float]]:
-    """Sparse features of one text: 1 for each word bucket, and for each shape ten times its share of the words, likewise for repeats."""
+    """Sparse features of one text: 1 for each bucket of a word or of a beginning, and for each shape ten times its share of the words, likewise for repeats."""
     words = text.split()
     found = dict.fromkeys({word_bucket(w) for w in set(words)}, 1.0)
+    found.update(dict.fromkeys(map(beginning_bucket, beginnings({w.lower().strip(MARKS) for w in words})), 1.0))
     for w in words:
         s = shape_bucket(w)
         found[s] = found.get(s, 0.0) + 10 / len(words)
@@ -61,8 +73,9 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(lengths: np.ndarray, at: np.ndarray, value: np.ndarray, grade: np.ndarray, n_grades: int, steps: int = 250, l2: float = 1e-3, min_docs: int = 5) -> OrdinalModel:
-    """Full-batch Adam on the log likelihood. Rows have `lengths` features each, of buckets `at` and values `value`. Buckets of fewer than min_docs rows get no weight."""
+def fit_ordinal(lengths: np.ndarray, at: np.ndarray, value: np.ndarray, grade: np.ndarray, n_grades: int, steps: int = 250, l2: float = 1e-3, min_docs: int = 5, balance: float = 0.5) -> OrdinalModel:
+    """Full-batch Adam on the log likelihood. Rows have `lengths` features each, of buckets `at` and values `value`. Buckets of fewer than min_docs rows get no weight.
+    A row counts by the power -balance of the number of rows of its grade."""
     weights = np.zeros(WORDS + SHAPES + 1)
     thresholds = np.linspace(-1.0, 1.0, n_grades - 1) if n_grades > 2 else np.zeros(1)
     if not len(lengths):
@@ -75,15 +88,17 @@ def fit_ordinal(lengths: np.ndarray, at: np.ndarray, value: np.ndarray, grade: n
     x = np.concatenate([np.zeros(len(used)), [thresholds[0]], np.log(np.diff(thresholds))])
     first, second = np.zeros_like(x), np.zeros_like(x)
     n, k = len(lengths), n_grades - 1
+    share = (1 / np.bincount(grade)[grade]) ** balance
+    share /= share.sum()
     for step in range(1, steps + 1):
         w, cuts = x[: len(used)], x[len(used)] + np.concatenate([[0], np.cumsum(np.exp(x[len(used) + 1 :]))])
         score = np.bincount(row, value * w[at], minlength=n)
         below = np.where(grade > 0, sigmoid(cuts[np.maximum(grade - 1, 0)] - score), 0.0)
         upto = np.where(grade < k, sigmoid(cuts[np.minimum(grade, k - 1)] - score), 1.0)
-        by_score = (1 - below - upto) / n
+        by_score = share * (1 - below - upto)
         p = np.maximum(upto - below, 1e-12)
-        by_cut = np.bincount(np.minimum(grade, k - 1), np.where(grade < k, -upto * (1 - upto) / p, 0), minlength=k) + np.bincount(np.maximum(grade - 1, 0), np.where(grade > 0, below * (1 - below) / p, 0), minlength=k)
-        tail = np.cumsum(by_cut[::-1])[::-1] / n
+        by_cut = np.bincount(np.minimum(grade, k - 1), np.where(grade < k, -share * upto * (1 - upto) / p, 0), minlength=k) + np.bincount(np.maximum(grade - 1, 0), np.where(grade > 0, share * below * (1 - below) / p, 0), minlength=k)
+        tail = np.cumsum(by_cut[::-1])[::-1]
         slope = np.concatenate([np.bincount(at, value * by_score[row], minlength=len(used)) + l2 * w, [tail[0]], tail[1:] * np.exp(x[len(used) + 1 :])])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         x = x - 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
@@ -125,16 +140,21 @@ def score_column(spark: SparkSession, text: Column, model: OrdinalModel) -> Colu
         weights = shared.value
         repeats = float(weights[REPEATS])
         memo: dict[bytes, tuple[float, float]] = {}
+        starts: dict[bytes, float] = {}
         for batch in batches:
             out = []
             for text in batch:
                 words = text.split()
                 if len(memo) > 400_000:
                     memo.clear()
+                    starts.clear()
                 for w in set(words).difference(memo):
                     memo[w] = float(weights[word_bucket(w)]), float(weights[shape_bucket(w)])
                 lowered = {w.lower().strip(MARKS): w for w in set(words)}
-                out.append(sum(memo[w][0] for w in lowered.values()) + (10 * (sum(memo[w][1] for w in words) + repeats * sum(map(operator.eq, words, words[1:]))) / len(words) if words else 0.0))
+                begun = beginnings(lowered)
+                for b in begun.difference(starts):
+                    starts[b] = float(weights[beginning_bucket(b)])
+                out.append(sum(memo[w][0] for w in lowered.values()) + sum(map(starts.__getitem__, begun)) + (10 * (sum(memo[w][1] for w in words) + repeats * sum(map(operator.eq, words, words[1:]))) / len(words) if words else 0.0))
             yield pd.Series(out, dtype="float64")
 
     return score(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
