@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import table
+from lettermill.llm.common import materialize, table
 from lettermill.llm.decontamination import decontaminate
 from lettermill.llm.exact_dedup import drop_exact_copies
 from lettermill.llm.neardup import drop_near_copies
@@ -46,6 +46,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        # each stage reads a table, not the plans of the stages before it
+        docs = materialize(stage(spark, docs, sf_dir), name)
     return docs
