@@ -27,15 +27,23 @@ def svm_weights(pairs: DataFrame, labels: DataFrame, family: str, reg: float = 0
     return basis.join(weights, "idx").select("kmer", "weight")
 
 
-def eliminate_features(pairs: DataFrame, labels: DataFrame, family: str, stop: float = -0.2, drop: float = -0.1, rounds: int = 20) -> DataFrame:
-    """kmer, weight after recursive elimination: while a weight is below `stop`, k-mers below `drop` go and the rest is fitted again."""
+def eliminate_features(pairs: DataFrame, labels: DataFrame, family: str, stop: float = -0.2, drop: float = -0.1, rounds: int | None = None) -> DataFrame:
+    """kmer, weight after recursive elimination: while a weight is below `stop`, k-mers below `drop` go and the rest is fitted again.
+
+    Each round loses a k-mer at least, so the condition itself ends it; `rounds` is a bound for trials.
+    """
+    if stop > drop:
+        raise ValueError("stop must not be above drop, or a round may drop nothing")
     pairs = written(pairs)
-    weights = svm_weights(pairs, labels, family)
-    for _ in range(rounds):
-        if weights.where(F.col("weight") < stop).isEmpty():
-            break
-        pairs = pairs.join(weights.where(F.col("weight") >= drop).select("kmer"), "kmer", "left_semi").select("seq_id", "kmer")
-        weights = svm_weights(pairs, labels, family)
+    weights = written(svm_weights(pairs, labels, family))
+    done = 0
+    while done != rounds and not weights.where(F.col("weight") < stop).isEmpty():
+        kept = weights.where(F.col("weight") >= drop).select("kmer")
+        if kept.isEmpty():
+            return weights.limit(0)
+        pairs = written(pairs.join(kept, "kmer", "left_semi").select("seq_id", "kmer"))
+        weights = written(svm_weights(pairs, labels, family))
+        done += 1
     return weights
 
 

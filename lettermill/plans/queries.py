@@ -664,7 +664,7 @@ def svm_weights(spark, d):
 
 @query()
 def feature_elimination(spark, d):
-    return H.eliminate_features(*motif_rows(spark, d), "en", rounds=3)
+    return H.eliminate_features(*motif_rows(spark, d), "en")
 
 
 @query()
