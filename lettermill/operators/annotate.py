@@ -110,11 +110,14 @@ def interpolated(value: str, keys: list[str], ends: bool) -> Column:
 
 
 def global_confidence(crosstab: DataFrame, fill: str = "interpolate") -> DataFrame:
-    """bin, confidence, weight over all predictions. weight: known sequences of the bin. fill: "interpolate" or "one" for empty bins."""
-    sums = crosstab.groupBy("bin").agg(F.sum("n_true").alias("t"), F.sum(F.col("n_true") + F.col("n_false")).alias("weight"))
-    raw = sums.withColumn("ratio", F.when(F.col("weight") > 0, F.col("t") / F.col("weight")))
-    value = {"interpolate": interpolated("ratio", [], False), "one": F.coalesce("ratio", F.lit(1.0))}[fill]  # BINS rows
-    return raw.select("bin", value.alias("confidence"), "weight")
+    """bin, confidence, weight, sum over all predictions. sum: known sequences of the bin; weight: those of all bins, the same in each row.
+
+    fill: "interpolate" or "one" for empty bins.
+    """
+    sums = crosstab.groupBy("bin").agg(F.sum("n_true").alias("t"), F.sum(F.col("n_true") + F.col("n_false")).alias("sum"))
+    raw = sums.withColumns({"ratio": F.when(F.col("sum") > 0, F.col("t") / F.col("sum")), "weight": F.sum("sum").over(Window.partitionBy())})  # BINS rows
+    value = {"interpolate": interpolated("ratio", [], False), "one": F.coalesce("ratio", F.lit(1.0))}[fill]
+    return raw.select("bin", value.alias("confidence"), "weight", "sum")
 
 
 def impute_confidence(matrix: DataFrame) -> DataFrame:
@@ -122,17 +125,20 @@ def impute_confidence(matrix: DataFrame) -> DataFrame:
     return matrix.withColumn("ratio", interpolated("ratio", ["prediction"], True)).where("ratio IS NOT NULL").select("prediction", "bin", "ratio")
 
 
-def merge_confidence(current: DataFrame, prior: DataFrame, modifier: float) -> DataFrame:
-    """bin, confidence, weight, sum of current (bin, confidence, weight) upon prior (bin, confidence, weight, sum).
+def merge_confidence(current: DataFrame, prior: DataFrame | None = None, modifier: float = 1.0) -> DataFrame:
+    """bin, confidence, weight, sum of current upon prior, both (bin, confidence, weight, sum); without a prior, current itself.
 
-    The current one's weight is raised by k = 1 + modifier * cw / (cw + pw). A bin
-    without weight on either side keeps the prior's confidence, or the current's.
+    The current one's weight is raised by k = 1 + modifier * cw / (cw + pw), of the
+    weights of all bins. Confidence is null where either side has none, and where
+    neither side has any weight.
     """
-    c = current.select("bin", F.col("confidence").alias("cc"), F.col("weight").alias("cw"))
+    c = current.select("bin", F.col("confidence").alias("cc"), F.col("weight").alias("cw"), F.col("sum").alias("cs"))
+    if prior is None:
+        return c.select("bin", F.col("cc").alias("confidence"), F.col("cw").alias("weight"), F.col("cs").alias("sum"))
     p = prior.select("bin", F.col("confidence").alias("pc"), F.col("weight").alias("pw"), F.col("sum").alias("ps"))
-    k = 1 + modifier * F.col("cw") / (F.col("cw") + F.col("pw"))
-    merged = (F.col("pc") * F.col("pw") + F.col("cc") * k * F.col("cw")) / (F.col("pw") + k * F.col("cw"))
-    return c.join(p, "bin").select("bin", F.when(F.col("cw") + F.col("pw") > 0, F.coalesce(merged, "pc", "cc")).otherwise(F.coalesce("pc", "cc")).alias("confidence"), (F.col("pw") + F.col("cw")).alias("weight"), (F.col("ps") + F.col("cw")).alias("sum"))
+    raised = F.col("cw") * (1 + F.lit(modifier) * F.col("cw") / (F.col("cw") + F.col("pw")))
+    merged = F.when(F.col("cw") + F.col("pw") > 0, (F.col("pc") * F.col("pw") + F.col("cc") * raised) / (F.col("pw") + raised))
+    return c.join(p, "bin").select("bin", merged.alias("confidence"), (F.col("pw") + F.col("cw")).alias("weight"), (F.col("ps") + F.col("cs")).alias("sum"))
 
 
 def apply_annotations(seq_ids: DataFrame, counts: DataFrame, profiles: DataFrame, confidence: DataFrame | None = None) -> DataFrame:

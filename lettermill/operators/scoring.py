@@ -77,29 +77,47 @@ def sequence_scores(pairs: DataFrame, scores: DataFrame, seqs: DataFrame, keys:
     return grid.join(hits, [*keys, "seq_id"], "left").select(*keys, "seq_id", F.coalesce("total", F.lit(0.0)).alias("total"))
 
 
-def fit_family_scores(pairs: DataFrame, labels: DataFrame, n: int | float = 0.25, floor: float | None = 1.0) -> tuple[DataFrame, DataFrame]:
+def normed(totals: DataFrame, keys: tuple[str, ...], floor: float | None) -> DataFrame:
+    """totals (keys, seq_id, total) with norm, the largest total of the keys and at least `floor`, and score = total / norm."""
+    best = totals.groupBy(*keys).agg(F.max("total").alias("best"))
+    norm = F.greatest(F.col("best"), F.lit(floor)) if floor is not None else F.col("best")
+    scored = totals.join(best, list(keys)).withColumn("norm", norm)
+    return scored.select(*keys, "seq_id", "total", "norm", F.when(F.col("norm") != 0, F.col("total") / F.col("norm")).otherwise(0.0).alias("score"))
+
+
+def fit_family_scores(pairs: DataFrame, labels: DataFrame, n: int | float = 0.25, floor: float | None = 1.0, others: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Weights (label, kmer, score), and scored sequences (label, seq_id, total, norm, score).
 
-    Each label's k-mers are chosen by its probability; all sequences are scored
-    with them and divided by norm: the largest total, at least `floor` (the
-    background's scores are divided by the largest total as it is: floor None).
+    Each label's k-mers are chosen by its probability; all sequences, those of
+    `others` (seq_id, such as background) too, are scored with them and divided
+    by norm: the largest total, at least `floor`.
     """
     weights = class_scores(class_probabilities(pairs, labels), labels)
-    totals = sequence_scores(pairs, top_kmers(weights, n, order="probability"), labels.select("seq_id"))
-    best = totals.groupBy("label").agg(F.max("total").alias("best"))
-    norm = F.greatest(F.col("best"), F.lit(floor)) if floor is not None else F.col("best")
-    scored = totals.join(best, "label").withColumn("norm", norm)
-    return weights.select("label", "kmer", "score"), scored.select("label", "seq_id", "total", "norm", F.when(F.col("norm") != 0, F.col("total") / F.col("norm")).otherwise(0.0).alias("score"))
+    rows = labels.select("seq_id") if others is None else labels.select("seq_id").unionByName(others.select("seq_id"))
+    totals = sequence_scores(pairs, top_kmers(weights, n, order="probability"), rows)
+    return weights.select("label", "kmer", "score"), normed(totals, ("label",), floor)
 
 
-def background_scores(pairs: DataFrame, labels: DataFrame, n: int | float = 0.25) -> tuple[DataFrame, DataFrame]:
-    """fit_family_scores on background rows with their labels."""
-    return fit_family_scores(pairs, labels, n, None)
+def background_scores(pairs: DataFrame, sample: DataFrame, background: DataFrame, n: int | float = 0.25) -> DataFrame:
+    """label, background_label, seq_id, total, norm, score: all sequences, of sample and background (seq_id, label), by the background's class scores.
+
+    Only the k-mers count that the sample's label chooses by its own probability;
+    totals are divided by the largest one as it is.
+    """
+    chosen = top_kmers(class_scores(class_probabilities(pairs, sample), sample), n, order="probability").select("label", "kmer")
+    scores = class_scores(class_probabilities(pairs, background), background).select(F.col("label").alias("background_label"), "kmer", "score")
+    keys = ("label", "background_label")
+    used = chosen.join(scores, "kmer")
+    return normed(sequence_scores(pairs, used, sample.select("seq_id").unionByName(background.select("seq_id")), keys), keys, None)
 
 
 def combine_background(scores: DataFrame, background: DataFrame) -> DataFrame:
-    """label, seq_id, score, weighted = s (1 - b), subtracted = s - b of the labels that both have."""
-    b = background.select("label", "seq_id", F.col("score").alias("b"))
+    """label, seq_id, score, weighted = s (1 - b), subtracted = s - b of the labels that the background has too.
+
+    scores: (label, seq_id, score) of fit_family_scores with the background as
+    others; background: the result of background_scores.
+    """
+    b = background.where("label = background_label").select("label", "seq_id", F.col("score").alias("b"))
     return scores.join(b, ["label", "seq_id"]).select("label", "seq_id", "score", (F.col("score") * (1 - F.col("b"))).alias("weighted"), (F.col("score") - F.col("b")).alias("subtracted"))
 
 

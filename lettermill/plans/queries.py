@@ -344,16 +344,16 @@ def confidence_matrix(spark, d):
     return A.confidence_matrix(crosstab(spark, d))
 
 
-CONF = f"conf AS (SELECT bin, {V.fill_sql('graw', 'ratio', '', False)} AS confidence, weight FROM graw)"
+CONF = f"conf AS (SELECT bin, {V.fill_sql('graw', 'ratio', '', False)} AS confidence, weight, sum FROM graw)"
 LEARNT_CONF = V.learn_sql(CONF)
 
 
-@query(f"{LEARNT_CONF} SELECT bin, round(confidence, 9) AS confidence, weight FROM conf")
+@query(f"{LEARNT_CONF} SELECT bin, round(confidence, 9) AS confidence, weight, sum FROM conf")
 def global_confidence(spark, d):
     return A.global_confidence(crosstab(spark, d)).withColumn("confidence", F.round("confidence", 9))
 
 
-@query(f"{LEARNT} SELECT bin, coalesce(ratio, 1.0) AS confidence, weight FROM graw")
+@query(f"{LEARNT} SELECT bin, coalesce(ratio, 1.0) AS confidence, weight, sum FROM graw")
 def global_confidence_one(spark, d):
     return A.global_confidence(crosstab(spark, d), "one")
 
@@ -363,14 +363,29 @@ def imputed_confidence(spark, d):
     return A.impute_confidence(A.confidence_matrix(crosstab(spark, d))).withColumn("ratio", F.round("ratio", 9))
 
 
-MERGE_K = "(1 + 20 * c.weight / (2 * c.weight))"
+# the current table is that of the documents, the prior one that of their first halves: bins have different counts on the two sides
+def merge_side(name: str, tf: str) -> str:
+    return f"{name} AS (SELECT bin, n AS sum, CAST(sum(n) OVER () AS BIGINT) AS weight, CASE WHEN n > 0 THEN t / n ELSE 1.0 END AS confidence FROM (SELECT bin, CAST(sum(n_true) AS BIGINT) AS t, CAST(sum(n_true + n_false) AS BIGINT) AS n FROM {tf} GROUP BY bin))"
 
 
-@query(f"{LEARNT_CONF} SELECT c.bin, round(CASE WHEN c.weight > 0 THEN (o.confidence * c.weight + c.confidence * {MERGE_K} * c.weight) / (c.weight + {MERGE_K} * c.weight) ELSE coalesce(o.confidence, c.confidence) END, 9) AS confidence, 2 * c.weight AS weight, 2 * c.weight AS sum FROM conf c JOIN (SELECT bin, coalesce(ratio, 1.0) AS confidence FROM graw) o ON o.bin = c.bin")
+FRAG = f"fseqs AS (SELECT seq_id, accession, filename, label, substr(sequence, 1, CAST(floor(length(sequence) * 50 / 100) AS BIGINT)) AS sequence FROM seqs WHERE floor(length(sequence) * 50 / 100) >= 50), {V.windows_sql(*V.LEARN, 'fseqs', 'fw')}"
+SECOND = [("FROM w ", "FROM fw "), ("kc.", "fkc."), ("FROM kc ", "FROM fkc "), ("kc AS", "fkc AS"), ("FROM cos", "FROM fcos"), ("cos AS", "fcos AS"), ("FROM ranked", "FROM franked"), ("ranked AS", "franked AS"), ("FROM pred ", "FROM fpred "), ("pred AS", "fpred AS"), ("tf AS", "ftf AS"), ("FROM seqs s", "FROM fseqs s")]
+
+
+def second(cte: str) -> str:
+    """A common table of the chain from counts to crosstab, over the first halves."""
+    for old, new in SECOND:
+        cte = cte.replace(old, new)
+    return cte
+
+
+HALVES = [FRAG, *map(second, (V.KC, V.COS, V.RANKED, V.PRED, V.TF))]
+MERGED = f"{V.learn_sql(CONF, *HALVES, merge_side('prior', 'ftf'))} SELECT c.bin, round((p.confidence * p.weight + c.confidence * r.w) / (p.weight + r.w), 9) AS confidence, c.weight + p.weight AS weight, c.sum + p.sum AS sum FROM conf c JOIN prior p ON p.bin = c.bin JOIN (SELECT c.bin, c.weight * (1 + 20 * c.weight / (c.weight + p.weight)) AS w FROM conf c JOIN prior p ON p.bin = c.bin) r ON r.bin = c.bin"
+
+
+@query(MERGED)
 def merge_confidence(spark, d):
-    own = crosstab(spark, d)
-    prior = A.global_confidence(own, "one").withColumn("sum", F.col("weight"))
-    return A.merge_confidence(A.global_confidence(own), prior, 20).withColumn("confidence", F.round("confidence", 9))
+    return A.merge_confidence(A.global_confidence(crosstab(spark, d)), A.global_confidence(fragment_evaluation(spark, d), "one"), 20).withColumn("confidence", F.round("confidence", 9))
 
 
 APPLY = "SELECT seq_id, prediction, coalesce(top, 0) AS score, p.bin / 100 AS delta, round(confidence, 9) AS confidence FROM pred p LEFT JOIN conf ON conf.bin = p.bin"
@@ -383,10 +398,7 @@ def apply_annotations(spark, d):
     return found.withColumn("confidence", F.round("confidence", 9))
 
 
-FRAG = f"fseqs AS (SELECT seq_id, accession, filename, label, substr(sequence, 1, CAST(floor(length(sequence) * 50 / 100) AS BIGINT)) AS sequence FROM seqs WHERE floor(length(sequence) * 50 / 100) >= 50), {V.windows_sql(*V.LEARN, 'seqs', 'fullw')}, {V.windows_sql(*V.LEARN, 'fseqs', 'w')}"
-
-
-@query("WITH " + ", ".join([V.SEQS, V.ANN, FRAG, V.KC, V.AK.replace("FROM w ", "FROM fullw "), V.COS, V.RANKED, V.PRED.replace("FROM seqs s", "FROM fseqs s"), V.TF]) + " SELECT * FROM tf")
+@query(f"{V.learn_sql(*HALVES)} SELECT * FROM ftf")
 def fragment_evaluation(spark, d):
     part = P.fragment(V.seqs(spark, d), "percent", 50, "start", 50)
     found = D.cosine_scores(K.kmer_counts(part, SIZE, ALPHABET), profile_counts(spark, d))
@@ -451,7 +463,7 @@ BGP = f"""{SCORE}, {V.BACKGROUND}, {BW}, bp AS (SELECT kmer, count(DISTINCT seq_
 
 
 @query(f"WITH {BGP} SELECT label, kmer, round(probability - coalesce(bg, 0), 9) AS bg_only, round(score - coalesce(bg, 0), 9) AS both FROM sc LEFT JOIN bp USING (kmer)")
-def background_scores(spark, d):
+def method_scores(spark, d):
     pairs, labels = labelled(spark, d)
     sample = E.class_scores(E.class_probabilities(pairs, labels), labels)
     b = V.background(spark, d)
@@ -460,6 +472,57 @@ def background_scores(spark, d):
     return one.join(two, ["label", "kmer"])
 
 
+def unsigned(c: str, digits: int):
+    """Rounded, and 0 where rounding leaves a negative zero."""
+    return (F.round(c, digits) + F.lit(0.0)).alias(c)
+
+
+# background: the files whose name ends in 9, of the same labels as the others
+def sample_and_background(spark, d):
+    rows = V.seqs(spark, d).select("seq_id", "label", "filename")
+    files = P.flag_background(rows, rows.where(F.col("filename").endswith("9.fasta")).select("filename"))
+    side = lambda back: files.where(F.col("background") == back).select("seq_id", "label")
+    return K.presence(V.seqs(spark, d), SIZE, ALPHABET), side(False), side(True)
+
+
+def sided(name: str, back: bool) -> str:
+    """pr, nl and sc of PROB and SCORE over one side of the files."""
+    ctes = SCORE.split("lab AS", 1)[1]
+    for c in ("lab", "nl", "pr", "sc"):
+        for old, new in ((f" {c} ", f" {name}{c} "), (f" {c},", f" {name}{c},"), (f" {c})", f" {name}{c})"), (f"{c}.", f"{name}{c}."), (f"({c} ", f"({name}{c} ")):
+            ctes = ctes.replace(old, new)
+    return f"{name}lab AS" + ctes.replace("FROM seqs)", f"FROM seqs WHERE {'' if back else 'NOT '}filename LIKE '%9.fasta')")
+
+
+BACK = f"""{V.SEQS}, {V.W}, {V.KP}, {sided('s', False)}, {sided('b', True)},
+  chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY probability DESC, kmer) - 1 AS index, floor(count(*) OVER (PARTITION BY label) * 0.25) AS lim FROM ssc) WHERE index < lim),
+  bt AS (SELECT x.label, x.background_label, seqs.seq_id, coalesce(t, 0) AS total FROM seqs CROSS JOIN (SELECT DISTINCT chosen.label, bsc.label AS background_label FROM chosen JOIN bsc USING (kmer)) x
+    LEFT JOIN (SELECT chosen.label, bsc.label AS background_label, seq_id, sum(bsc.score) AS t FROM kp JOIN chosen USING (kmer) JOIN bsc USING (kmer) GROUP BY chosen.label, bsc.label, seq_id) h ON h.label = x.label AND h.background_label = x.background_label AND h.seq_id = seqs.seq_id),
+  bs AS (SELECT label, background_label, seq_id, total, norm, CASE WHEN norm <> 0 THEN total / norm ELSE 0 END AS score FROM bt JOIN (SELECT label, background_label, max(total) AS norm FROM bt GROUP BY label, background_label) USING (label, background_label)),
+  st AS (SELECT l.label, seqs.seq_id, coalesce(t, 0) AS total FROM seqs CROSS JOIN snl l LEFT JOIN (SELECT chosen.label, seq_id, sum(score) AS t FROM kp JOIN chosen USING (kmer) GROUP BY chosen.label, seq_id) h ON h.label = l.label AND h.seq_id = seqs.seq_id),
+  ss AS (SELECT label, seq_id, total / norm AS score FROM st JOIN (SELECT label, greatest(max(total), 1) AS norm FROM st GROUP BY label) USING (label))"""
+
+
+@query(f"WITH {BACK} SELECT label, background_label, seq_id, round(score, 6) AS score FROM bs")
+def background_scores(spark, d):
+    return E.background_scores(*sample_and_background(spark, d)).select("label", "background_label", "seq_id", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {BACK} SELECT label, seq_id, round(ss.score, 6) + 0 AS score, round(ss.score * (1 - bs.score), 6) + 0 AS weighted, round(ss.score - bs.score, 6) + 0 AS subtracted FROM ss JOIN bs USING (label, seq_id) WHERE label = background_label")
+def combined_scores(spark, d):
+    pairs, sample, background = sample_and_background(spark, d)
+    own = E.fit_family_scores(pairs, sample, others=background)[1]
+    rows = E.combine_background(own, E.background_scores(pairs, sample, background))
+    return rows.select("label", "seq_id", *[unsigned(c, 6) for c in ("score", "weighted", "subtracted")])
+
+
+@query(f"WITH {BACK} SELECT label, kmer, round(coalesce(ssc.score, 0), 9) + 0 AS sample, round(coalesce(bsc.score, 0), 9) + 0 AS background FROM ssc FULL JOIN bsc USING (label, kmer)")
+def family_weights(spark, d):
+    pairs, sample, background = sample_and_background(spark, d)
+    own, other = (E.class_scores(E.class_probabilities(pairs, x), x) for x in (sample, background))
+    return E.family_weights(own, other).select("label", "kmer", *[unsigned(c, 9) for c in ("sample", "background")])
+
+
 # cross-validation
 
 

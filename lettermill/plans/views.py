@@ -66,7 +66,8 @@ PRED = """pred AS (SELECT s.seq_id, b.prediction, b.top, b.second, CAST(round_ev
 TF = """tf AS (SELECT g.prediction, g.bin, count(CASE WHEN p.correct THEN 1 END) AS n_true, count(CASE WHEN NOT p.correct THEN 1 END) AS n_false
   FROM (SELECT prediction, CAST(unnest(range(0, 101)) AS INTEGER) AS bin FROM (SELECT DISTINCT prediction FROM pred WHERE known AND prediction IS NOT NULL)) g
   LEFT JOIN (SELECT * FROM pred WHERE known) p ON p.prediction = g.prediction AND p.bin = g.bin GROUP BY g.prediction, g.bin)"""
-GLOBAL_RAW = "graw AS (SELECT bin, CAST(sum(n_true + n_false) AS BIGINT) AS weight, CASE WHEN sum(n_true + n_false) > 0 THEN sum(n_true) / sum(n_true + n_false) END AS ratio FROM tf GROUP BY bin)"
+GLOBAL_RAW = """graw AS (SELECT bin, n AS sum, CAST(sum(n) OVER () AS BIGINT) AS weight, CASE WHEN n > 0 THEN t / n END AS ratio
+  FROM (SELECT bin, CAST(sum(n_true) AS BIGINT) AS t, CAST(sum(n_true + n_false) AS BIGINT) AS n FROM tf GROUP BY bin))"""
 
 
 def fill_sql(source: str, value: str, keys: str, ends: bool) -> str:

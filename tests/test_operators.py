@@ -128,10 +128,29 @@ def test_interpolation(spark, ends, expected):
 
 
 def test_confidence_merge(spark):
-    prior = long(spark, [(0, 0.8, 100, 100)], "bin int, confidence double, weight long, sum long")
-    current = long(spark, [(0, 0.6, 50)], "bin int, confidence double, weight long")
-    row = annotate.merge_confidence(current, prior, 20).first()
-    assert (round(row.confidence, 6), row.weight, row["sum"]) == (0.641379, 150, 150)
+    columns = "bin int, confidence double, weight long, sum long"
+    prior, current = long(spark, [(0, 0.8, 100, 70), (1, 0.5, 100, 30)], columns), long(spark, [(0, 0.6, 50, 10), (1, 1.0, 50, 40)], columns)
+    # k = 1 + 20 * 50 / 150, one weight for all bins
+    w = 50 * (1 + 20 * 50 / 150)
+    rows = annotate.merge_confidence(current, prior, 20).orderBy("bin").collect()
+    assert [tuple(r) for r in rows] == [(0, pytest.approx((80 + 0.6 * w) / (100 + w)), 150, 80), (1, pytest.approx((50 + w) / (100 + w)), 150, 70)]
+    assert sorted(map(tuple, annotate.merge_confidence(current).collect())) == [(0, 0.6, 50, 10), (1, 1.0, 50, 40)]
+    none = long(spark, [(0, None, 0, 0)], columns)
+    assert tuple(annotate.merge_confidence(none, none, 20).first()) == (0, None, 0, 0)
+    table = long(spark, [("A", 0, 3, 1), ("B", 0, 0, 2), ("A", 5, 4, 0)], "prediction string, bin int, n_true long, n_false long")
+    assert sorted(map(tuple, annotate.global_confidence(table).collect())) == [(0, 0.5, 10, 6), (5, 1.0, 10, 4)]
+
+
+def test_background_scores(spark):
+    pairs = long(spark, [("a", "k"), ("a", "m"), ("b", "z"), ("x", "k"), ("x", "z"), ("y", "m")], "seq_id string, kmer string")
+    sample, back = (long(spark, rows, "seq_id string, label string") for rows in ([("a", "A"), ("b", "B")], [("x", "A"), ("y", "B")]))
+    # of label A's k-mers k and m (1 each) and z (0), two thirds are chosen: k and m; the background gives k 1 and m -1 for A
+    got = {(r.label, r.background_label, r.seq_id): (r.total, r.norm) for r in scoring.background_scores(pairs, sample, back, 0.7).collect()}
+    assert got["A", "A", "x"] == (1.0, 1.0) and got["A", "A", "a"] == (0.0, 1.0) and got["A", "A", "y"] == (-1.0, 1.0)
+    own = scoring.fit_family_scores(pairs, sample, 0.7, others=back)[1]
+    both = {(r.label, r.seq_id): (r.score, r.weighted, r.subtracted) for r in scoring.combine_background(own, scoring.background_scores(pairs, sample, back, 0.7)).collect()}
+    # a has 2 of label A's scores, the largest total; x has 1
+    assert both["A", "x"] == (0.5, 0.0, -0.5) and both["A", "a"] == (1.0, 1.0, 1.0) and len(both) == 8
 
 
 def test_p_value(spark):
