@@ -1,166 +1,151 @@
-"""Fuzzy line deduplication by MinHash.
-
-A line's shingle hashes, sorted, are points on a circle. The three points from
-each of BANDS fixed marks on are a band key: that is three values of one
-permutation's MinHash order, and a band of two lines of similarity J agrees with
-probability J^3. Lines that share a key are compared with each other, in blocks.
-
-Shingles are taken at every character. In SQL functions this costs about 0.2 CPU
-seconds a million characters, so hashing and comparing are numpy in Arrow batches.
+"""Fuzzy line deduplication by MinHash. DataFrame functions only.
+
+1. Lines are told apart by 128 bits of hash of the normalised line. Each distinct
+   line is shingled once: every nine characters, one row and one 64-bit hash each.
+2. The hashes fall into SECTORS sectors; the least of a sector is one MinHash. ROWS
+   sectors are a band, so a band of two lines of similarity J agrees with a
+   probability of about J^3, and at 0.8 some band of all with one of 0.999.
+3. Lines that agree on a band meet. Pairs of a meeting are compared on their exact
+   shingle sets, pivot by pivot: first one pivot meets all others, then four times
+   as many in each round, until every member has been one. Pairs that links join
+   already need no comparison, all others get one.
+4. Components of the links follow from star rounds.
 """
 
-from collections.abc import Iterator
-
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import materialize, mix
+from lettermill.llm.common import materialize
 from lettermill.llm.components import connected_components
-from lettermill.llm.neardup import CountTree, count_points
-
-#: Characters of a shingle; marks on the circle (a power of two).
-SHINGLE, BANDS = 9, 8
-#: Members of one block of a large meeting, and rows that a comparing task takes on average.
-BLOCK, TASK_ROWS = 1024, 2048
-#: Characters that are hashed at once, and bits of a hash that order the points of a line; the bits above count the lines.
-CHARACTERS, BITS = 4_000_000, 48
-BASE = 0x9E3779B97F4A7C15
-
-
-def line_shingles(line: Column) -> Column:
-    """Every shingle of a line; a shorter line is its only one. None starts in the middle of a surrogate pair."""
-    every = F.regexp_extract_all(line, F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.when(F.char_length(line) >= SHINGLE, every).otherwise(F.array(line))
-
-
-def hashed_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all shingles of the lines in text order, and how many each line has. Shorter lines are filled up with zeros."""
-    lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
-    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-    whole = "".join(lines)
-    chars = np.frombuffer(whole.encode("latin-1") if whole.isascii() else whole.encode("utf-32-le"), np.uint8 if whole.isascii() else "<u4").astype(np.uint64)
-    # Horner's rule by doubling: values of 2, 4, 8 and then 9 characters
-    value, width = chars, 1
-    while width < SHINGLE:
-        step = min(width, SHINGLE - width)
-        ahead = value if step == width else chars
-        value = value[: len(value) - step] * np.uint64(pow(BASE, step, 1 << 64)) + ahead[width : width + len(value) - step]
-        width += step
-    counts = lengths - SHINGLE + 1
-    inside = np.arange(counts.sum()) + np.repeat(np.arange(len(lines)) * (SHINGLE - 1), counts)
-    return mix(value[inside]), counts
-
-
-def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the lines, one for each mark that has a point before the next mark: the hash of the three points from there on, around the circle; and how many each line has."""
-    hashes, counts = hashed_shingles(lines)
-    bits = np.uint64(BITS)
-    points = np.sort((np.repeat(np.arange(len(lines), dtype=np.uint64), counts) << bits) | (hashes >> np.uint64(64 - BITS)))
-    points = points[np.append(True, points[1:] != points[:-1])]
-    line = (points >> bits).astype(np.int64)
-    n = np.bincount(line, minlength=len(lines))
-    start = np.cumsum(n) - n
-    mark = points >> np.uint64(BITS - (BANDS.bit_length() - 1))
-    first = np.flatnonzero(np.append(True, mark[1:] != mark[:-1]))
-    of = line[first]
-    keys = np.zeros(len(first), np.uint64)
-    for j in range(3):
-        keys = mix(keys * np.uint64(BASE) + (points[start[of] + (first - start[of] + j) % n[of]] & np.uint64((1 << BITS) - 1)))
-    return keys, np.bincount(of, minlength=len(lines))
-
-
-def slices(lines: list[str]) -> Iterator[list[str]]:
-    """The lines in parts of about CHARACTERS characters and of no more lines than fit above the bits of a hash."""
-    part, size = [], 0
-    for line in lines:
-        part.append(line)
-        size += len(line)
-        if size > CHARACTERS or len(part) == 1 << (64 - BITS):
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
-def keyed(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, line_no, lid, norm) with the band keys instead of norm."""
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            found = [band_keys(part) for part in slices(batch.column(3).to_pylist())]
-            if found:
-                keys, counts = (np.concatenate(x) for x in zip(*found, strict=True))
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(keys.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["doc_id", "line_no", "lid", "keys"])
-
-    of_id = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "line_no", "lid", "norm").mapInArrow(run, f"doc_id {of_id}, line_no int, lid long, keys array<long>")
-
-
-def line_links(met: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) that span the similar lines of each meeting. met: distinct (p, lid), every line of a meeting p; texts: (lid, norm).
-
-    Every two lines of a meeting are compared, block against block, until links
-    join them; a link found does not take a line out.
-    """
-    blocks = met.groupBy("p").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    dealt = met.join(blocks, "p").withColumn("i", F.pmod(F.xxhash64("lid"), F.col("blocks"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = materialize(dealt.select("lid", F.xxhash64("p", F.least("i", "j"), F.greatest("i", "j")).alias("task")), "dealt")
-    n_tasks = max(1, -(-dealt.count() // TASK_ROWS))
-    dealt = dealt.select("lid", F.pmod("task", F.lit(n_tasks)).alias("task")).distinct()
-
-    def search(table):
-        import pyarrow as pa
 
-        lids, links = table.column("lid").to_pylist(), []
-        if len(lids) > 1:
-            own = [np.unique(hashed_shingles([x])[0]) for x in table.column("norm").to_pylist()]
-            links = CountTree(count_points(own), num, den, own).links()
-        return pa.table({"a": pa.array([lids[i] for i, _ in links], pa.int64()), "b": pa.array([lids[j] for _, j in links], pa.int64())})
-
-    return dealt.join(texts, "lid").select("lid", "task", "norm").groupBy("task").applyInArrow(search, "a long, b long")
+#: Characters of a shingle; sectors of a band and bands.
+SHINGLE, ROWS, BANDS = 9, 3, 10
+SECTORS = ROWS * BANDS
+#: Pivots of a meeting grow by this factor from round to round.
+GROWTH = 4
+#: Share of all lines from which copies of one line are folded before they move; at most 1 / HOT_SHARE lines are that frequent.
+HOT_SHARE = 1e-4
 
 
 def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, line_no (from 0), line and norm: the line in lower case, white space folded; blank lines have a null norm."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("line_no", "line"))
-    norm = F.trim(F.regexp_replace(F.lower("line"), r"\s+", " "))
+    # single blanks need no replacement
+    norm = F.trim(F.regexp_replace(F.lower("line"), r"\s{2,}|[\t\x0B\f\r]", " "))
     return rows.withColumn("norm", F.when(norm != "", norm))
 
 
+def shingle_rows(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and h, one row per shingle of `norm`: every nine characters, or the whole of a shorter line. Shingles are cut from fixed-width characters, which is linear."""
+    wide = lines.select(*keys, F.encode("norm", "UTF-32").alias("__wide"), F.char_length("norm").alias("__n"))
+    at = wide.select(*keys, "__wide", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("__n") - (SHINGLE - 1)))).alias("__at"))
+    return at.select(*keys, F.expr(f"xxhash64(substring(__wide, __at * 4 - 3, {4 * SHINGLE}))").alias("h"))
+
+
+def shingle_set(norm: Column) -> Column:
+    """Distinct shingle hashes of a line as an array, the same as in shingle_rows()."""
+    wide = F.array(F.struct(F.encode(norm, "UTF-32").alias("b"), F.char_length(norm).alias("n")))
+    cut = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), w["n"] - (SHINGLE - 1))), lambda i: F.xxhash64(F.substring(w["b"], i * 4 - 3, F.lit(4 * SHINGLE))))
+    return F.array_distinct(F.transform(wide, cut)[0])
+
+
+def band_keys(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and `bands`, an array of a hash for each band that has a shingle. Rows of equal keys must be in one partition already, then nothing is shuffled."""
+    least = shingle_rows(lines, keys).groupBy(*keys, F.pmod("h", F.lit(SECTORS)).cast("int").alias("sector")).agg(F.min("h").alias("least"))
+    bands = least.groupBy(*keys, F.expr(f"sector div {ROWS}").alias("band")).agg(F.bit_xor(F.xxhash64("sector", "least")).alias("key"))
+    return bands.groupBy(*keys).agg(F.collect_list(F.xxhash64("band", "key")).alias("bands"))
+
+
+def distinct_lines(rows: DataFrame) -> DataFrame:
+    """The distinct lines (hi, lo, norm) of rows (hi, lo, norm), dealt by (hi, lo). Copies of frequent lines are folded before they move."""
+    counts = rows.groupBy("hi", "lo").agg(F.count("*").alias("n"))
+    total = rows.count()
+    # fewer than 1 / HOT_SHARE rows
+    hot = F.broadcast(materialize(counts.where(F.col("n") > HOT_SHARE * total).select("hi", "lo"), "hot"))
+    frequent = rows.join(hot, ["hi", "lo"], "left_semi").distinct()
+    others = rows.join(hot, ["hi", "lo"], "left_anti")
+    return frequent.unionByName(others).repartition("hi", "lo").distinct()
+
+
+def compared(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose shingle sets are similar. texts: (id, norm)."""
+    sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("norm").alias("y")), "b")
+    sets = sides.select("a", "b", shingle_set(F.col("x")).alias("x"), shingle_set(F.col("y")).alias("y"))
+    both = sets.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("both"), (F.size("x") + F.size("y")).cast("long").alias("sizes"))
+    return both.where(F.col("both") * den >= (F.col("sizes") - F.col("both")) * num).select("a", "b")
+
+
+def line_links(met: DataFrame, texts: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between similar lines that meet, and their components (node, component). met: distinct (key, id); texts: (id, norm).
+
+    A member's turn as a pivot comes by a hash of key and id, the smallest id of a
+    meeting goes first. The pivots of a round are compared with all members whose
+    turn is not over and which no link joins to them so far.
+    """
+    sizes = met.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("first"))
+    place = (F.shiftrightunsigned(F.xxhash64("key", "id"), 11) / F.lit(float(1 << 53))) * F.col("size")
+    turn = F.when(F.col("id") == F.col("first"), 0).otherwise(F.greatest(F.lit(1), F.ceil(F.log(float(GROWTH), F.greatest(place, F.lit(1.0))))).cast("int"))
+    members = materialize(met.join(sizes, "key").select("key", "id", turn.alias("turn")), "members")
+    last = members.agg(F.max("turn")).first()[0] or 0
+    links = components = None
+    for now in range(last + 1):
+        held = members.where(F.col("turn") >= now)
+        if components is not None:
+            held = held.join(components, F.col("id") == F.col("node"), "left").select("key", "id", "turn", F.coalesce("component", "id").alias("component"))
+        else:
+            held = held.withColumn("component", F.col("id"))
+        pivots = held.where(F.col("turn") == now).select(F.col("key").alias("met"), F.col("id").alias("p"), F.col("component").alias("own"))
+        pairs = held.join(pivots, (F.col("key") == F.col("met")) & (F.col("component") != F.col("own")) & ((F.col("turn") > now) | (F.col("id") > F.col("p"))))
+        pairs = pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+        found = materialize(compared(pairs, texts, num, den), "found")
+        links = found if links is None else links.unionByName(found)
+        if components is None or not found.isEmpty():
+            components = materialize(connected_components(links), "components")
+    return links, components
+
+
 def similar_lines(docs: DataFrame, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per line of every row: doc_id, line_no, component_id, kept.
 
-    Lines whose normalised texts are equal are one; two others link when a band
-    key finds them and the exact Jaccard similarity of their shingle sets is
-    num / den or more. component_id is the smallest line hash of the component.
-    The first line of a component, by doc_id and line_no, is kept.
+    Lines whose normalised texts are equal are one (by 128 bits of hash); two
+    others link when they agree on a band and the exact Jaccard similarity of
+    their sets of all nine-character shingles is num / den or more; a shorter
+    line is its only shingle. component_id is the smallest line hash of the
+    component, in hexadecimal. The first line of a component, by doc_id and
+    line_no, is kept.
 
     Blank lines have no component and are kept; null text is one blank line. A
-    null doc_id sorts first; rows that repeat an id share what is kept. The lines
-    of a key meet under the smallest of them, and all pairs of a meeting are
-    compared. Other columns are not read. Shingles are told apart by 64-bit hashes.
+    null doc_id sorts first; rows that repeat an id share what is kept. No
+    meeting is capped and no pair of a meeting is left out but those that links
+    join already. Other columns are not read.
     """
     num, den = similarity
     rows = split_lines(docs, id_col, text_col)
-    lid = F.xxhash64("norm")
-    lines = materialize(keyed(rows.where("norm IS NOT NULL").withColumn("lid", lid)), "lines")
-    banded = lines.select("lid", F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("lid").alias("p"), F.max("lid").alias("q")).where("p <> q").select("key", "p")
-    met = materialize(banded.join(shared, "key").select("p", "lid").distinct(), "met")
-    wanted = met.select("lid").distinct()
-    texts = materialize(rows.where("norm IS NOT NULL").select(lid.alias("lid"), "norm").join(wanted, "lid", "left_semi").dropDuplicates(["lid"]), "texts")
-    components = connected_components(line_links(met, texts, num, den))
-    placed = lines.select("doc_id", "line_no", "lid").join(components.withColumnRenamed("node", "lid"), "lid", "left")
-    placed = materialize(placed.select("doc_id", "line_no", F.coalesce("component", "lid").alias("component_id")), "placed")
-    firsts = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "line_no", F.xxhash64("norm").alias("hi"), F.xxhash64(F.lit(1), "norm").alias("lo"), "norm")
+    lines = materialize(rows.where("norm IS NOT NULL"), "lines")
+    keyed = band_keys(distinct_lines(lines.select("hi", "lo", "norm")), ["hi", "lo"])
+    keyed = materialize(keyed.select(F.monotonically_increasing_id().alias("id"), "hi", "lo", "bands"), "bands")
+    banded = keyed.select("id", F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.min("id").alias("p"), F.max("id").alias("q")).where("p <> q").select("key")
+    met = materialize(banded.join(shared, "key"), "met")
+    wanted = keyed.join(met.select("id").distinct(), "id", "left_semi").select("id", "hi", "lo")
+    texts = materialize(lines.select("hi", "lo", "norm").join(wanted, ["hi", "lo"]).select("id", "norm").distinct(), "texts")
+    components = line_links(met, texts, num, den)[1].where("node <> component")
+    named = keyed.select("id", "hi", "lo")
+    several = components.unionByName(components.select(F.col("component").alias("node"), "component")).distinct()
+    several = several.join(named.select(F.col("id").alias("node"), "hi", "lo"), "node")
+    label = several.groupBy("component").agg(F.min(F.struct("hi", "lo")).alias("label"))
+    several = materialize(several.join(label, "component").select("hi", "lo", F.col("label.hi").alias("c_hi"), F.col("label.lo").alias("c_lo")), "labels")
+    placed = lines.select("doc_id", "line_no", "hi", "lo").join(several, ["hi", "lo"], "left").select("doc_id", "line_no", F.coalesce("c_hi", "hi").alias("hi"), F.coalesce("c_lo", "lo").alias("lo"))
+    placed = materialize(placed, "placed")
+    # doc_id and line_no as one number, a null doc_id below all
+    place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.expr("cast(-9223372036854775809 AS decimal(20,0))")) * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line_no").cast("decimal(11,0)")
+    firsts = placed.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.min("line_no").alias("line_no"))
+    name = F.concat(F.lpad(F.hex("hi"), 16, "0"), F.lpad(F.hex("lo"), 16, "0")).alias("component_id")
     # lines alone in their component need no join back
-    alone, several = firsts.where("n = 1").select("first.doc_id", "first.line_no", "component_id", F.lit(True).alias("kept")), firsts.where("n > 1").select("component_id", "first")
-    copies = placed.join(several, "component_id").select("doc_id", "line_no", "component_id", (F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))).alias("kept"))
-    blank = rows.where("norm IS NULL").select("doc_id", "line_no", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
+    alone = firsts.where("n = 1").select("doc_id", "line_no", name, F.lit(True).alias("kept"))
+    copies = placed.join(firsts.where("n > 1").select("hi", "lo", "first"), ["hi", "lo"]).select("doc_id", "line_no", name, (place == F.col("first")).alias("kept"))
+    blank = rows.where("norm IS NULL").select("doc_id", "line_no", F.lit(None).cast("string").alias("component_id"), F.lit(True).alias("kept"))
     return alone.unionByName(copies).unionByName(blank)
 
 

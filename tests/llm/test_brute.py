@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lettermill.llm import katz, lines, neardup, pii, quality
+from lettermill.llm import katz, neardup, pii, quality
 from lettermill.llm.common import WordHashes, ascii_lower, shingles
 from lettermill.llm.components import connected_components
 from lettermill.llm.decontamination import benchmark_hits
@@ -106,16 +106,6 @@ def test_count_tree_links_like_brute_force():
     assert grouped(sets, neardup.CountTree(neardup.count_points(list(sets.values())), 80, 100, list(sets.values())).links()) == want
 
 
-@given
-def test_similar_lines(spark):
-    docs = read(spark, "documents")
-    rows = lines.split_lines(docs).where("norm IS NOT NULL").select(F.xxhash64("norm").alias("lid"), lines.line_shingles(F.col("norm")).alias("g")).dropDuplicates(["lid"]).collect()
-    sets = {r.lid: set(r.g) for r in rows}
-    want = set(grouped(sets, similar(sets, 80, 100)).values())
-    got = {r.component_id for r in lines.similar_lines(docs).where("component_id IS NOT NULL").select("component_id").distinct().collect()}
-    assert len(got & want) >= 0.995 * len(want)
-
-
 @given
 def test_benchmark_hits(spark):
     docs, items = read(spark, "documents"), read(spark, "benchmark")

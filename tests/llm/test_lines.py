@@ -59,8 +59,8 @@ def test_chains_in_a_key_lose_no_link(spark):
     for i in range(40):
         base[rng.randrange(120)] = "klmnopqrst"[i % 10]
         chain.append("".join(base))
-    met = spark.createDataFrame([(0, i) for i in range(len(chain))], "p long, lid long")
-    texts = spark.createDataFrame(list(enumerate(chain)), "lid long, norm string")
+    met = spark.createDataFrame([(0, i) for i in range(len(chain))], "key long, id long")
+    texts = spark.createDataFrame(list(enumerate(chain)), "id long, norm string")
 
     def joined(pairs):
         root = list(range(len(chain)))
@@ -70,19 +70,31 @@ def test_chains_in_a_key_lose_no_link(spark):
         return root
 
     want = joined((a, b) for b in range(len(chain)) for a in range(b) if similar(chain[a], chain[b]))
-    for block in (4, 1024):
-        old, lines.BLOCK = lines.BLOCK, block
-        try:
-            links = [(r.a, r.b) for r in lines.line_links(met, texts, 80, 100).collect()]
-        finally:
-            lines.BLOCK = old
-        assert all(similar(chain[a], chain[b]) for a, b in links) and joined(links) == want
+    links, found = lines.line_links(met, texts, 80, 100)
+    links = [(r.a, r.b) for r in links.collect()]
+    assert all(similar(chain[a], chain[b]) for a, b in links) and joined(links) == want
+    assert {r.node: r.component for r in found.collect()} == {i: c for i, c in enumerate(want) if want.count(c) > 1}
     assert similar(chain[0], chain[1]) and not similar(chain[0], chain[-1])
 
 
-def test_numpy_shingles_are_those_of_the_sql_form(spark):
+def test_shingles_are_all_runs_of_nine_characters(spark):
     texts = ["a", "abc äöü", "nine char", "x" * 50, "the quick 𝒳 brown fox"]
-    sets = [set(r.g) for r in spark.createDataFrame([(t,) for t in texts], "t string").select(lines.line_shingles(F.col("t")).alias("g")).collect()]
-    for t, s in zip(texts, sets, strict=True):
-        hashes, counts = lines.hashed_shingles([t])
-        assert s == shingles(t) and len(set(hashes.tolist())) == len(s) and counts[0] == max(1, len(t) - 8)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, norm string")
+    exploded = {}
+    for r in lines.shingle_rows(rows, ["i"]).collect():
+        exploded.setdefault(r.i, []).append(r.h)
+    arrays = {r.i: r.s for r in rows.select("i", lines.shingle_set(F.col("norm")).alias("s")).collect()}
+    for i, t in enumerate(texts):
+        assert len(exploded[i]) == max(1, len(t) - 8) and set(exploded[i]) == set(arrays[i]) and len(arrays[i]) == len(shingles(t))
+
+
+def test_signatures_need_no_shuffle_of_shingles(spark):
+    rows = spark.createDataFrame([("a", 1, 1)] * 3, "norm string, hi long, lo long").repartition("hi", "lo")
+    plan = lines.band_keys(rows, ["hi", "lo"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_white_space_is_folded(spark):
+    text = "A\tb  c\x0b\x0c d\r\n \n x "
+    got = [r.norm for r in lines.split_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).orderBy("line_no").collect()]
+    assert got == ["a b c d", None, "x"]
