@@ -23,11 +23,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/lettermill-{uuid.uuid4().hex}"
 
 
+#: Setting under which Spark removes the shuffle files of an action when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
-    """Writes df as Parquet to the shared scratch folder and reads it back: lineage ends there and lost executors cost nothing that is done."""
-    path = f"{scratch_dir(df.sparkSession)}/{tag}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes df as Parquet to the shared scratch folder and reads it back: lineage ends there and lost executors cost nothing that is done.
+
+    Once the table is there, the shuffle files behind it are of no use and go. The
+    tables stay until the folder that spark.checkpoint.dir names is cleared.
+    """
+    spark, path = df.sparkSession, f"{scratch_dir(df.sparkSession)}/{tag}"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -4,7 +4,7 @@
    line is shingled once: every nine characters, one row and one 64-bit hash each.
 2. The hashes fall into SECTORS sectors; the least of a sector is one MinHash. ROWS
    sectors are a band, so a band of two lines of similarity J agrees with a
-   probability of about J^3, and at 0.8 some band of all with one of 0.999.
+   probability of about J^3, and at 0.8 some band of all with one of 0.997.
 3. Lines that agree on a band meet. Pairs of a meeting are compared on their exact
    shingle sets, pivot by pivot: first one pivot meets all others, then four times
    as many in each round, until every member has been one. Pairs that links join
@@ -12,6 +12,9 @@
 4. Components of the links follow from star rounds.
 """
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ from lettermill.llm.common import materialize
 from lettermill.llm.components import connected_components
 
 #: Characters of a shingle; sectors of a band and bands.
-SHINGLE, ROWS, BANDS = 9, 3, 10
+SHINGLE, ROWS, BANDS = 9, 3, 8
 SECTORS = ROWS * BANDS
 #: Pivots of a meeting grow by this factor from round to round.
 GROWTH = 4
@@ -30,8 +33,10 @@ HOT_SHARE = 1e-4
 def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, line_no (from 0), line and norm: the line in lower case, white space folded; blank lines have a null norm."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("line_no", "line"))
-    # single blanks need no replacement
-    norm = F.trim(F.regexp_replace(F.lower("line"), r"\s{2,}|[\t\x0B\f\r]", " "))
+    # single blanks need no replacement, and to look for others is quicker than the pattern
+    odd = reduce(operator.or_, [F.contains("line", F.lit(c)) for c in ("  ", "\t", "\x0b", "\f", "\r")])
+    low = F.lower("line")
+    norm = F.trim(F.when(odd, F.regexp_replace(low, r"\s{2,}|[\t\x0B\f\r]", " ")).otherwise(low))
     return rows.withColumn("norm", F.when(norm != "", norm))
 
 
@@ -56,15 +61,12 @@ def band_keys(lines: DataFrame, keys: list[str]) -> DataFrame:
     return bands.groupBy(*keys).agg(F.collect_list(F.xxhash64("band", "key")).alias("bands"))
 
 
-def distinct_lines(rows: DataFrame) -> DataFrame:
-    """The distinct lines (hi, lo, norm) of rows (hi, lo, norm), dealt by (hi, lo). Copies of frequent lines are folded before they move."""
-    counts = rows.groupBy("hi", "lo").agg(F.count("*").alias("n"))
-    total = rows.count()
-    # fewer than 1 / HOT_SHARE rows
-    hot = F.broadcast(materialize(counts.where(F.col("n") > HOT_SHARE * total).select("hi", "lo"), "hot"))
-    frequent = rows.join(hot, ["hi", "lo"], "left_semi").distinct()
-    others = rows.join(hot, ["hi", "lo"], "left_anti")
-    return frequent.unionByName(others).repartition("hi", "lo").distinct()
+def distinct_lines(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """The distinct lines (hi, lo, norm) of rows (hi, lo, norm), dealt by (hi, lo). lines: the same rows as a table without norm. Copies of frequent lines are folded before they move."""
+    frequent = lines.groupBy("hi", "lo").agg(F.count("*").alias("n")).where(F.col("n") > HOT_SHARE * lines.count())
+    hot = F.broadcast(materialize(frequent.select("hi", "lo"), "hot"))  # fewer than 1 / HOT_SHARE rows
+    folded = rows.join(hot, ["hi", "lo"], "left_semi").distinct()
+    return folded.unionByName(rows.join(hot, ["hi", "lo"], "left_anti")).repartition("hi", "lo").distinct()
 
 
 def compared(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
@@ -122,21 +124,24 @@ def similar_lines(docs: DataFrame, similarity: tuple[int, int] = (80, 100), id_c
     num, den = similarity
     rows = split_lines(docs, id_col, text_col)
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "line_no", F.xxhash64("norm").alias("hi"), F.xxhash64(F.lit(1), "norm").alias("lo"), "norm")
-    lines = materialize(rows.where("norm IS NOT NULL"), "lines")
-    keyed = band_keys(distinct_lines(lines.select("hi", "lo", "norm")), ["hi", "lo"])
+    # texts are split again where they are needed, which costs less than a table of them
+    filled = rows.where("norm IS NOT NULL")
+    lines = materialize(filled.drop("norm"), "lines")
+    keyed = band_keys(distinct_lines(filled.select("hi", "lo", "norm"), lines), ["hi", "lo"])
     keyed = materialize(keyed.select(F.monotonically_increasing_id().alias("id"), "hi", "lo", "bands"), "bands")
     banded = keyed.select("id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("id").alias("p"), F.max("id").alias("q")).where("p <> q").select("key")
-    met = materialize(banded.join(shared, "key"), "met")
-    wanted = keyed.join(met.select("id").distinct(), "id", "left_semi").select("id", "hi", "lo")
-    texts = materialize(lines.select("hi", "lo", "norm").join(wanted, ["hi", "lo"]).select("id", "norm").distinct(), "texts")
+    # a band has a key once at most
+    shared = materialize(banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
+    met = materialize(banded.join(shared.hint("shuffle_hash"), "key"), "met")
+    wanted = materialize(keyed.select("id", "hi", "lo").join(met.select("id").distinct(), "id", "left_semi"), "wanted")
+    texts = materialize(filled.select("hi", "lo", "norm").join(wanted.hint("shuffle_hash"), ["hi", "lo"]).select("id", "norm").distinct(), "texts")
     components = line_links(met, texts, num, den)[1].where("node <> component")
     named = keyed.select("id", "hi", "lo")
     several = components.unionByName(components.select(F.col("component").alias("node"), "component")).distinct()
     several = several.join(named.select(F.col("id").alias("node"), "hi", "lo"), "node")
     label = several.groupBy("component").agg(F.min(F.struct("hi", "lo")).alias("label"))
     several = materialize(several.join(label, "component").select("hi", "lo", F.col("label.hi").alias("c_hi"), F.col("label.lo").alias("c_lo")), "labels")
-    placed = lines.select("doc_id", "line_no", "hi", "lo").join(several, ["hi", "lo"], "left").select("doc_id", "line_no", F.coalesce("c_hi", "hi").alias("hi"), F.coalesce("c_lo", "lo").alias("lo"))
+    placed = lines.join(several.hint("shuffle_hash"), ["hi", "lo"], "left").select("doc_id", "line_no", F.coalesce("c_hi", "hi").alias("hi"), F.coalesce("c_lo", "lo").alias("lo"))
     placed = materialize(placed, "placed")
     # doc_id and line_no as one number, a null doc_id below all
     place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.expr("cast(-9223372036854775809 AS decimal(20,0))")) * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line_no").cast("decimal(11,0)")
