@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import WordHashes, mix, shingles, union_all
+from lettermill.llm.common import WordHashes, materialize, mix, shingles, union_all
 
 #: Hamming radius of the 64-bit fingerprints, and the bit blocks of the multi-index. Two fingerprints within the radius agree in some block up to RADIUS // BLOCKS bits.
 RADIUS, BLOCKS = 20, 7
@@ -27,16 +27,14 @@ def fingerprints(sums: np.ndarray) -> np.ndarray:
 
 
 class SimHashIndex:
-    """The items' fingerprints behind a multi-index, with their shingle counts."""
+    """The fingerprints of items (id, word hashes) of `width` words or more behind a multi-index, with their shingle counts. Items of one number of shingles stand side by side."""
 
-    def __init__(self, items: list[tuple[int, bytes]], width: int):
-        hashes = WordHashes()
+    def __init__(self, items: list[tuple[int, np.ndarray]], width: int):
+        self.width = width
         self.ids, self.counts, prints, lengths = [], [], [], []
         starts: dict[int, set[int]] = defaultdict(set)
-        for item_id, text in items:
-            own = shingles(hashes.of(text), width)
-            if not len(own):
-                continue
+        for item_id, words in sorted(items, key=lambda x: len(x[1])):
+            own = shingles(words, width)
             self.ids.append(item_id)
             values, counts = np.unique(own, return_counts=True)
             self.counts.append(dict(zip(values.tolist(), counts.tolist(), strict=True)))
@@ -56,9 +54,9 @@ class SimHashIndex:
             every = np.arange(int(mask) + 1, dtype=np.uint64)
             self.near.append(np.bitwise_count(every[:, None] ^ ((self.prints >> shift) & mask)[None, :]) <= RADIUS // BLOCKS)
 
-    def hits(self, words: np.ndarray, width: int, num: int, den: int) -> list[tuple[int, int, int, int, float]]:
+    def hits(self, words: np.ndarray, num: int, den: int) -> list[tuple[int, int, int, int, float]]:
         """(item, first word, words, Hamming distance, similarity) of the best window for each item of similarity num / den or more."""
-        own = shingles(words, width)
+        own = shingles(words, self.width)
         if not len(own) or not len(self.known):
             return []
         asked = np.flatnonzero(self.first[(own >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
@@ -75,18 +73,18 @@ class SimHashIndex:
         for m, chosen in windows.items():
             starts = np.array(sorted(chosen), np.int64)
             ends = np.minimum(starts + m, len(own))
-            items = np.flatnonzero(self.lengths == m)
+            left, right = np.searchsorted(self.lengths, [m, m + 1])
             for cut in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(starts) > m) + 1):
                 lo, hi = starts[cut[0]], ends[cut[-1]]
                 sums = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(bits(mix(own[lo:hi])), axis=0)])
                 prints = fingerprints(sums[ends[cut] - lo] - sums[starts[cut] - lo])
-                close = np.zeros((len(prints), len(items)), bool)
+                close = np.zeros((len(prints), right - left), bool)
                 for (shift, mask), near in zip(self.blocks, self.near, strict=True):
-                    close |= near[((prints >> shift) & mask).astype(np.int64)][:, items]
+                    close |= near[((prints >> shift) & mask).astype(np.int64), left:right]
                 w, i = np.nonzero(close)
-                far = np.bitwise_count(prints[w] ^ self.prints[items[i]])
+                far = np.bitwise_count(prints[w] ^ self.prints[left + i])
                 for w, i, far in zip(*(x[far <= RADIUS].tolist() for x in (w, i, far)), strict=True):
-                    start, end, item = int(starts[cut[w]]), int(ends[cut[w]]), int(items[i])
+                    start, end, item = int(starts[cut[w]]), int(ends[cut[w]]), int(left + i)
                     values, counts = np.unique(own[start:end], return_counts=True)
                     both = sum(min(c, self.counts[item].get(v, 0)) for v, c in zip(values.tolist(), counts.tolist(), strict=True))
                     all_ = end - start + int(self.lengths[item]) - both
@@ -94,18 +92,30 @@ class SimHashIndex:
                         found = (both / all_, -start, far)
                         if item not in best or found > best[item][0]:
                             best[item] = found, end - start
-        return [(self.ids[item], -f[1], min(n + width - 1, len(words)), f[2], f[0]) for item, (f, n) in sorted(best.items())]
+        return [(self.ids[item], -f[1], min(n + self.width - 1, len(words)), f[2], f[0]) for item, (f, n) in sorted(best.items())]
+
+
+def indexes(items: list[tuple[int, bytes]], width: int) -> list[SimHashIndex]:
+    """An index for the items of `width` words or more, and one for each smaller number of words, whose shingle is the whole item. Items without a word are left out."""
+    hashes = WordHashes()
+    by_width = defaultdict(list)
+    for item_id, text in items:
+        words = hashes.of(text)
+        if len(words):
+            by_width[min(width, len(words))].append((item_id, words))
+    return [SimHashIndex(own, w) for w, own in sorted(by_width.items())]
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: tuple[int, int] = (80, 100), block_items: int = BLOCK_ITEMS, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and item that it contains: doc_id, item_id, start_word, n_words, hamming, similarity (the best window; the first of equal ones).
 
     A window has as many `width`-word shingles as the item (a shorter document
-    is one window). Its SimHash is compared through the multi-index, and the
-    multiset Jaccard similarity of the shingles, weighted by how often each
-    occurs, decides. Only windows with a shingle of some item are hashed, since
-    others have similarity 0. Items are held in blocks of bounded size, each
-    read against all documents.
+    is one window); an item of fewer words is one shingle of its own width, which
+    a document has or has not. A window's SimHash is compared through the
+    multi-index, and the multiset Jaccard similarity of the shingles, weighted by
+    how often each occurs, decides. Only windows with a shingle of some item are
+    hashed, since others have similarity 0. Items are searched in blocks of
+    bounded size, one after the other; the hits of each are written.
 
     Null or empty texts and items match nothing; a null doc_id is reported as
     null; repeated rows are reported each. No other column is read.
@@ -116,18 +126,24 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 5, simila
 
     def block(k: int) -> DataFrame:
         rows = numbered.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).toArrow()
-        index = docs.sparkSession.sparkContext.broadcast(SimHashIndex(sorted(zip(rows["item_id"].to_pylist(), rows["text"].to_pylist(), strict=True), key=repr), width))
+        shared = docs.sparkSession.sparkContext.broadcast(indexes(sorted(zip(rows["item_id"].to_pylist(), rows["text"].to_pylist(), strict=True), key=repr), width))
 
         def search(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
             kinds = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start_word", pa.int32()), ("n_words", pa.int32()), ("hamming", pa.int32()), ("similarity", pa.float64())])
-            hashes, own = WordHashes(), index.value
+            hashes, parts = WordHashes(), shared.value
             for batch in batches:
-                found = [(doc_id, *hit) for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for hit in own.hits(hashes.of(text), width, *similarity)]
+                found = []
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    words = hashes.of(text)
+                    found += [(doc_id, *hit) for own in parts for hit in own.hits(words, *similarity)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*found, strict=True)) or [[]] * 6, kinds.types, strict=True)], schema=kinds)
 
-        return texts.mapInArrow(search, "doc_id long, item_id long, start_word int, n_words int, hamming int, similarity double")
+        hits = materialize(texts.mapInArrow(search, "doc_id long, item_id long, start_word int, n_words int, hamming int, similarity double"), "hits")
+        # the next block's index takes the place of this one
+        shared.destroy()
+        return hits
 
     return union_all([block(k) for k in range(n_blocks)])
 
