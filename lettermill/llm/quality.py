@@ -1,5 +1,6 @@
 """Ordinal cumulative-link regression of graded ratings on hashed text."""
 
+import math
 import operator
 import typing
 from collections.abc import Iterable, Iterator
@@ -11,8 +12,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-
 #: Hash buckets of words and their beginnings and, behind them, of word shapes.
 WORDS, SHAPES = 1 << 18, 1 << 10
 #: Bytes of the beginning of a longer word; inflected and compound forms of a rare stem share it.
@@ -29,7 +28,7 @@ KEEP_FROM = 0.5
 
 @dataclass
 class OrdinalModel:
-    """P(grade <= k) = sigmoid(thresholds[k] - score); score: summed weights of a text's distinct words and beginnings of words plus ten times the mean weight of its words' shapes and repeats."""
+    """P(grade <= k) = sigmoid(thresholds[k] - score); score: the sum of weights times Features of a text."""
 
     weights: np.ndarray
     thresholds: np.ndarray
@@ -56,17 +55,38 @@ def shape_bucket(word: bytes) -> int:
     return WORDS + xxhash.xxh3_64_intdigest(b"|".join([word[:at][:4], case, b"%d" % min(len(core), 12), word[at + len(core) :][:4]])) % SHAPES
 
 
-def features(text: bytes) -> tuple[list[int], list[float]]:
-    """Sparse features of one text: 1 for each bucket of a word or of a beginning, and for each shape ten times its share of the words, likewise for repeats."""
-    words = text.split()
-    found = dict.fromkeys({word_bucket(w) for w in set(words)}, 1.0)
-    found.update(dict.fromkeys(map(beginning_bucket, beginnings({w.lower().strip(MARKS) for w in words})), 1.0))
-    for w in words:
-        s = shape_bucket(w)
-        found[s] = found.get(s, 0.0) + 10 / len(words)
-    if words:
-        found[REPEATS] = 10 * sum(map(operator.eq, words, words[1:])) / len(words)
-    return list(found), list(found.values())
+class Features(dict):
+    """Sparse features of texts, the same for fit and score. As a dict: buckets of each word that was seen (its own and its shape's), up to `bound` words."""
+
+    def __init__(self, bound: int = 400_000):
+        super().__init__()
+        self.bound, self.starts = bound, {}
+
+    def __missing__(self, word: bytes) -> tuple[int, int]:
+        found = self[word] = word_bucket(word), shape_bucket(word)
+        return found
+
+    def of(self, text: bytes) -> dict[int, float]:
+        """Values by bucket: 1 for each bucket of a word or of a beginning, however many words fall into it, and for each shape ten times its share of the words, likewise for repeats."""
+        words = text.split()
+        if not words:
+            return {}
+        if len(self) > self.bound:
+            self.clear()
+            self.starts.clear()
+        distinct = set(words)
+        found = dict.fromkeys({self[w][0] for w in distinct}, 1.0)
+        for b in beginnings({w.lower().strip(MARKS) for w in distinct}):
+            bucket = self.starts.get(b)
+            if bucket is None:
+                bucket = self.starts[b] = beginning_bucket(b)
+            found[bucket] = 1.0
+        step = 10 / len(words)
+        for w in words:
+            s = self[w][1]
+            found[s] = found.get(s, 0.0) + step
+        found[REPEATS] = step * sum(map(operator.eq, words, words[1:]))
+        return found
 
 
 def sigmoid(x):
@@ -116,11 +136,12 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, n_grades: int, max_train: i
     def extract(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        own = Features()
         for batch in batches:
-            found = [features(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int64())], names=["at", "value", "grade", "id"])
+            found = [sorted(own.of(t).items()) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([[x for x, _ in f] for f in found], pa.list_(pa.int32())), pa.array([[y for _, y in f] for f in found], pa.list_(pa.float64())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int64())], names=["at", "value", "grade", "id"])
 
-    rows = rated.mapInArrow(extract, "at array<int>, value array<float>, grade int, id long").toArrow().sort_by("id").combine_chunks()
+    rows = rated.mapInArrow(extract, "at array<int>, value array<double>, grade int, id long").toArrow().sort_by("id").combine_chunks()
     at, value = (pa_flat(rows[name]) for name in ("at", "value"))
     lengths = np.concatenate([np.diff(c.offsets.to_numpy()) for c in rows["at"].chunks]) if rows.num_rows else np.zeros(0, np.int64)
     return fit_ordinal(lengths, at, value, rows["grade"].to_numpy(), n_grades)
@@ -133,42 +154,39 @@ def pa_flat(column) -> np.ndarray:
 
 def score_column(spark: SparkSession, text: Column, model: OrdinalModel) -> Column:
     """The model's score of a text as a column; the weights (2 MB, fixed) are broadcast."""
-    shared = spark.sparkContext.broadcast(model.weights.astype(np.float32))
+    shared = spark.sparkContext.broadcast(model.weights)
 
     @F.pandas_udf("double")
     def score(batches: typing.Iterator[pd.Series]) -> typing.Iterator[pd.Series]:
-        weights = shared.value
-        repeats = float(weights[REPEATS])
-        memo: dict[bytes, tuple[float, float]] = {}
-        starts: dict[bytes, float] = {}
+        weights, own = shared.value.tolist(), Features()
         for batch in batches:
-            out = []
-            for text in batch:
-                words = text.split()
-                if len(memo) > 400_000:
-                    memo.clear()
-                    starts.clear()
-                for w in set(words).difference(memo):
-                    memo[w] = float(weights[word_bucket(w)]), float(weights[shape_bucket(w)])
-                lowered = {w.lower().strip(MARKS): w for w in set(words)}
-                begun = beginnings(lowered)
-                for b in begun.difference(starts):
-                    starts[b] = float(weights[beginning_bucket(b)])
-                out.append(sum(memo[w][0] for w in lowered.values()) + sum(map(starts.__getitem__, begun)) + (10 * (sum(memo[w][1] for w in words) + repeats * sum(map(operator.eq, words, words[1:]))) / len(words) if words else 0.0))
-            yield pd.Series(out, dtype="float64")
+            # fsum: the order of the features makes no difference
+            yield pd.Series([math.fsum([weights[x] * y for x, y in own.of(text).items()]) for text in batch], dtype="float64")
 
     return score(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
 
 
+NAMES = ("score", "expected_grade", "tail_probability", "keep")
+
+
+def free_prefix(columns: list[str], prefix: str = "") -> str:
+    """prefix, with as many underscores ahead as keep NAMES behind it apart from the columns (names differ in more than case)."""
+    taken = {c.lower() for c in columns}
+    while any(prefix.lower() + n in taken for n in NAMES):
+        prefix = "_" + prefix
+    return prefix
+
+
 def score_quality(docs: DataFrame, model: OrdinalModel, text_col: str = "text", keep_from: float = KEEP_FROM, prefix: str = "") -> DataFrame:
     """docs with columns score, expected_grade, tail_probability (of the best grade) and keep, whose names get `prefix`.
 
     Null and empty texts have no words: their score is 0. Every row stays and
-    all columns of docs; a prefix keeps clashing names apart.
+    all columns of docs; where a name is taken, the prefix is free_prefix().
     """
-    scored = docs.withColumn(f"{prefix}score", score_column(docs.sparkSession, F.col(text_col), model))
-    above = [1 / (1 + F.exp(F.lit(float(t)) - F.col(f"{prefix}score"))) for t in model.thresholds]
-    return scored.withColumns({f"{prefix}expected_grade": sum(above[1:], above[0]), f"{prefix}tail_probability": above[-1]}).withColumn(f"{prefix}keep", F.col(f"{prefix}tail_probability") >= keep_from)
+    p = free_prefix(docs.columns, prefix)
+    scored = docs.withColumn(f"{p}score", score_column(docs.sparkSession, F.col(text_col), model))
+    above = [1 / (1 + F.exp(F.lit(float(t)) - F.col(f"{p}score"))) for t in model.thresholds]
+    return scored.withColumns({f"{p}expected_grade": sum(above[1:], above[0]), f"{p}tail_probability": above[-1]}).withColumn(f"{p}keep", F.col(f"{p}tail_probability") >= keep_from)
 
 
 def quality_grades(labels: DataFrame) -> DataFrame:
