@@ -34,7 +34,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """The rows of docs, all columns, that exact_dedup keeps; rows with a null id are kept or dropped as one."""
-    kept = exact_dedup(docs, id_col, text_col, keep).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept_id")), "left_semi")
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", normalize=ascii_lower) -> DataFrame:
+    """The rows of docs, all columns, that exact_dedup keeps, told by id and text; so an id that repeats with another text brings nothing back.
+
+    Of rows with equal id and equal text one stays: the first in the order of all
+    their columns as JSON. So a group of null ids keeps one row.
+    """
+    kept = exact_dedup(docs, id_col, text_col, keep, normalize).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"))
+    kept = materialize(kept, "kept")
+    keys = [F.col(id_col).eqNullSafe(F.col("__kept_id")), F.col("__sha") == F.col("__kept_sha")]
+    marked = docs.withColumn("__sha", F.sha2(normalize(F.col(text_col)), 256))
+    of = lambda rows: rows.select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = marked.join(of(kept.where("n = 1")), keys, "left_semi").select(*columns)
+    row = F.struct(*columns)
+    repeated = marked.join(of(kept.where("n > 1")), keys, "left_semi").groupBy(F.col(id_col).alias("__id"), "__sha").agg(F.min_by(row, F.to_json(row)).alias("__row"))
+    return once.unionByName(repeated.select("__row.*"))

@@ -1,5 +1,6 @@
 """Best-fit packing of tokenised documents into sequences by the sum-of-squares rule."""
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -15,6 +16,18 @@ SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Letters and ASCII marks behind them, which the tokenizer encodes apart. Apostrophes can go with letters and are left to the tokenizer.
 PLAIN = re.compile(r"""([^\W\d_]+)([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)?""")
+#: Settings of a tokenizer file under which words and marks can be encoded apart; any other file encodes whole texts.
+WORD_BPE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
 #: Pieces that one packing task takes on average.
 GROUP_PIECES = 20_000
 
@@ -39,6 +52,8 @@ class ChunkIds(dict):
         super().__init__()
         self.tokenizer, self.bound, self.parts, self.letters = Tokenizer.from_file(path), bound, {}, byte_letters()
         self.model = self.tokenizer.model
+        settings = json.loads(self.tokenizer.to_str())
+        self.apart = all(settings[k] == v for k, v in WORD_BPE.items()) and settings["model"]["type"] == "BPE"
 
     def part(self, text: str) -> bytes:
         """Ids of lower-case letters, or of marks."""
@@ -67,6 +82,8 @@ class ChunkIds(dict):
         return ids
 
     def of(self, text: str) -> bytes:
+        if not self.apart:
+            return self.encode(text)
         chunks = SPACES.split(text) if SEPARATORS.search(text) else text.split()
         return b"".join(map(self.__getitem__, chunks))
 
@@ -126,9 +143,13 @@ def place_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GR
 
     Pieces are dealt by hash into groups of about `group_pieces`, and each group
     is packed by itself with sum_of_squares; a group leaves a sequence or two
-    unfilled. Sequences are gapless from offset 0. No row is dropped.
+    unfilled. Sequences are gapless from offset 0. No row is dropped: rows with a
+    null doc_id and repeated rows are pieces like others. Equal lengths are taken
+    in the order in which they reach the task. Columns sequence_id and offset of
+    the input are replaced. No pieces give no rows; a null or too large length is
+    an error.
     """
-    pieces = materialize(pieces, "pieces")
+    pieces = materialize(pieces.drop("sequence_id", "offset", "__group"), "pieces")
     n_groups = max(1, -(-pieces.count() // group_pieces))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
 

@@ -30,7 +30,7 @@ def stratified_shards(docs: DataFrame, n_shards: int, seed: int = 0, id_col: str
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         F.xxhash64(F.lit("source"), F.col(source_col).cast("string"), F.col(source_col).isNull()).alias("key"),
-        F.xxhash64(F.lit(seed), F.col(id_col)).alias("draw"),
+        F.xxhash64(F.lit(seed), F.col(id_col), text).alias("draw"),
         (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
     )
