@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import materialize
+from lettermill.llm.common import materialize, union_all
 from lettermill.llm.components import connected_components
 
 #: Characters of a shingle; sectors of a band and bands.
@@ -80,30 +80,35 @@ def compared(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFram
 def line_links(met: DataFrame, texts: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between similar lines that meet, and their components (node, component). met: distinct (key, id); texts: (id, norm).
 
-    A member's turn as a pivot comes by a hash of key and id, the smallest id of a
+    A member's turn as a pivot comes by a hash of its id, the smallest id of a
     meeting goes first. The pivots of a round are compared with all members whose
-    turn is not over and which no link joins to them so far.
+    turn is not over and which no link joins to them so far; sets of too different
+    sizes are never similar, and a pair of several meetings is compared once.
     """
     sizes = met.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("first"))
-    place = (F.shiftrightunsigned(F.xxhash64("key", "id"), 11) / F.lit(float(1 << 53))) * F.col("size")
+    place = (F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))) * F.col("size")
     turn = F.when(F.col("id") == F.col("first"), 0).otherwise(F.greatest(F.lit(1), F.ceil(F.log(float(GROWTH), F.greatest(place, F.lit(1.0))))).cast("int"))
-    members = materialize(met.join(sizes, "key").select("key", "id", turn.alias("turn")), "members")
+    n = texts.select("id", F.size(shingle_set(F.col("norm"))).cast("long").alias("n"))
+    members = materialize(met.join(sizes, "key").join(n, "id").select("key", "id", "n", turn.alias("turn")), "members")
     last = members.agg(F.max("turn")).first()[0] or 0
-    links = components = None
+    links, tried, components = [], [], None
     for now in range(last + 1):
         held = members.where(F.col("turn") >= now)
         if components is not None:
-            held = held.join(components, F.col("id") == F.col("node"), "left").select("key", "id", "turn", F.coalesce("component", "id").alias("component"))
+            held = held.join(components, F.col("id") == F.col("node"), "left").select("key", "id", "n", "turn", F.coalesce("component", "id").alias("component"))
         else:
             held = held.withColumn("component", F.col("id"))
-        pivots = held.where(F.col("turn") == now).select(F.col("key").alias("met"), F.col("id").alias("p"), F.col("component").alias("own"))
-        pairs = held.join(pivots, (F.col("key") == F.col("met")) & (F.col("component") != F.col("own")) & ((F.col("turn") > now) | (F.col("id") > F.col("p"))))
+        pivots = held.where(F.col("turn") == now).select(F.col("key").alias("met"), F.col("id").alias("p"), F.col("n").alias("m"), F.col("component").alias("own"))
+        near = F.least("n", "m") * den >= F.greatest("n", "m") * num
+        pairs = held.join(pivots, (F.col("key") == F.col("met")) & (F.col("component") != F.col("own")) & near & ((F.col("turn") > now) | (F.col("id") > F.col("p"))))
         pairs = pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
-        found = materialize(compared(pairs, texts, num, den), "found")
-        links = found if links is None else links.unionByName(found)
-        if components is None or not found.isEmpty():
-            components = materialize(connected_components(links), "components")
-    return links, components
+        if tried:
+            pairs = pairs.join(union_all(tried), ["a", "b"], "left_anti")
+        tried.append(materialize(pairs, "pairs"))
+        links.append(materialize(compared(tried[-1], texts, num, den), "found"))
+        if components is None or not links[-1].isEmpty():
+            components = materialize(connected_components(union_all(links)), "components")
+    return union_all(links), components
 
 
 def similar_lines(docs: DataFrame, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
