@@ -34,6 +34,13 @@ def with_totals(counts: DataFrame, totals: DataFrame) -> DataFrame:
     return counts.unionByName(totals.select(F.lit("Totals").alias("annotation"), "kmer", F.col("total").alias("cnt")))
 
 
+def sizes_with_totals(sizes: DataFrame, seqs: DataFrame, totals: DataFrame) -> DataFrame:
+    """sizes (annotation, n_seqs, n_kmers) and the row `Totals`: all sequences, annotated or not, and the sum of totals (kmer, total)."""
+    n = seqs.agg(F.count("*").alias("n_seqs")).withColumn("__all", F.lit(0))
+    k = totals.agg(F.coalesce(F.sum("total"), F.lit(0)).cast("long").alias("n_kmers")).withColumn("__all", F.lit(0))
+    return sizes.unionByName(n.join(k, "__all").select(F.lit("Totals").alias("annotation"), "n_seqs", "n_kmers"))
+
+
 def merge_counts(*parts: DataFrame) -> DataFrame:
     """Sum per annotation and k-mer."""
     return reduce(DataFrame.unionByName, parts).groupBy("annotation", "kmer").agg(F.sum("cnt").alias("cnt"))
@@ -142,12 +149,17 @@ def merge_confidence(current: DataFrame, prior: DataFrame | None = None, modifie
 
 
 def apply_annotations(seq_ids: DataFrame, counts: DataFrame, profiles: DataFrame, confidence: DataFrame | None = None) -> DataFrame:
-    """seq_id, prediction, score, delta, confidence: the best annotation of each sequence by cosine.
+    """apply_scores with the cosines of counts (seq_id, kmer, cnt) and profiles (annotation, kmer, cnt)."""
+    return apply_scores(seq_ids, cosine_scores(counts, profiles), confidence)
+
+
+def apply_scores(seq_ids: DataFrame, scores: DataFrame, confidence: DataFrame | None = None) -> DataFrame:
+    """seq_id, prediction, score, delta, confidence: the best annotation of each sequence by its scores.
 
     delta: top minus second, in hundredths; null with fewer than two annotations.
     Sequences without a k-mer of any annotation have a null prediction and score 0.
     """
-    best = predictions(cosine_scores(counts, profiles), seq_ids.select("seq_id", F.lit(None).cast("string").alias("actual"), F.lit(False).alias("known")))
+    best = predictions(scores, seq_ids.select("seq_id", F.lit(None).cast("string").alias("actual"), F.lit(False).alias("known")))
     table = confidence.select("bin", "confidence") if confidence is not None else best.sparkSession.createDataFrame([], "bin int, confidence double")
     return best.join(table, "bin", "left").select("seq_id", "prediction", F.coalesce("top", F.lit(0.0)).alias("score"), (F.col("bin") / 100).alias("delta"), "confidence")
 

@@ -6,11 +6,13 @@ sequence; validity (all characters are classes of the alphabet) is part of it.
 
 from functools import reduce
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettermill.functions.alphabets import alphabet_keys, key_pattern, reduce_sequence
+from lettermill.operators.store import numbered
 
 
 def kmer_array(sequence: Column, k: int, alphabet="hydro") -> Column:
@@ -35,8 +37,12 @@ def kmer_rows(seqs: DataFrame, k: int, alphabet="hydro", keep: tuple[str, ...] =
 
 
 def kmer_counts(seqs: DataFrame, k: int, alphabet="hydro", basis: DataFrame | None = None) -> DataFrame:
-    """seq_id, kmer, cnt: occurrences of the k-mers (of the basis) in each sequence."""
-    counts = kmer_rows(seqs, k, alphabet).groupBy("seq_id", "kmer").agg(F.count("*").alias("cnt"))
+    """seq_id, kmer, cnt: occurrences of the k-mers (of the basis) in each sequence.
+
+    Sequences are dealt by seq_id, which moves each letter once; windows and
+    counts, many times as large, stay where their sequence is.
+    """
+    counts = kmer_rows(seqs.select("seq_id", "sequence").repartition("seq_id"), k, alphabet).groupBy("seq_id", "kmer").agg(F.count("*").alias("cnt"))
     return harmonize(counts, basis) if basis is not None else counts
 
 
@@ -76,18 +82,22 @@ def harmonize(rows: DataFrame, basis: DataFrame) -> DataFrame:
     return rows.join(basis.select("kmer").distinct(), "kmer", "left_semi").select(*rows.columns)
 
 
-def harmonize_dense(counts: DataFrame, basis: DataFrame) -> DataFrame:
-    """seq_id and values, the counts in the order of basis (kmer, idx from 0) with 0 for absent ones; for export, as each row is as wide as the basis."""
-    size = basis.count()
-    present = counts.join(basis, "kmer").groupBy("seq_id").agg(F.map_from_entries(F.collect_list(F.struct("idx", F.col("cnt").cast("double")))).alias("m"))
-    ids = counts.select("seq_id").distinct()
-    cell = lambda i: F.coalesce(F.try_element_at("m", i.cast("bigint")), F.lit(0.0))
-    return ids.join(present, "seq_id", "left").select("seq_id", F.transform(F.sequence(F.lit(0), F.lit(max(0, size - 1))), cell).alias("values"))
+@F.udf(VectorUDT())
+def sparse_vector(size, cells):
+    return Vectors.sparse(size, [c.idx for c in cells or []], [c.value for c in cells or []])
 
 
 def to_vectors(counts: DataFrame, basis: DataFrame) -> DataFrame:
-    """seq_id and features: MLlib vectors in the order of basis (kmer, idx)."""
-    return harmonize_dense(counts, basis).select("seq_id", array_to_vector("values").alias("features"))
+    """seq_id and features: sparse MLlib vectors in the order of basis (kmer, idx from 0); a sequence without any k-mer of the basis has an empty one."""
+    size = basis.count()
+    cells = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("cnt").cast("double").alias("value"))))
+    present = counts.join(basis.select("kmer", "idx"), "kmer").groupBy("seq_id").agg(cells.alias("cells"))
+    return counts.select("seq_id").distinct().join(present, "seq_id", "left").select("seq_id", sparse_vector(F.lit(size), "cells").alias("features"))
+
+
+def harmonize_dense(counts: DataFrame, basis: DataFrame) -> DataFrame:
+    """seq_id and values, the counts in the order of basis (kmer, idx from 0) with 0 for absent ones; for export, as each row is as wide as the basis."""
+    return to_vectors(counts, basis).select("seq_id", vector_to_array("features").alias("values"))
 
 
 def common_basis(*bases: DataFrame) -> DataFrame:
@@ -96,8 +106,8 @@ def common_basis(*bases: DataFrame) -> DataFrame:
 
 
 def indexed(basis: DataFrame) -> DataFrame:
-    """basis with idx, its place in order; meant for a basis that a model can have as columns."""
-    return basis.select("kmer").distinct().select("kmer", (F.row_number().over(Window.orderBy("kmer")) - 1).cast("long").alias("idx"))
+    """The distinct k-mers of basis with idx, their place in order."""
+    return numbered(basis.select("kmer").distinct(), ["kmer"])
 
 
 def filter_by_rep(pairs: DataFrame, min_rep: int = 0, max_rep: int | None = None) -> DataFrame:

@@ -3,11 +3,12 @@
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lettermill.operators.store import written
+
 CLASSIFIERS = {
     "decisiontree": DecisionTreeClassifier,
     "randomforest": RandomForestClassifier,
@@ -26,28 +27,53 @@ def make_classifier(name: str, **params):
 
 def balanced_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
     """df with weight: rows / (labels * rows of the label)."""
-    sizes = df.groupBy(label_col).agg(F.count("*").alias("n"))
-    return df.join(F.broadcast(sizes.select(label_col, (F.sum("n").over(Window.partitionBy()) / (F.count("*").over(Window.partitionBy()) * F.col("n"))).alias("weight"))), label_col)
-
-
-def fit_family_model(scores: DataFrame, c: float = 1.0):
-    """Logistic regression of in_family on score with L2 strength 1 / (c n), unscaled."""
-    rows = VectorAssembler(inputCols=["score"], outputCol="features").transform(scores.select(F.col("in_family").cast("double").alias("label"), "score"))
-    n = max(1, rows.count())
-    return LogisticRegression(regParam=1 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-9).fit(rows)
-
-
-def fit_family_models(scores: DataFrame) -> DataFrame:
-    """label, w, b: one logistic model per label. The driver loops over labels (families), not rows."""
-    labels = sorted(r.label for r in scores.select("label").distinct().collect())
-    fits = [(x, fit_family_model(scores.where(F.col("label") == x))) for x in labels]
-    return scores.sparkSession.createDataFrame([(x, float(m.coefficients[0]), float(m.intercept)) for x, m in fits], "label string, w double, b double")
+    sizes = df.groupBy(label_col).agg(F.count("*").alias("n"))  # a row per label
+    return df.join(sizes.select(label_col, (F.sum("n").over(Window.partitionBy()) / (F.count("*").over(Window.partitionBy()) * F.col("n"))).alias("weight")), label_col)
+
+
+def fit_family_models(scores: DataFrame, c: float = 1.0, steps: int = 30, tol: float = 1e-10) -> DataFrame:
+    """label, w, b: per label a logistic regression of in_family on score, with penalty w^2 / (2 c) and a free offset.
+
+    Newton's method for all labels at once: a step is one grouped sum over the
+    rows, and five numbers per label reach the driver. Labels of one class only
+    have no finite offset; they keep what the last step gave.
+    """
+    spark = scores.sparkSession
+    rows = written(scores.select("label", F.col("score").alias("x"), F.col("in_family").cast("double").alias("y")))
+    at = {r.label: (0.0, 0.0) for r in rows.select("label").distinct().collect()}
+    open_ = set(at)
+    for _ in range(steps):
+        if not open_:
+            break
+        now = spark.createDataFrame([(k, *at[k]) for k in sorted(open_)], "label string, w double, b double")
+        p = 1 / (1 + F.exp(-(F.col("w") * F.col("x") + F.col("b"))))
+        met = rows.join(now, "label").select("label", "x", (p - F.col("y")).alias("e"), (p * (1 - p)).alias("h"))
+        sums = met.groupBy("label").agg(F.sum(F.col("e") * F.col("x")).alias("gw"), F.sum("e").alias("gb"), F.sum(F.col("h") * F.col("x") * F.col("x")).alias("ww"), F.sum(F.col("h") * F.col("x")).alias("wb"), F.sum("h").alias("bb"))
+        for r in sums.collect():
+            w, b = at[r.label]
+            gw, gb, ww, wb, bb = w + c * r.gw, c * r.gb, 1 + c * r.ww, c * r.wb, c * r.bb
+            det = ww * bb - wb * wb
+            if det <= 1e-300:
+                open_.discard(r.label)
+                continue
+            dw, db = (bb * gw - wb * gb) / det, (ww * gb - wb * gw) / det
+            at[r.label] = w - dw, b - db
+            if max(abs(dw), abs(db)) < tol:
+                open_.discard(r.label)
+    return spark.createDataFrame([(k, *v) for k, v in sorted(at.items())], "label string, w double, b double")
 
 
 def predict_families(scores: DataFrame, params: DataFrame) -> DataFrame:
-    """scores (label, seq_id, score) with probability and in_family by (label, w, b)."""
+    """scores (label, seq_id, score and any others) with probability and in_family by (label, w, b)."""
     p = 1 / (1 + F.exp(-(F.col("w") * F.col("score") + F.col("b"))))
-    return scores.join(F.broadcast(params), "label").withColumn("probability", p).withColumn("in_family", F.col("probability") > 0.5).drop("w", "b")
+    return scores.join(params, "label").withColumn("probability", p).withColumn("in_family", F.col("probability") > 0.5).drop("w", "b")
+
+
+def search_results(model: CrossValidatorModel, spark: SparkSession) -> DataFrame:
+    """params, score, best: the mean score of each point of the grid, and which is the best (the first of equal ones)."""
+    rows = [(", ".join(f"{k.name}={v}" for k, v in sorted(p.items(), key=lambda x: x[0].name)), float(s)) for p, s in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True)]
+    best = max(range(len(rows)), key=lambda i: rows[i][1])
+    return spark.createDataFrame([(*r, i == best) for i, r in enumerate(rows)], "params string, score double, best boolean")
 
 
 def grid_search(df: DataFrame, classifier: str = "decisiontree", depths: tuple[int, ...] = (2, 4, 8), leaves: tuple[int, ...] = (1, 5), folds: int = 3, seed: int = 0) -> CrossValidatorModel:

@@ -1,13 +1,14 @@
 """Motifs: k-mers ranked by how rarely shuffled labels give them a score as high as the real ones."""
 
-import numpy as np
+from functools import reduce
+
 from pyspark.ml.classification import LinearSVC
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.operators.kmers import indexed, to_vectors
 from lettermill.operators.models import balanced_weights
-from lettermill.operators.store import written
+from lettermill.operators.store import numbered, written
 
 
 def svm_weights(pairs: DataFrame, labels: DataFrame, family: str, reg: float = 0.01) -> DataFrame:
@@ -17,13 +18,15 @@ def svm_weights(pairs: DataFrame, labels: DataFrame, family: str, reg: float = 0
     The basis is the model's columns; what goes back to the driver is one weight each.
     """
     basis = written(indexed(pairs))
-    vectors = to_vectors(pairs.withColumn("cnt", F.lit(1)), basis).join(labels, "seq_id")
+    return _fit(to_vectors(pairs.withColumn("cnt", F.lit(1)), basis).join(labels, "seq_id"), basis, family, reg)
+
+
+def _fit(vectors: DataFrame, basis: DataFrame, family: str, reg: float) -> DataFrame:
     # the fit reads its rows once per step
     rows = written(balanced_weights(vectors.withColumn("label", (F.col("label") == family).cast("double"))))
-    model = LinearSVC(weightCol="weight", regParam=reg, maxIter=50).fit(rows)
-    w = model.coefficients.toArray()
+    w = LinearSVC(weightCol="weight", regParam=reg, maxIter=50).fit(rows).coefficients.toArray()
     w = w / w.max() if w.max() > 0 else w
-    weights = pairs.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(w)], "idx long, weight double")
+    weights = basis.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(w)], "idx long, weight double")
     return basis.join(weights, "idx").select("kmer", "weight")
 
 
@@ -48,12 +51,16 @@ def eliminate_features(pairs: DataFrame, labels: DataFrame, family: str, stop: f
 
 
 def permute_labels(labels: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """perm from 1 to n, seq_id, label: the labels shuffled over the sequences, anew for each perm."""
-    perms = labels.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    place = lambda *order: F.row_number().over(Window.partitionBy("perm").orderBy(*order))
-    ids = perms.select("perm", "seq_id", place("seq_id").alias("i"))
-    shuffled = perms.select("perm", "label", place(F.md5(F.concat_ws(":", F.lit(seed), "perm", "seq_id")), "seq_id").alias("i"))
-    return ids.join(shuffled, ["perm", "i"]).select("perm", "seq_id", "label")
+    """perm from 1 to n, seq_id, label: the labels shuffled over the sequences, anew for each perm.
+
+    The label of the i-th sequence in the order of a seeded hash goes to the i-th
+    sequence in order. Both orders are ranked by ranges, so no task has a whole one.
+    """
+    ids = written(numbered(labels.select("seq_id"), ["seq_id"], "i"))
+    size = ids.count()
+    perms = labels.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn("draw", F.md5(F.concat_ws(":", F.lit(seed), "perm", "seq_id")))
+    drawn = numbered(perms.select("perm", "draw", "seq_id", "label"), ["perm", "draw", "seq_id"], "i").withColumn("i", F.col("i") - (F.col("perm") - 1) * size)
+    return drawn.select("perm", "label", "i").join(ids, "i").select("perm", "seq_id", "label")
 
 
 def score_statistic(pairs: DataFrame, labels: DataFrame, family: str, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -65,61 +72,44 @@ def score_statistic(pairs: DataFrame, labels: DataFrame, family: str, keys: tupl
     by = list(keys)
     sizes = marked.groupBy(*by).agg(F.count(F.when(F.col("inside"), 1)).alias("n_in"), F.count(F.when(~F.col("inside"), 1)).alias("n_out"))
     hits = pairs.join(marked, "seq_id").groupBy(*by, "kmer").agg(F.count(F.when(F.col("inside"), 1)).alias("c_in"), F.count(F.when(~F.col("inside"), 1)).alias("c_out"))
-    joined = hits.join(sizes, by) if by else hits.join(F.broadcast(sizes), F.lit(True))
-    share = lambda c, n: F.when(F.col(n) > 0, F.col(c) / F.col(n)).otherwise(0.0)
-    return joined.select(*by, "kmer", (share("c_in", "n_in") - share("c_out", "n_out")).alias("score"))
-
-
-def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 1.0, steps: int = 30) -> np.ndarray:
-    """Weights of a linear SVM with squared hinge loss and an unpenalised offset, by Newton steps; y is -1 or 1."""
-    design = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.diag([1.0] * x.shape[1] + [1e-6])
-    w = np.zeros(design.shape[1])
-    for _ in range(steps):
-        margin = y * (design @ w)
-        active = margin < 1
-        scaled = design[active] * (2 * c * weight[active])[:, None]
-        slope = ridge @ w - scaled.T @ (y[active] - design[active] @ w)
-        step = np.linalg.solve(ridge + scaled.T @ design[active], slope)
-        w -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w[:-1]
-
-
-def permutation_scores(pairs: DataFrame, labels: DataFrame, family: str, n: int, stat: str = "score", seed: int = 0, most_cells: int = 20_000_000) -> DataFrame:
-    """perm, kmer, score under shuffled labels. stat "score": the share difference, one aggregation; "svm": a squared-hinge SVM per permutation.
-
-    "svm" is for k-mers that an elimination has selected: their presence matrix
-    is broadcast, after its number of cells is checked against most_cells.
+    joined = hits.join(sizes, by) if by else hits.join(F.broadcast(sizes), F.lit(True))  # one row
+    return joined.select(*by, "kmer", (_share("c_in", "n_in") - _share("c_out", "n_out")).alias("score"))
+
+
+def _share(c: str, n: str) -> Column:
+    return F.when(F.col(n) > 0, F.col(c) / F.col(n)).otherwise(0.0)
+
+
+#: Permutations whose memberships of a sequence are the bits of one number.
+BITS = 60
+
+
+def permuted_statistic(pairs: DataFrame, permuted: DataFrame, family: str) -> DataFrame:
+    """perm, kmer, score: score_statistic for each perm of (perm, seq_id, label).
+
+    A sequence's memberships are bits of numbers, BITS permutations each, and a
+    k-mer's counts are sums over them: each (seq_id, kmer) is read once for BITS
+    permutations and not once for each.
     """
+    marked = permuted.select("seq_id", F.expr(f"(perm - 1) div {BITS}").alias("chunk"), F.expr(f"int(pmod(perm - 1, {BITS}))").alias("bit"), (F.col("label") == family).alias("inside"))
+    sizes = marked.groupBy("chunk", "bit").agg(F.count(F.when(F.col("inside"), 1)).alias("n_in"), F.count(F.when(~F.col("inside"), 1)).alias("n_out"))
+    masks = written(marked.groupBy("seq_id", "chunk").agg(F.sum(F.when(F.col("inside"), F.expr("shiftleft(1L, bit)")).otherwise(F.lit(0))).alias("mask")))
+    width = (sizes.agg(F.max("bit")).first()[0] or 0) + 1
+    counts = pairs.join(masks, "seq_id").groupBy("chunk", "kmer").agg(F.count("*").alias("c"), *[F.sum(F.expr(f"shiftright(mask, {b}) & 1L")).alias(f"b{b}") for b in range(width)])
+    cells = counts.select("chunk", "kmer", "c", F.posexplode(F.array(*[f"b{b}" for b in range(width)])).alias("bit", "c_in")).withColumn("c_out", F.col("c") - F.col("c_in"))
+    return cells.join(sizes, ["chunk", "bit"]).select((F.col("chunk") * BITS + F.col("bit") + 1).cast("int").alias("perm"), "kmer", (_share("c_in", "n_in") - _share("c_out", "n_out")).alias("score"))
+
+
+def permutation_scores(pairs: DataFrame, labels: DataFrame, family: str, n: int, stat: str = "score", seed: int = 0) -> DataFrame:
+    """perm, kmer, score under shuffled labels. stat "score": the share difference, one aggregation; "svm": the weights of svm_weights, a distributed fit per permutation."""
+    permuted = written(permute_labels(labels, n, seed))
     if stat == "score":
-        return score_statistic(pairs, permute_labels(labels, n, seed), family, ("perm",))
-    basis = indexed(pairs)
-    n_kmers, n_seqs = basis.count(), labels.count()
-    if n_kmers * n_seqs > most_cells:
-        raise ValueError(f"{n_kmers} k-mers x {n_seqs} sequences are more than {most_cells} cells; select k-mers first or use stat='score'")
-    ids = {r.seq_id: (i, r.label == family) for i, r in enumerate(labels.orderBy("seq_id").collect())}
-    names = [r.kmer for r in basis.orderBy("idx").collect()]
-    x = np.zeros((n_seqs, n_kmers), np.float32)
-    for r in pairs.join(basis, "kmer").select("seq_id", "idx").collect():
-        if r.seq_id in ids:
-            x[ids[r.seq_id][0], r.idx] = 1
-    shared = pairs.sparkSession.sparkContext.broadcast((x, np.array([inside for _, inside in ids.values()]), names))
-
-    def fit(batches):
-        import pyarrow as pa
-
-        x, inside, names = shared.value
-        for batch in batches:
-            for perm in batch.column(0).to_pylist():
-                own = np.random.default_rng([seed, perm]).permutation(inside)
-                weight = len(own) / (2 * np.where(own, max(1, own.sum()), max(1, (~own).sum())))
-                w = squared_hinge(x.astype(float), np.where(own, 1.0, -1.0), weight)
-                w = w / w.max() if w.max() > 0 else w
-                yield pa.RecordBatch.from_arrays([pa.array([perm] * len(names), pa.int32()), pa.array(names), pa.array(w)], names=["perm", "kmer", "score"])
-
-    return pairs.sparkSession.range(1, n + 1).mapInArrow(fit, "perm int, kmer string, score double")
+        return permuted_statistic(pairs, permuted, family)
+    pairs = written(pairs)
+    basis = written(indexed(pairs))
+    vectors = written(to_vectors(pairs.withColumn("cnt", F.lit(1)), basis))
+    parts = [_fit(vectors.join(permuted.where(F.col("perm") == i).select("seq_id", "label"), "seq_id"), basis, family, 0.01).select(F.lit(i).alias("perm"), "kmer", F.col("weight").alias("score")) for i in range(1, n + 1)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def permutation_p_values(real: DataFrame, permuted: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.operators.sequences import stratified_order
+from lettermill.operators.store import written
 
 
 def class_probabilities(pairs: DataFrame, labels: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -27,7 +28,7 @@ def class_scores(probabilities: DataFrame, labels: DataFrame, keys: tuple[str, .
     counted = names.withColumn("n_labels", F.count("*").over(Window.partitionBy(*by)))
     basis = probabilities.groupBy(*by, "kmer").agg(F.sum("probability").alias("all"))
     # as many rows as the result must have: every label of a key with every k-mer of the key
-    grid = basis.join(counted, by) if by else basis.join(F.broadcast(counted), F.lit(True))
+    grid = basis.join(counted, by) if by else basis.withColumn("__all", F.lit(0)).join(counted.withColumn("__all", F.lit(0)), "__all").drop("__all")
     full = grid.join(probabilities, [*by, "label", "kmer"], "left").na.fill(0, ["count", "probability"])
     w = F.lit(weight) if weight is not None else F.when(F.col("n_labels") > 1, 1 / (F.col("n_labels") - 1)).otherwise(1.0)
     positive = F.lit(0.0) if neg_only else F.col("probability")
@@ -73,7 +74,7 @@ def sequence_scores(pairs: DataFrame, scores: DataFrame, seqs: DataFrame, keys:
     hits = own.join(scores.select(*keys, "kmer", "score"), [*shared, "kmer"]).groupBy(*keys, "seq_id").agg(F.sum("score").alias("total"))
     models = scores.select(*keys).distinct()
     # the result has a row for every sequence and model
-    grid = seqs.join(models, shared) if shared else seqs.join(F.broadcast(models), F.lit(True))
+    grid = seqs.join(models, shared) if shared else seqs.withColumn("__all", F.lit(0)).join(models.withColumn("__all", F.lit(0)), "__all").drop("__all")
     return grid.join(hits, [*keys, "seq_id"], "left").select(*keys, "seq_id", F.coalesce("total", F.lit(0.0)).alias("total"))
 
 
@@ -156,19 +157,38 @@ def stratified_split(df: DataFrame, label_col: str, test_share: float = 0.25, se
 def cv_scores(pairs: DataFrame, labels: DataFrame, k: int, n: int | float = 0.25, seed: int = 0) -> DataFrame:
     """fold, label, seq_id, train, in_family, score: per fold, weights and norms from the training rows, applied to all rows.
 
-    Training rows are scored with the chosen k-mers, the others with all.
+    Training rows are scored with the chosen k-mers, the others with all. K-mers
+    are counted once per label and fold; what trains a fold is the total less the
+    fold's own. Scores of all folds of a k-mer and label are one row, so each
+    (seq_id, kmer) meets each label once.
     """
-    folded = stratified_folds(labels, "label", k, seed)
-    rows = folded.withColumn("f", F.explode(F.sequence(F.lit(1), F.lit(k)))).select(F.col("f").alias("fold"), "seq_id", F.col("label").alias("own"), (F.col("fold") != F.col("f")).alias("train"))
-    train = rows.where("train").select("fold", "seq_id", F.col("own").alias("label"))
-    weights = class_scores(class_probabilities(pairs, train, ("fold",)), train, ("fold",))
-    top = top_kmers(weights, n, ("fold", "label"), "probability")
-    keys = ("fold", "label")
-    chosen = sequence_scores(pairs, top, rows.where("train").select("fold", "seq_id"), keys)
-    norms = chosen.groupBy(*keys).agg(F.greatest(F.max("total"), F.lit(1.0)).alias("norm"))
-    every = chosen.unionByName(sequence_scores(pairs, weights, rows.where("NOT train").select("fold", "seq_id"), keys))
-    scored = every.join(norms, list(keys)).join(rows, ["fold", "seq_id"])
-    return scored.select("fold", "label", "seq_id", "train", (F.col("own") == F.col("label")).cast("int").alias("in_family"), (F.col("total") / F.col("norm")).alias("score"))
+    folded = written(stratified_folds(labels.select("seq_id", "label"), "label", k, seed).withColumnRenamed("fold", "own"))
+    every = F.sequence(F.lit(1), F.lit(k))
+    cells = written(pairs.join(folded, "seq_id").groupBy("label", "kmer", "own").agg(F.count("*").alias("c")))
+    sizes = folded.groupBy("label", "own").agg(F.count("*").alias("c"))
+
+    def training(counts: DataFrame, by: list[str]) -> DataFrame:
+        """(fold, by, count): of all folds but the one."""
+        rows = counts.withColumn("fold", F.explode(F.filter(every, lambda f: f != F.col("own"))))
+        return rows.groupBy("fold", *by).agg(F.sum("c").alias("count"))
+
+    n_train = training(sizes, ["label"])
+    probabilities = training(cells, ["label", "kmer"]).join(n_train.withColumnRenamed("count", "n"), ["fold", "label"])
+    probabilities = probabilities.select("fold", "label", "kmer", "count", (F.col("count") / F.col("n")).alias("probability"))
+    weights = written(class_scores(probabilities, n_train.select("fold", "label"), ("fold",)))
+    top = top_kmers(weights, n, ("fold", "label"), "probability").select("fold", "label", "kmer", F.lit(True).alias("chosen"))
+    marked = weights.join(top, ["fold", "label", "kmer"], "left").select("fold", "label", "kmer", "score", F.when(F.col("chosen"), F.col("score")).alias("top"))
+    at = lambda c, f: F.max(F.when(F.col("fold") == f, F.col(c)))
+    wide = written(marked.groupBy("label", "kmer").agg(*[at(c, f).alias(f"{c}{f}") for c in ("score", "top") for f in range(1, k + 1)]))
+    met = pairs.join(folded.select("seq_id", "own"), "seq_id").join(wide, "kmer")
+    totals = met.groupBy("seq_id", "own", "label").agg(*[F.sum(F.when(F.col("own") == f, F.col(f"score{f}")).otherwise(F.col(f"top{f}"))).alias(f"t{f}") for f in range(1, k + 1)])
+    hits = totals.select("seq_id", "label", F.posexplode(F.array(*[f"t{f}" for f in range(1, k + 1)])).alias("f", "total")).withColumn("fold", F.col("f") + 1)
+    # the result has a row for every sequence, label and fold
+    models = written(n_train.select("fold", "label"))
+    grid = folded.select("seq_id", F.col("label").alias("family"), "own").withColumn("fold", F.explode(every)).join(models, "fold")
+    scored = written(grid.join(hits.select("fold", "label", "seq_id", "total"), ["fold", "label", "seq_id"], "left").withColumn("total", F.coalesce("total", F.lit(0.0))))
+    norms = scored.where("own <> fold").groupBy("fold", "label").agg(F.greatest(F.max("total"), F.lit(1.0)).alias("norm"))
+    return scored.join(norms, ["fold", "label"]).select("fold", "label", "seq_id", (F.col("own") != F.col("fold")).alias("train"), (F.col("family") == F.col("label")).cast("int").alias("in_family"), (F.col("total") / F.col("norm")).alias("score"))
 
 
 def score_distribution(scores: DataFrame, by: tuple[str, ...] = ("label",)) -> DataFrame:

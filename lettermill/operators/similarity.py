@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lettermill.operators.store import written
+
 
 def set_sizes(pairs: DataFrame) -> DataFrame:
     """seq_id, n: distinct k-mers of each sequence. pairs: distinct (seq_id, kmer)."""
@@ -15,32 +17,53 @@ def candidate_pairs(pairs: DataFrame, max_dist: float) -> DataFrame:
     Each set is ordered from its rarest k-mer on. Sets within the distance share
     one of the first n - ceil((1 - d) n) + 1, so only these meet: frequent
     k-mers, which many sequences have, stand behind and are hardly ever joined.
+    K-mers of one sequence alone come first and meet nothing; they only count.
     """
     if not 0 <= max_dist < 1:
         raise ValueError("max_dist must be from 0 to below 1")
-    df = pairs.groupBy("kmer").agg(F.count("*").alias("df"))
+    shared = written(pairs.groupBy("kmer").agg(F.count("*").alias("df")).where("df > 1"))
     own = Window.partitionBy("seq_id")
-    ranked = pairs.join(df, "kmer").select("seq_id", "kmer", F.count("*").over(own).alias("n"), F.row_number().over(own.orderBy("df", "kmer")).alias("r"))
+    several = pairs.join(shared, "kmer").select("seq_id", "kmer", F.count("*").over(own).alias("n_shared"), F.row_number().over(own.orderBy("df", "kmer")).alias("r"))
+    ranked = several.join(set_sizes(pairs), "seq_id").withColumn("r", F.col("n") - F.col("n_shared") + F.col("r"))
     # the small number keeps rounding from shortening a prefix
-    prefix = ranked.where(F.col("r") <= F.col("n") - F.ceil((1 - max_dist) * F.col("n") - 1e-9) + 1)
+    prefix = written(ranked.where(F.col("r") <= F.col("n") - F.ceil((1 - max_dist) * F.col("n") - 1e-9) + 1).select("seq_id", "kmer", "n"))
     left, right = (prefix.select("kmer", F.col("seq_id").alias(s), F.col("n").alias(f"n_{s}")) for s in "ab")
     alike = (F.least("n_a", "n_b") >= (1 - max_dist) * F.greatest("n_a", "n_b") - 1e-9) & (F.col("a") < F.col("b"))
     return left.join(right, "kmer").where(alike).select("a", "b", "n_a", "n_b").distinct()
 
 
 def overlaps(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """candidates (a, b, ...) with common: k-mers that both have. Pairs without any are left out."""
-    a, b = pairs.select(F.col("seq_id").alias("a"), "kmer"), pairs.select(F.col("seq_id").alias("b"), "kmer")
-    return candidates.join(a, "a").join(b, ["b", "kmer"]).groupBy(*candidates.columns).agg(F.count("*").alias("common"))
+    """candidates (a, b, ...) with common: k-mers that both have. Pairs without any are left out. Only sets of candidates move, as one row each."""
+    wanted = written(candidates.select(F.explode(F.array("a", "b")).alias("seq_id")).distinct())
+    sets = written(pairs.join(wanted, "seq_id", "left_semi").groupBy("seq_id").agg(F.collect_list("kmer").alias("kmers")))
+    a, b = (sets.select(F.col("seq_id").alias(x), F.col("kmers").alias(f"kmers_{x}")) for x in "ab")
+    common = F.size(F.array_intersect("kmers_a", "kmers_b")).cast("long")
+    return candidates.join(a, "a").join(b, "b").select(*candidates.columns, common.alias("common")).where("common > 0")
+
+
+def set_classes(pairs: DataFrame) -> DataFrame:
+    """seq_id, rep: the smallest seq_id with the same set of k-mers (told by its size and 128 bits of hash)."""
+    marks = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("kmer")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "kmer")).alias("y")]
+    marked = written(pairs.groupBy("seq_id").agg(*marks))
+    return marked.join(marked.groupBy("n", "x", "y").agg(F.min("seq_id").alias("rep")), ["n", "x", "y"]).select("seq_id", "rep")
 
 
 def jaccard_pairs(pairs: DataFrame, max_dist: float) -> DataFrame:
     """a, b, distance of all pairs of non-empty sets with Jaccard distance up to max_dist (below 1). Two empty sets, which have distance 0, have no rows here."""
-    found = overlaps(pairs, candidate_pairs(pairs, max_dist))
+    candidates = written(candidate_pairs(pairs, max_dist))
+    found = overlaps(pairs, candidates)
     distance = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
     return found.select("a", "b", distance.alias("distance")).where(F.col("distance") <= max_dist)
 
 
+def jaccard_links(pairs: DataFrame, max_dist: float) -> DataFrame:
+    """a, b, distance: links that join what jaccard_pairs joins. Of equal sets only the first is compared, and the others hang on it, so M copies make M links and not M squared."""
+    classes = written(set_classes(pairs))
+    copies = classes.where("seq_id <> rep")
+    firsts = pairs.join(copies, "seq_id", "left_anti")
+    return jaccard_pairs(firsts, max_dist).unionByName(copies.select(F.col("rep").alias("a"), F.col("seq_id").alias("b"), F.lit(0.0).alias("distance")))
+
+
 def hamming_similarity(pairs: DataFrame, candidates: DataFrame, n_basis: int | Column) -> DataFrame:
     """a, b, similarity: share of the basis on which both sets agree, for candidates (a, b, n_a, n_b)."""
     return overlaps(pairs, candidates).select("a", "b", (1 - (F.col("n_a") + F.col("n_b") - 2 * F.col("common")) / n_basis).alias("similarity"))
@@ -70,12 +93,20 @@ def cosine_scores(counts: DataFrame, annotation_counts: DataFrame) -> DataFrame:
 
     Norms take all k-mers of a side, also those that the other never has. Pairs
     without a common k-mer have score 0 and no row; a `Totals` row is left out.
+
+    Counts are read once: each row meets the cells of its k-mer and itself, under
+    no annotation, which sums up to the sequence's norm. The profiles are a table
+    with a row per k-mer; Spark broadcasts it below its threshold.
     """
-    profiles = annotation_counts.where("annotation <> 'Totals'")
-    norm = lambda df, key: df.groupBy(key).agg(F.sum(F.col("cnt") * F.col("cnt")).alias(f"q_{key}"))
-    dots = counts.join(profiles.select("annotation", "kmer", F.col("cnt").alias("c")), "kmer").groupBy("seq_id", "annotation").agg(F.sum(F.col("cnt") * F.col("c")).alias("dot"))
-    scored = dots.join(norm(counts, "seq_id"), "seq_id").join(norm(profiles, "annotation"), "annotation")
-    return scored.select("seq_id", "annotation", (F.col("dot") / (F.sqrt("q_seq_id") * F.sqrt("q_annotation"))).alias("score"))
+    profiles = written(annotation_counts.where("annotation <> 'Totals'"))
+    cells = written(profiles.groupBy("kmer").agg(F.collect_list(F.struct("annotation", F.col("cnt").alias("c"))).alias("cells")))  # a row per k-mer, an entry per annotation
+    own = F.array(F.struct(F.lit(None).cast("string").alias("annotation"), F.col("cnt").alias("c")))
+    met = counts.join(cells, "kmer", "left").select("seq_id", "cnt", F.explode(F.when(F.col("cells").isNull(), own).otherwise(F.concat("cells", own))).alias("cell"))
+    sums = met.groupBy("seq_id", "cell.annotation").agg(F.sum(F.col("cnt") * F.col("cell.c")).alias("dot"))
+    # one row per annotation of a sequence
+    both = sums.withColumn("q", F.sum(F.when(F.col("annotation").isNull(), F.col("dot"))).over(Window.partitionBy("seq_id"))).where("annotation IS NOT NULL")
+    norms = profiles.groupBy("annotation").agg(F.sum(F.col("cnt") * F.col("cnt")).alias("p"))
+    return both.join(norms, "annotation").select("seq_id", "annotation", (F.col("dot") / (F.sqrt("q") * F.sqrt("p"))).alias("score"))
 
 
 def associations(annotation_counts: DataFrame, n_seqs: DataFrame) -> DataFrame:

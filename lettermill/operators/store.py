@@ -1,19 +1,50 @@
-"""Tables that cut lineage."""
+"""Tables that cut lineage, and places in a global order."""
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+#: Setting under which Spark removes the shuffle files of an action when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the folder that spark.checkpoint.dir names, so that loops don't grow the lineage; without the setting, one is made in local mode."""
-    base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+
+def folder(spark: SparkSession) -> str:
+    """Path of a new folder below the one that spark.checkpoint.dir names; without the setting, one is made in local mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not df.sparkSession.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-")
-        df.sparkSession.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/clusters-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in a folder().
+
+    Lineage ends there, and Spark knows the table's size, so it broadcasts it in a
+    join if, and only if, it is below spark.sql.autoBroadcastJoinThreshold.
+    """
+    spark, path = df.sparkSession, folder(df.sparkSession)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
+    """df with its place, from 0, in the order of the given columns (equal rows in any order).
+
+    Rows are dealt by range, ranked inside their range, and moved up by the sizes
+    of the ranges before: no task has all rows.
+    """
+    ranged = written(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    sizes = ranged.groupBy("__part").agg(F.count("*").alias("n"))  # a row per partition
+    ahead = sizes.select("__part", (F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("__ahead"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    return ranged.withColumn("__place", inside).join(ahead, "__part").select(*df.columns, (F.col("__ahead") + F.col("__place")).alias(name))

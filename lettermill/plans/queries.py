@@ -13,8 +13,9 @@ from lettermill.operators import motif as H
 from lettermill.operators import scoring as E
 from lettermill.operators import sequences as P
 from lettermill.operators import similarity as D
-from lettermill.operators.store import written
+from lettermill.operators.store import folder, written
 from lettermill.plans import views as V
+from lettermill.sources import fasta, tables
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -31,6 +32,11 @@ def query(sql: str | None = None):
     return register
 
 
+def unsigned(c: str, digits: int):
+    """Rounded, and 0 where rounding leaves a negative zero."""
+    return (F.round(c, digits) + F.lit(0.0)).alias(c)
+
+
 # names and sequences
 
 
@@ -103,6 +109,11 @@ def fragment_random(spark, d):
     return fragments(spark, d, "percent", 50, "random", 50, 3)
 
 
+@query(f"WITH {V.SEQS} SELECT seq_id, CASE WHEN label = 'en' THEN 1 ELSE 0 END AS in_family FROM seqs")
+def binary_label(spark, d):
+    return P.binary_label(V.seqs(spark, d), "en").select("seq_id", "in_family")
+
+
 # k-mers
 
 
@@ -173,6 +184,32 @@ def compat_check(spark, d):
     return K.compatibility(K.presence(V.seqs(spark, d), SIZE, ALPHABET), K.presence(V.background(spark, d), SIZE, ALPHABET))
 
 
+CELLS = f"list_transform(range(1, length(r) - {SIZE - 2}), lambda i: {{'pos': i - 1, 'kmer': substr(r, i, {SIZE})}})"
+
+
+@query(f"WITH {V.SEQS} SELECT kmer, count(*) AS n, CAST(min(pos) AS INTEGER) AS first_pos, CAST(max(pos) AS INTEGER) AS last_pos FROM (SELECT unnest({CELLS}, recursive := true) FROM (SELECT {V.reduced_sql(ALPHABET)} AS r FROM seqs)) WHERE regexp_full_match(kmer, '{K.key_pattern(ALPHABET)}{{{SIZE}}}') GROUP BY kmer")
+def kmer_positions(spark, d):
+    return K.kmers(V.seqs(spark, d), SIZE, ALPHABET).groupBy("kmer").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+
+
+@query(f"WITH {V.SEQS}, x AS (SELECT seq_id, list_transform(range(1, length(sequence) - {SIZE - 2}), lambda i: substr(sequence, i, {SIZE})) AS a FROM seqs) SELECT seq_id, CAST(len(a) AS INTEGER) AS n_windows, CAST(len(list_distinct(a)) AS INTEGER) AS n_distinct FROM x")
+def raw_windows(spark, d):
+    rows = V.seqs(spark, d).select("seq_id", K.kmer_windows(F.col("sequence"), SIZE).alias("a"))
+    return rows.select("seq_id", F.size("a").alias("n_windows"), F.size(F.array_distinct("a")).alias("n_distinct"))
+
+
+SHORT = V.windows_sql(ALPHABET, 4)
+
+
+@query(f"WITH {V.SEQS}, {SHORT}, b AS (SELECT kmer, row_number() OVER (ORDER BY kmer) - 1 AS i FROM (SELECT DISTINCT kmer FROM w)) SELECT seq_id, CAST(i AS INTEGER) AS idx, CAST(count(*) AS DOUBLE) AS value FROM w JOIN b USING (kmer) GROUP BY seq_id, i")
+def vector_cells(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
+    counts = written(K.kmer_counts(V.seqs(spark, d), 4, ALPHABET))
+    vectors = K.to_vectors(counts, written(K.indexed(counts)))
+    return vectors.select("seq_id", F.posexplode(vector_to_array("features")).alias("idx", "value")).where("value <> 0")
+
+
 # pairs
 
 
@@ -229,6 +266,13 @@ def manhattan_pairs(spark, d):
     return metric(spark, d, "manhattan")
 
 
+@query(f"WITH {PW} SELECT a, b, distance FROM near")
+def distance_export(spark, d):
+    path = folder(spark)
+    D.write_distances(near_pairs(spark, d), path)
+    return spark.read.parquet(path)
+
+
 # learn and apply
 
 
@@ -242,12 +286,12 @@ def scores(spark, d):
     return D.cosine_scores(K.kmer_counts(V.seqs(spark, d), SIZE, ALPHABET), profile_counts(spark, d))
 
 
-def predicted(spark, d):
-    return A.predictions(scores(spark, d), A.tag_known(V.seqs(spark, d).drop("accession"), V.annotations(spark, d)))
+def predicted(spark, d, found=None):
+    return A.predictions(scores(spark, d) if found is None else found, A.tag_known(V.seqs(spark, d).drop("accession"), V.annotations(spark, d)))
 
 
-def crosstab(spark, d):
-    return A.tf_crosstab(predicted(spark, d))
+def crosstab(spark, d, found=None):
+    return A.tf_crosstab(written(predicted(spark, d, found)))
 
 
 LEARNT = V.learn_sql()
@@ -268,6 +312,22 @@ def annotation_sizes(spark, d):
     return A.annotation_sizes(A.join_annotations(V.seqs(spark, d), V.annotations(spark, d)), profile_counts(spark, d))
 
 
+def sizes_and_totals(spark, d, size):
+    """Rows of all windows, counts of annotated ones, and sizes with the row of all."""
+    s, known = V.seqs(spark, d), A.join_annotations(V.seqs(spark, d), V.annotations(spark, d))
+    totals = written(K.kmer_rows(s, size, ALPHABET, ()).groupBy("kmer").agg(F.count("*").alias("total")))
+    counts = written(A.annotation_counts(K.kmer_rows(known, size, ALPHABET, ("annotation",))))
+    return A.with_totals(counts, totals), A.sizes_with_totals(A.annotation_sizes(known, counts), s, totals)
+
+
+SIZES = "SELECT ann.annotation, count(DISTINCT seqs.seq_id) AS n_seqs, coalesce(max(t.n), 0)::BIGINT AS n_kmers FROM seqs JOIN ann ON accession = id LEFT JOIN (SELECT annotation, sum(cnt) AS n FROM ak GROUP BY annotation) t ON t.annotation = ann.annotation GROUP BY ann.annotation UNION ALL SELECT 'Totals', (SELECT count(*) FROM seqs), (SELECT count(*) FROM w)"
+
+
+@query(f"{LEARNT} {SIZES}")
+def sizes_with_totals(spark, d):
+    return sizes_and_totals(spark, d, SIZE)[1]
+
+
 @query(f"{LEARNT} SELECT annotation, kmer, 2 * cnt AS cnt FROM ak")
 def merge_counts(spark, d):
     own = profile_counts(spark, d)
@@ -388,13 +448,27 @@ def merge_confidence(spark, d):
     return A.merge_confidence(A.global_confidence(crosstab(spark, d)), A.global_confidence(fragment_evaluation(spark, d), "one"), 20).withColumn("confidence", F.round("confidence", 9))
 
 
+@query(f"{LEARNT} SELECT actual, avg(CASE WHEN actual = prediction THEN 1.0 ELSE 0.0 END) AS accuracy FROM pred WHERE known GROUP BY actual")
+def annotation_accuracy(spark, d):
+    return M.accuracy(predicted(spark, d).where("known"), ("actual",))
+
+
+LABELS = [f"{lang}_q{q}t{t}" for lang in ("de", "en", "es", "fr") for q in (0, 1) for t in (0, 1)]
+
+
+@query(f"{LEARNT} SELECT seq_id, " + ", ".join(f"round(coalesce(max(CASE WHEN annotation = '{x}' THEN score END), 0), 9) AS {x}" for x in LABELS) + " FROM cos GROUP BY seq_id")
+def score_matrix(spark, d):
+    return A.score_matrix(scores(spark, d), LABELS).select("seq_id", *[F.round(x, 9).alias(x) for x in LABELS])
+
+
 APPLY = "SELECT seq_id, prediction, coalesce(top, 0) AS score, p.bin / 100 AS delta, round(confidence, 9) AS confidence FROM pred p LEFT JOIN conf ON conf.bin = p.bin"
 
 
 @query(f"{LEARNT_CONF} {APPLY}")
 def apply_annotations(spark, d):
-    s = V.seqs(spark, d)
-    found = A.apply_annotations(s, K.kmer_counts(s, SIZE, ALPHABET), profile_counts(spark, d), A.global_confidence(crosstab(spark, d)))
+    # scored once, for the confidence and for the predictions
+    cosines = written(scores(spark, d))
+    found = A.apply_scores(V.seqs(spark, d), cosines, A.global_confidence(crosstab(spark, d, cosines)))
     return found.withColumn("confidence", F.round("confidence", 9))
 
 
@@ -410,7 +484,7 @@ def fragment_evaluation(spark, d):
 
 def labelled(spark, d):
     s = V.seqs(spark, d)
-    return K.presence(s, SIZE, ALPHABET), s.select("seq_id", "label")
+    return written(K.presence(s, SIZE, ALPHABET)), s.select("seq_id", "label")
 
 
 PROB = f"""{V.SEQS}, {V.W}, {V.KP}, lab AS (SELECT seq_id, label FROM seqs), nl AS (SELECT label, count(*) AS n FROM lab GROUP BY label),
@@ -433,6 +507,18 @@ def class_scores(spark, d):
     return E.class_scores(E.class_probabilities(pairs, labels), labels).withColumn("score", F.round("score", 9))
 
 
+@query(f"WITH {SCORE} SELECT label, kmer, round(score - probability, 9) + 0 AS score FROM sc")
+def negative_scores(spark, d):
+    pairs, labels = labelled(spark, d)
+    return E.class_scores(E.class_probabilities(pairs, labels), labels, neg_only=True).select("label", "kmer", unsigned("score", 9))
+
+
+@query(f"WITH {TOP} SELECT DISTINCT seq_id, kmer FROM kp WHERE kmer IN (SELECT kmer FROM tops WHERE index < lim)")
+def selected_kmers(spark, d):
+    pairs, labels = labelled(spark, d)
+    return E.select_kmers(pairs, E.top_kmers(E.class_scores(E.class_probabilities(pairs, labels), labels), 0.25, order="probability"))
+
+
 @query(f"WITH {TOP} SELECT label, kmer, CAST(index AS INTEGER) AS index, probability FROM tops WHERE index < lim")
 def top_kmers(spark, d):
     pairs, labels = labelled(spark, d)
@@ -472,11 +558,6 @@ def method_scores(spark, d):
     return one.join(two, ["label", "kmer"])
 
 
-def unsigned(c: str, digits: int):
-    """Rounded, and 0 where rounding leaves a negative zero."""
-    return (F.round(c, digits) + F.lit(0.0)).alias(c)
-
-
 # background: the files whose name ends in 9, of the same labels as the others
 def sample_and_background(spark, d):
     rows = V.seqs(spark, d).select("seq_id", "label", "filename")
@@ -534,6 +615,16 @@ def stratified_folds(spark, d):
     return E.stratified_folds(V.seqs(spark, d).select("seq_id", "label"), "label", 5)
 
 
+@query(f"WITH {V.SEQS}, {FOLD} SELECT seq_id, label, own AS fold, " + ", ".join(f'own <> {i} AS "train_cv-0{i}"' for i in range(1, 6)) + " FROM fold")
+def fold_flags(spark, d):
+    return E.fold_flags(E.stratified_folds(V.seqs(spark, d).select("seq_id", "label"), "label", 5), 5)
+
+
+@query(f"WITH {V.SEQS} SELECT seq_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('0:' || seq_id), seq_id) - 1 >= round(count(*) OVER (PARTITION BY label) * 0.25) AS train FROM seqs")
+def stratified_split(spark, d):
+    return E.stratified_split(V.seqs(spark, d).select("seq_id", "label"), "label")
+
+
 CV = f"""{V.SEQS}, {V.W}, {V.KP}, {FOLD}, fr AS (SELECT f, seq_id, label, own <> f AS train FROM fold, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS f)),
   nl AS (SELECT f, label, count(*) AS n FROM fr WHERE train GROUP BY f, label),
   pr AS (SELECT fr.f, fr.label, kmer, count(*) / max(n) AS probability FROM kp JOIN fr USING (seq_id) JOIN nl ON nl.f = fr.f AND nl.label = fr.label WHERE train GROUP BY fr.f, fr.label, kmer),
@@ -547,7 +638,7 @@ CV = f"""{V.SEQS}, {V.W}, {V.KP}, {FOLD}, fr AS (SELECT f, seq_id, label, own <>
 
 def cv(spark, d):
     pairs, labels = labelled(spark, d)
-    return E.cv_scores(pairs, labels, 5).withColumn("score", F.round("score", 6))
+    return written(E.cv_scores(pairs, labels, 5).withColumn("score", F.round("score", 6)))
 
 
 @query(f"WITH {CV} SELECT * FROM cv")
@@ -582,9 +673,9 @@ def pr_curve(spark, d):
     return M.pr_curve(cv(spark, d).where("NOT train"))
 
 
-@query()
+@query(f"WITH {TH} SELECT label, '{ALPHABET}' AS alphabet_name, CAST({SIZE} AS INTEGER) AS k, scoring, round(score, 9) AS score, fold AS cv_split FROM (SELECT label, fold, 'auc_roc' AS scoring, sum(pos * (2 * (n - fp) + neg)) / (2 * max(p) * max(n)) AS score FROM th GROUP BY label, fold UNION ALL SELECT label, fold, 'pr_auc', sum(pos * tp / (tp + fp)) / max(p) FROM th GROUP BY label, fold)")
 def cv_results(spark, d):
-    return M.cv_results(cv(spark, d).where("NOT train"), ALPHABET, SIZE)
+    return M.cv_results(cv(spark, d).where("NOT train"), ALPHABET, SIZE).withColumn("score", F.round("score", 9))
 
 
 # classifiers
@@ -596,15 +687,32 @@ def own_scores(spark, d):
     return scored.join(labels.withColumnRenamed("label", "own"), "seq_id").select("label", "seq_id", "score", (F.col("own") == F.col("label")).cast("int").alias("in_family"))
 
 
-@query()
+NEWTON = f"""WITH RECURSIVE {TOTAL}, rows_ AS MATERIALIZED (SELECT tot.label, tot.seq_id, total / norm AS x, CASE WHEN lab.label = tot.label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y FROM tot JOIN nrm USING (label) JOIN lab USING (seq_id)),
+  newton(i, label, w, b) AS (SELECT 0, label, 0.0::DOUBLE, 0.0::DOUBLE FROM nl UNION ALL
+    SELECT i + 1, label, w - (bb * gw - wb * gb) / (ww * bb - wb * wb), b - (ww * gb - wb * gw) / (ww * bb - wb * wb)
+    FROM (SELECT i, label, w, b, w + sum((p - y) * x) AS gw, sum(p - y) AS gb, 1 + sum(p * (1 - p) * x * x) AS ww, sum(p * (1 - p) * x) AS wb, sum(p * (1 - p)) AS bb
+      FROM (SELECT n.i, n.label, n.w, n.b, x, y, 1 / (1 + exp(-(n.w * x + n.b))) AS p FROM newton n JOIN rows_ ON rows_.label = n.label WHERE n.i < 30) GROUP BY i, label, w, b)),
+  models AS (SELECT label, w, b FROM newton WHERE i = 30)"""
+
+
+@query(f"{NEWTON} SELECT label, round(w, 6) AS w, round(b, 6) AS b FROM models")
 def family_classifier(spark, d):
-    return M.fit_family_models(written(own_scores(spark, d)))
+    return M.fit_family_models(own_scores(spark, d)).select("label", F.round("w", 6).alias("w"), F.round("b", 6).alias("b"))
 
 
-@query()
+@query(f"""{NEWTON}, {V.BACKGROUND}, {BW}, bp AS (SELECT DISTINCT seq_id, kmer FROM bw), h AS (SELECT label, seq_id, sum(score) AS t FROM bp JOIN sc USING (kmer) GROUP BY label, seq_id),
+  found AS (SELECT nl.label, b.seq_id, b.filename, coalesce(t, 0) / norm AS score FROM background b CROSS JOIN nl JOIN nrm ON nrm.label = nl.label LEFT JOIN h ON h.label = nl.label AND h.seq_id = b.seq_id)
+  SELECT filename, seq_id, models.label AS model, round(score, 6) AS score, 1 / (1 + exp(-(w * score + b))) > 0.5 AS in_family, round(1 / (1 + exp(-(w * score + b))), 6) AS probability FROM found JOIN models ON models.label = found.label""")
 def search_predictions(spark, d):
-    rows = written(own_scores(spark, d))
-    return M.predict_families(rows.drop("in_family"), M.fit_family_models(rows)).select("seq_id", F.col("label").alias("model"), "score", "in_family", "probability")
+    """The families' models on sequences that none of them was fitted on."""
+    pairs, labels = labelled(spark, d)
+    weights, scored = E.fit_family_scores(pairs, labels)
+    scored = written(scored)
+    own = scored.join(labels.withColumnRenamed("label", "own"), "seq_id").select("label", "score", (F.col("own") == F.col("label")).cast("int").alias("in_family"))
+    new = V.background(spark, d)
+    rows = E.score_new(K.presence(new, SIZE, ALPHABET), weights, scored, new).join(new.select("seq_id", "filename"), "seq_id")
+    found = M.predict_families(rows, M.fit_family_models(own))
+    return found.select("filename", "seq_id", F.col("label").alias("model"), F.round("score", 6).alias("score"), "in_family", F.round("probability", 6).alias("probability"))
 
 
 def embedded(spark, d):
@@ -625,8 +733,7 @@ def classifier_zoo(spark, d):
 @query()
 def grid_search(spark, d):
     rows = written(embedded(spark, d).withColumn("label", (F.col("label") == 0).cast("double")))
-    found = M.grid_search(rows, depths=(2, 4), leaves=(1, 5), folds=2)
-    return found.transform(rows).select("vec_id", "label", "prediction")
+    return M.search_results(M.grid_search(rows, depths=(2, 4), leaves=(1, 5), folds=2), spark)
 
 
 # clusters
@@ -652,7 +759,7 @@ def ids(spark, d):
 
 @query(f"{REACH} SELECT seq_id, component FROM comp")
 def components(spark, d):
-    return G.connected_components(ids(spark, d), near_pairs(spark, d))
+    return G.connected_components(ids(spark, d), D.jaccard_links(pair_rows(spark, d), 0.5))
 
 
 @query(f"{REACH.replace('distance <= 0.5', 'distance < 0.5')} SELECT seq_id, component FROM comp")
@@ -705,6 +812,11 @@ def p_values(spark, d):
     return H.permutation_p_values(H.score_statistic(pairs, labels, "en"), H.permutation_scores(pairs, labels, "en", 10))
 
 
+@query(f"WITH {MOTIF} SELECT kmer, " + ", ".join(f'max(CASE WHEN perm = {i} THEN score END) AS "{i}"' for i in range(1, 11)) + " FROM st WHERE perm > 0 GROUP BY kmer")
+def permutation_matrix(spark, d):
+    return H.permutation_matrix(permutation_scores(spark, d), 10)
+
+
 @query(f"WITH {MOTIF} SELECT * FROM pv")
 def motif_p_values(spark, d):
     return p_values(spark, d)
@@ -732,4 +844,76 @@ def feature_elimination(spark, d):
 
 @query()
 def svm_permutations(spark, d):
-    return H.permutation_scores(*motif_rows(spark, d), "en", 8, "svm", most_cells=20_000_000_000)
+    return H.permutation_scores(*motif_rows(spark, d), "en", 8, "svm")
+
+
+# sources and sinks: written, then read back
+
+
+@query(f"WITH {V.SEQS} SELECT seq_id, md5(sequence) AS sequence_md5 FROM seqs")
+def fasta_round_trip(spark, d):
+    path = folder(spark)
+    fasta.write_fasta(V.seqs(spark, d), path, "seq_id", "gzip")
+    return fasta.read_fasta(spark, path, ("txt",)).select("seq_id", F.md5("sequence").alias("sequence_md5"))
+
+
+@query(f"WITH {V.ANN} SELECT id, annotation FROM ann")
+def annotation_round_trip(spark, d):
+    path = folder(spark)
+    V.annotations(spark, d).withColumnRenamed("annotation", "TIGRFAMs").write.csv(path, sep="\t", header=True)
+    return tables.read_annotations(spark, [path])
+
+
+@query(f"WITH {V.SEQS}, {V.W} SELECT DISTINCT kmer FROM w")
+def basis_round_trip(spark, d):
+    path = folder(spark)
+    tables.write_basis(K.kmer_basis(V.seqs(spark, d), SIZE, ALPHABET, by=None), path)
+    return tables.read_basis(spark, path)
+
+
+SHORT_AK = f"{V.SEQS}, {V.ANN}, {SHORT}, {V.AK}"
+
+
+@query(f"WITH {SHORT_AK} SELECT annotation, kmer, cnt FROM ak UNION ALL SELECT 'Totals', kmer, count(*) FROM w GROUP BY kmer")
+def count_matrix_round_trip(spark, d):
+    path = folder(spark)
+    counts, sizes = sizes_and_totals(spark, d, 4)
+    tables.write_count_matrix(counts, sizes, path, [r.kmer for r in K.kmer_space(spark, ALPHABET, 4).orderBy("kmer").collect()])
+    return tables.read_count_matrix(spark, path)[0]
+
+
+@query(f"WITH {SHORT_AK} {SIZES}")
+def count_matrix_sizes(spark, d):
+    path = folder(spark)
+    counts, sizes = sizes_and_totals(spark, d, 4)
+    tables.write_count_matrix(counts, sizes, path, [r.kmer for r in K.kmer_space(spark, ALPHABET, 4).orderBy("kmer").collect()])
+    return tables.read_count_matrix(spark, path)[1]
+
+
+@query(f"{LEARNT_CONF} SELECT bin, round(confidence, 9) AS confidence, weight, sum FROM conf")
+def confidence_round_trip(spark, d):
+    path = folder(spark)
+    tables.write_confidence(A.global_confidence(crosstab(spark, d)), path)
+    return tables.read_confidence(spark, path).withColumn("confidence", F.round("confidence", 9))
+
+
+@query(f"WITH {V.SEQS}, {V.W}, {V.KP} SELECT filename, seq_id AS sequence_id, CAST(length(sequence) AS INTEGER) AS sequence_length, CAST(coalesce(n, 0) AS INTEGER) AS n_kmers FROM seqs LEFT JOIN (SELECT seq_id, count(*) AS n FROM kp GROUP BY seq_id) USING (seq_id)")
+def vector_table_round_trip(spark, d):
+    path = folder(spark)
+    rows = V.seqs(spark, d).select("filename", F.col("seq_id").alias("sequence_id"), "sequence", F.char_length("sequence").alias("sequence_length"), F.array_distinct(K.kmer_array(F.col("sequence"), SIZE, ALPHABET)).alias("kmers"))
+    tables.write_vectors(rows, path)
+    return tables.read_vectors(spark, path).select("filename", "sequence_id", "sequence_length", F.size("kmers").alias("n_kmers"))
+
+
+@query(f"WITH {V.SEQS}, {V.W} SELECT filename, kmer, count(*) AS cnt, '{ALPHABET}' AS alphabet, CAST({SIZE} AS INTEGER) AS k FROM w GROUP BY filename, kmer HAVING count(*) > 2")
+def nested_round_trip(spark, d):
+    path = folder(spark)
+    tables.write_nested(kmer_basis(spark, d), path, ALPHABET, SIZE)
+    return spark.read.parquet(path)
+
+
+@query(f"{LEARNT} SELECT seq_id, annotation, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 2")
+def result_csv_round_trip(spark, d):
+    path = folder(spark)
+    tables.write_csv_results(top_two(spark, d).select("seq_id", "annotation", "rank"), path, compress=True)
+    return spark.read.schema("seq_id string, annotation string, rank int").csv(path, header=True)

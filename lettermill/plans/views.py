@@ -17,8 +17,14 @@ def letters(text: Column) -> Column:
     return F.upper(F.regexp_replace(F.coalesce(text, F.lit("")), "[^A-Za-z]", ""))
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """df by hash of key if it is so small that its files may be fewer than the cores; a large table stays as it is read."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(key) if size < 32_000_000 * df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = dealt(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), "doc_id")
     return d.select(
         F.concat(F.lit("tr|D"), "doc_id", F.lit("|"), "source").alias("seq_id"), F.concat(F.lit("D"), "doc_id").alias("accession"),
         F.concat("source", F.lit(".fasta")).alias("filename"), F.col("lang").alias("label"), letters(F.col("text")).alias("sequence"),

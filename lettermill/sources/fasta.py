@@ -20,5 +20,6 @@ def read_fasta(spark: SparkSession, paths: str | list[str], extensions: tuple[st
     return rows.where(F.trim("value") != "").select("filename", F.regexp_extract(head, r"^(\S*)", 1).alias("seq_id"), F.trim(head).alias("description"), body.alias("sequence"))
 
 
-def write_fasta(df: DataFrame, path: str, title_col: str = "description") -> None:
-    df.select(F.concat(F.lit(">"), F.col(title_col), F.lit("\n"), F.col("sequence"))).write.mode("overwrite").text(path)
+def write_fasta(df: DataFrame, path: str, title_col: str = "description", compression: str = "none") -> None:
+    """One record per row in text files (.txt, with gzip .txt.gz), which read_fasta reads with extensions=("txt",)."""
+    df.select(F.concat(F.lit(">"), F.col(title_col), F.lit("\n"), F.col("sequence"))).write.mode("overwrite").text(path, compression=compression)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lettermill.functions import names
 from lettermill.functions.alphabets import alphabet_keys, alphabet_table, check_valid, get_alphabet, reduce_sequence
-from lettermill.operators import annotate, clustering, kmers, models, motif, scoring, sequences, similarity
+from lettermill.operators import annotate, clustering, kmers, models, motif, scoring, sequences, similarity, store
 from lettermill.sources import fasta, tables
 
 
@@ -89,6 +89,44 @@ def test_jaccard_prefix_filter_is_exact(spark):
         assert {(r.a, r.b) for r in similarity.jaccard_pairs(pairs, limit).collect()} == want
 
 
+def test_links_of_copies(spark):
+    sets = {"a": "xyz", "b": "xyz", "c": "xyzw", "d": "xyz", "e": "pq"}
+    pairs = long(spark, [(i, k) for i, ks in sets.items() for k in ks], "seq_id string, kmer string")
+    assert {r.seq_id: r.rep for r in similarity.set_classes(pairs).collect()} == {"a": "a", "b": "a", "d": "a", "c": "c", "e": "e"}
+    assert {(r.a, r.b, r.distance) for r in similarity.jaccard_links(pairs, 0.5).collect()} == {("a", "b", 0.0), ("a", "d", 0.0), ("a", "c", 0.25)}
+    got = clustering.connected_components(long(spark, [(i,) for i in sets], "seq_id string"), similarity.jaccard_links(pairs, 0.5))
+    assert {r.seq_id: r.component for r in got.collect()} == {"a": "a", "b": "a", "c": "a", "d": "a", "e": "e"}
+
+
+def test_places_in_a_global_order(spark):
+    rows = [(x, i) for i, x in enumerate([5, 3, 9, 3, 1, 7, 7, 7, 0])]
+    got = [tuple(r) for r in store.numbered(long(spark, rows, "x int, y int"), ["x", "y"]).orderBy("idx").select("x", "y", "idx").collect()]
+    assert got == [(*r, i) for i, r in enumerate(sorted(rows))]
+
+
+def test_permutations_in_bits_equal_single_ones(spark):
+    rng = np.random.default_rng(6)
+    pairs = long(spark, [(f"s{i}", str(k)) for i in range(30) for k in rng.choice(6, 3, replace=False)], "seq_id string, kmer string")
+    labels = long(spark, [(f"s{i}", "f" if i % 3 else "g") for i in range(30)], "seq_id string, label string")
+    permuted = motif.permute_labels(labels, 130)
+    assert permuted.groupBy("perm").agg(F.count(F.when(F.col("label") == "f", 1)).alias("n")).select("n").distinct().collect() == [(20,)]
+    want = {(r.perm, r.kmer): r.score for r in motif.score_statistic(pairs, permuted, "f", ("perm",)).collect()}
+    got = {(r.perm, r.kmer): r.score for r in motif.permuted_statistic(pairs, permuted, "f").collect()}
+    assert got == want and len(got) == 130 * 6
+
+
+def test_family_models_have_no_gradient(spark):
+    rng = np.random.default_rng(8)
+    rows = [(label, float(x), int(rng.random() < 1 / (1 + np.exp(-slope * x)))) for label, slope in (("a", 2.0), ("b", -1.0)) for x in rng.normal(size=200)]
+    fits = {r.label: (r.w, r.b) for r in models.fit_family_models(long(spark, rows, "label string, score double, in_family int")).collect()}
+    for label, (w, b) in fits.items():
+        x, y = (np.array([r[i] for r in rows if r[0] == label]) for i in (1, 2))
+        e = 1 / (1 + np.exp(-(w * x + b))) - y
+        assert abs(w + (e * x).sum()) < 1e-8 and abs(e.sum()) < 1e-8
+    one = models.fit_family_models(long(spark, [("a", 1.0, 1)], "label string, score double, in_family int"), steps=5).first()
+    assert np.isfinite(one.w) and np.isfinite(one.b)
+
+
 def test_class_scores(spark):
     pairs = long(spark, [("a", "k"), ("c", "k"), ("b", "z")], "seq_id string, kmer string")
     labels = long(spark, [("a", "A"), ("b", "B"), ("c", "C")], "seq_id string, label string")
@@ -182,9 +220,10 @@ def test_fasta_round_trip(spark, tmp_path):
     (tmp_path / "in" / "b.txt").write_text(">no\nAA\n")
     rows = fasta.read_fasta(spark, str(tmp_path / "in"))
     assert sorted((r.filename, r.seq_id, r.description, r.sequence) for r in rows.collect()) == [("a.faa", "id1", "id1 first > one", "MAKES*"), ("a.faa", "id2", "id2", "VV")]
-    fasta.write_fasta(rows, str(tmp_path / "out"))
-    again = spark.read.option("lineSep", "\n>").text(str(tmp_path / "out")).count()
-    assert again == 2
+    for compression in ("none", "gzip"):
+        fasta.write_fasta(rows, str(tmp_path / compression), compression=compression)
+        again = fasta.read_fasta(spark, str(tmp_path / compression), ("txt",))
+        assert sorted((r.seq_id, r.description, r.sequence) for r in again.collect()) == [("id1", "id1 first > one", "MAKES*"), ("id2", "id2", "VV")]
 
 
 def test_annotations_last_wins(spark, tmp_path):
