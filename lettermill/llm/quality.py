@@ -3,6 +3,7 @@
 import math
 import operator
 import typing
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -74,17 +75,18 @@ class Features(dict):
         if len(self) > self.bound:
             self.clear()
             self.starts.clear()
-        distinct = set(words)
-        found = dict.fromkeys({self[w][0] for w in distinct}, 1.0)
-        for b in beginnings({w.lower().strip(MARKS) for w in distinct}):
+        counts = Counter(words)
+        found = dict.fromkeys([self[w][0] for w in counts], 1.0)
+        for b in beginnings({w.lower().strip(MARKS) for w in counts}):
             bucket = self.starts.get(b)
             if bucket is None:
                 bucket = self.starts[b] = beginning_bucket(b)
             found[bucket] = 1.0
-        step = 10 / len(words)
-        for w in words:
-            s = self[w][1]
-            found[s] = found.get(s, 0.0) + step
+        step, shapes = 10 / len(words), Counter()
+        for w, n in counts.items():
+            shapes[self[w][1]] += n
+        for s, n in shapes.items():
+            found[s] = step * n
         found[REPEATS] = step * sum(map(operator.eq, words, words[1:]))
         return found
 
