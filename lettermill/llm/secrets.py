@@ -3,7 +3,7 @@
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.llm.common import materialize
@@ -19,6 +19,8 @@ ASSIGNED = rf"(?<=[:=\"' ])(?<=[:=]\s{{0,3}}[\"']{{0,1}})(?i)(?<=(?:{NAMES.repla
 CANDIDATE = f"(?=[Agxse-])(?:{KNOWN})|{LONG}|{ASSIGNED}"
 #: Sizes: labelled findings that are fitted on, dictionary words, findings' neighbourhood in characters.
 MAX_TRAIN, MAX_WORDS, AROUND = 10_000, 5000, 60
+#: Characters of the shortest candidate.
+LEAST = 8
 FEATURES = ["n_chars", "digits", "uppers", "marks", "distinct", "transitions", "hex", "coverage", "longest_word", "named", "assigned", "quoted", "known", "path_test", "path_config"]
 #: Findings from this probability on are reported as secrets.
 REPORT_FROM = 0.5
@@ -31,15 +33,23 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = MAX_WORD
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """One row per candidate: doc_id, path, start, end (code points, end exclusive), value, before, after."""
+    """One row per candidate: doc_id, path, start, end (code points, end exclusive), value, and the AROUND characters before and after.
+
+    A text is cut into the parts between candidates and the candidates, a row
+    each; places are running sums over the parts of its row.
+    """
     text = F.translate(F.coalesce(F.col(text_col), F.lit("")), "\x01", " ")
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), path.alias("path"), text.alias("text")).where(F.col("text").rlike(CANDIDATE))
-    rows = rows.withColumn("parts", F.split(F.regexp_replace("text", f"({CANDIDATE})", "\x01$1\x01"), "\x01", -1))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), path.alias("path"), text.alias("text")).where(F.col("text").rlike(CANDIDATE))
     # odd parts are the matches
-    rows = rows.withColumn("ends", F.expr("aggregate(parts, array(0), (a, x) -> array_append(a, element_at(a, -1) + char_length(x)))"))
-    rows = rows.select("doc_id", "path", F.explode(F.expr("transform(sequence(1, size(parts) - 1, 2), i -> named_struct('start', bigint(ends[i]), 'end', bigint(ends[i + 1]), 'value', parts[i], 'before', parts[i - 1], 'after', parts[i + 1]))")).alias("c"))
-    return rows.select("doc_id", "path", "c.start", "c.end", "c.value", F.right("c.before", F.lit(AROUND)).alias("before"), F.left("c.after", F.lit(AROUND)).alias("after"))
+    parts = rows.select("rid", "doc_id", "path", F.posexplode(F.split(F.regexp_replace("text", f"({CANDIDATE})", "\x01$1\x01"), "\x01", -1)).alias("at", "value"))
+    own = Window.partitionBy("rid").orderBy("at")
+    # a candidate has LEAST characters or more, so that many parts hold AROUND characters if the text does
+    most = 2 * -(-AROUND // LEAST)
+    beside = lambda first, last: F.array_join(F.collect_list("value").over(own.rowsBetween(first, last)), "")
+    end = F.sum(F.char_length("value").cast("long")).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    found = parts.withColumns({"end": end, "before": F.right(beside(-most, -1), F.lit(AROUND)), "after": F.left(beside(1, most), F.lit(AROUND))}).where("at % 2 = 1")
+    return found.select("doc_id", "path", (F.col("end") - F.char_length("value")).alias("start"), "end", "value", "before", "after")
 
 
 def share(value: Column, pattern: str) -> Column:
@@ -55,11 +65,11 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     covered = covered.groupBy("value").agg(F.coalesce(F.sum(F.when(F.col("hit") == 1, F.char_length("run"))), F.lit(0)).alias("in_words"), F.coalesce(F.max(F.when(F.col("hit") == 1, F.char_length("run"))), F.lit(0)).alias("longest"))
     changes = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])"
     columns = {
-        "n_chars": F.least(F.char_length(v), F.lit(200)),
+        "n_chars": F.char_length(v),
         "digits": share(v, "[^0-9]"),
         "uppers": share(v, "[^A-Z]"),
         "marks": share(v, "[A-Za-z0-9]"),
-        "distinct": F.size(F.array_distinct(F.split(F.left(v, F.lit(200)), ""))) / F.least(F.char_length(v), F.lit(200)),
+        "distinct": F.size(F.array_distinct(F.split(v, ""))) / F.char_length(v),
         "transitions": (F.size(F.split(v, changes, -1)) - 1) / F.char_length(v),
         "hex": v.rlike("^[0-9a-fA-F]+$"),
         "coverage": F.col("in_words") / F.char_length(v),
