@@ -42,11 +42,11 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     kept = exact_dedup(docs, id_col, text_col, keep, normalize).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n"))
     kept = materialize(kept, "kept")
-    keys = [F.col(id_col).eqNullSafe(F.col("__kept_id")), F.col("__sha") == F.col("__kept_sha")]
-    marked = docs.withColumn("__sha", F.sha2(normalize(F.col(text_col)), 256))
-    of = lambda rows: rows.select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    once = marked.join(of(kept.where("n = 1")), keys, "left_semi").select(*columns)
-    row = F.struct(*columns)
-    repeated = marked.join(of(kept.where("n > 1")), keys, "left_semi").groupBy(F.col(id_col).alias("__id"), "__sha").agg(F.min_by(row, F.to_json(row)).alias("__row"))
-    return once.unionByName(repeated.select("__row.*"))
+    # rows stand as one column each, so that no name of theirs can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.sha2(normalize(F.col(text_col)), 256).alias("sha"))
+    same = lambda some: [F.col("id").eqNullSafe(some["doc_id"]), F.col("sha") == some["text_sha256"]]
+    single, several = kept.where("n = 1"), kept.where("n > 1")
+    once = rows.join(single, same(single), "left_semi").select("row.*")
+    repeated = rows.join(several, same(several), "left_semi").groupBy("id", "sha").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return once.unionByName(repeated.select("row.*"))

@@ -41,7 +41,7 @@ def stratified_shards(docs: DataFrame, n_shards: int, seed: int = 0, id_col: str
     counts = rows.groupBy(*at).agg(F.count("*").alias("n"))
     by_source = Window.partitionBy("key")
     starts = counts.select(*at, F.sum("n").over(by_source).alias("n_source"), (F.sum("n").over(by_source.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("start"))
-    in_bucket = Window.partitionBy(*at).orderBy("draw", "doc_id", "size", "text_crc32")
+    in_bucket = Window.partitionBy(*at).orderBy(F.shiftrightunsigned("draw", 11), "draw", "doc_id", "size", "text_crc32")
     phase = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "key"), 11) / F.lit(float(1 << 53))
     ranked = rows.withColumn("rank", F.row_number().over(in_bucket) - 1).join(starts, at)
     ranked = ranked.withColumn("fraction", (F.col("start") + F.col("rank") + phase) / F.col("n_source"))
