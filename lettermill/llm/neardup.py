@@ -266,6 +266,39 @@ class CountTree:
         return out
 
 
+def in_blocks(met: DataFrame) -> DataFrame:
+    """met (p, x) with blocks, the number of blocks of the meeting, and i, the block of the member."""
+    blocks = met.groupBy("p").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"), F.count("*").alias("size")).where("size > 1")
+    return met.join(blocks, "p").withColumn("i", F.pmod(F.xxhash64("x"), F.col("blocks")))
+
+
+def first_tasks(met: DataFrame) -> DataFrame:
+    """(x, task): each block of a meeting with its first block, so a member moves once and those of the first block once for each block."""
+    rows = in_blocks(met)
+    own = rows.select("x", F.xxhash64("p", "i").alias("task"))
+    lead = rows.where("i = 0 AND blocks > 1").withColumn("j", F.explode(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1)))
+    return own.unionByName(lead.select("x", F.xxhash64("p", "j").alias("task")))
+
+
+def open_tasks(met: DataFrame, components: DataFrame) -> DataFrame:
+    """(x, task) for the pairs of large meetings that first_tasks() did not compare and that no link joins.
+
+    Members of a meeting's largest component need no comparison with each other;
+    each of the others meets all, block against block. So near copies that are
+    joined already cost nothing, and a member moves once for each block of others.
+    """
+    rows = in_blocks(met).where("blocks > 1").join(components, F.col("x") == F.col("node"), "left").select("p", "x", F.coalesce("component", "x").alias("c"))
+    rows = materialize(rows, "members")
+    largest = rows.groupBy("p", "c").agg(F.count("*").alias("n")).groupBy("p").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.sum("n").alias("size"), F.max("n").alias("most")).where("most < size")
+    sides = rows.join(largest, "p").withColumns({"b_others": F.ceil((F.col("size") - F.col("most")) / F.lit(BLOCK)), "b_main": F.ceil(F.col("most") / F.lit(BLOCK))})
+    others = sides.where("c <> main").withColumn("i", F.pmod(F.xxhash64("x"), F.col("b_others")))
+    # blocks of others are numbered from 0, those of the largest component behind them
+    met_by = others.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b_others") + F.col("b_main") - 1)))
+    main = sides.where("c = main").withColumn("j", F.col("b_others") + F.pmod(F.xxhash64("x"), F.col("b_main"))).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b_others") - 1)))
+    task = F.xxhash64("p", F.least("i", "j"), F.greatest("i", "j"), F.lit("open")).alias("task")
+    return met_by.select("x", task).unionByName(main.select("x", task))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id, component_id.
 
@@ -280,7 +313,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: tuple[int, int]
     with nothing. Rows that repeat an id must repeat the text. Extra columns are
     not read. Shingles are told apart by 64-bit hashes, sets by 128-bit hashes.
     No candidate, bucket or group is capped: a meeting of more than BLOCK classes
-    is compared block against block.
+    is compared block against block, but for pairs that links join already.
     """
     num, den = similarity
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
@@ -294,12 +327,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: tuple[int, int]
     of_class = rows.join(ids, "doc_id", "left_semi").distinct().join(classes, ["hi", "lo"]).select("doc_id", "class_id")
     met = met.join(of_class.select(F.col("doc_id").alias("leader"), F.col("class_id").alias("p")), "leader").join(of_class.select(F.col("doc_id").alias("member"), F.col("class_id").alias("x")), "member").select("p", "x").distinct()
     met = materialize(met, "met")
-    blocks = met.groupBy("p").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"), F.count("*").alias("size")).where("size > 1")
-    # a member of block i goes to the tasks of all pairs of blocks with i
-    dealt = met.join(blocks, "p").withColumn("i", F.pmod(F.xxhash64("x"), F.col("blocks"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = materialize(dealt.select("x", "size", F.xxhash64("p", F.least("i", "j"), F.greatest("i", "j")).alias("task")), "dealt")
-    n_tasks = max(1, -(-dealt.count() // TASK_ROWS))
-    dealt = dealt.select("x", F.pmod("task", F.lit(n_tasks)).alias("task")).distinct()
 
     def search(table):
         import pyarrow as pa
@@ -320,12 +347,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: tuple[int, int]
         alive = [x[i] for i in tree.survivors()]
         return pa.table({"x": pa.array(alive, pa.int64()), "task": pa.array([table.column("task")[0].as_py()] * len(alive), pa.int64())})
 
-    # first the points alone meet; texts move once to their ids, and those whose points have a partner once more to their tasks
     points = found.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "point")
-    dealt = materialize(points.join(dealt.hint("shuffle_hash"), F.col("doc_id") == F.col("x")).select("x", "task", "point").groupBy("task").applyInArrow(prune, "x long, task long"), "alive")
-    meeting = texts.join(dealt.hint("shuffle_hash"), F.col("doc_id") == F.col("x")).select("x", "task", "text")
-    links = meeting.groupBy("task").applyInArrow(search, "a long, b long")
+
+    def linked(dealt: DataFrame) -> DataFrame:
+        """Links (a, b) inside the tasks of dealt (x, task)."""
+        dealt = materialize(dealt, "dealt")
+        n_tasks = max(1, -(-dealt.count() // TASK_ROWS))
+        dealt = dealt.select("x", F.pmod("task", F.lit(n_tasks)).alias("task")).distinct()
+        # first the points alone meet; then the texts of those whose points have a partner move to their tasks
+        alive = points.join(dealt.hint("shuffle_hash"), F.col("doc_id") == F.col("x")).select("x", "task", "point").groupBy("task").applyInArrow(prune, "x long, task long")
+        alive = materialize(alive, "alive")
+        meeting = texts.join(alive.hint("shuffle_hash"), F.col("doc_id") == F.col("x")).select("x", "task", "text")
+        return materialize(meeting.groupBy("task").applyInArrow(search, "a long, b long"), "found")
+
+    links = linked(first_tasks(met))
     components = connected_components(links)
+    rest = materialize(open_tasks(met, components), "open")
+    if not rest.isEmpty():
+        components = connected_components(links.unionByName(linked(rest)))
     joined = rows.join(F.broadcast(classes.where(F.col("members") > max(2, rows.count() // 1000))).select("hi", "lo", F.col("class_id").alias("hot_id")), ["hi", "lo"], "left")
     hot = joined.where("hot_id IS NOT NULL").select("doc_id", "n", F.col("hot_id").alias("class_id"))
     cold = joined.where("hot_id IS NULL").join(classes, ["hi", "lo"], "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
