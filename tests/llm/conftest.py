@@ -1,12 +1,9 @@
-import os
-
-import duckdb
 import pytest
 
 
 @pytest.fixture(scope="session")
 def small_dir(tmp_path_factory, spark):
-    """The six synthetic tables with nulls, empty and very long texts, repeated rows and a column of a clashing name."""
+    """A table of documents with nulls, empty and very long texts, repeated rows and a column of a clashing name."""
     folder = tmp_path_factory.mktemp("tables")
     rows = [(i, t, "en", f"s{i % 3}", len(t or ""), "x") for i, t in enumerate(TEXTS)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string").write.parquet(str(folder / "documents.parquet"))
