@@ -29,5 +29,5 @@ def test_scores_are_the_weighted_features(spark):
     texts = ["", "Wonderful wonderful, wonderfully made made", "réeuxment réeuxvi short"]
     got = [r.score for r in quality.score_quality(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()]
     for text, score in zip(texts, got, strict=True):
-        at, value = quality.features(text.encode())
-        assert score == pytest.approx(sum(model.weights[a] * v for a, v in zip(at, value, strict=True)), abs=1e-4)
+        found = quality.Features().of(text.encode())
+        assert score == pytest.approx(sum(model.weights[a] * v for a, v in found.items()), abs=1e-9)
