@@ -1,114 +1,213 @@
-"""Fuzzy line deduplication by MinHash. DataFrame functions only.
+"""Fuzzy line deduplication by MinHash.
 
-1. Lines are told apart by 128 bits of hash of the normalised line. Each distinct
-   line is shingled once: every nine characters, one row and one 64-bit hash each.
+1. A pass over the documents splits them into lines and tells lines apart by 128 bits
+   of hash of the normalised line. Each line is cut into all its shingles of nine
+   characters, one 64-bit hash each; a line that its task has met is not cut again.
 2. The hashes fall into SECTORS sectors; the least of a sector is one MinHash. ROWS
    sectors are a band, so a band of two lines of similarity J agrees with a
    probability of about J^3, and at 0.8 some band of all with one of 0.997.
-3. Lines that agree on a band meet. Pairs of a meeting are compared on their exact
-   shingle sets, pivot by pivot: first one pivot meets all others, then four times
-   as many in each round, until every member has been one. Pairs that links join
-   already need no comparison, all others get one.
+3. Lines that agree on a band meet under the smallest of them. Meetings are dealt
+   into tasks, large ones block against block, and compared there on the exact
+   shingle sets: one pivot with all others, then those outside the largest set of
+   linked lines, until links join all or each of the others has been the pivot.
 4. Components of the links follow from star rounds.
+
+Splitting and hashing run in Arrow batches: as DataFrame functions these two steps
+alone take more CPU time than the operator may (see README).
 """
 
-import operator
-from functools import reduce
+import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import materialize, union_all
+from lettermill.llm.common import materialize, mix
 from lettermill.llm.components import connected_components
+from lettermill.llm.neardup import first_tasks, open_tasks
 
 #: Characters of a shingle; sectors of a band and bands.
 SHINGLE, ROWS, BANDS = 9, 3, 8
 SECTORS = ROWS * BANDS
-#: Pivots of a meeting grow by this factor from round to round.
-GROWTH = 4
-#: Share of all lines from which copies of one line are folded before they move; at most 1 / HOT_SHARE lines are that frequent.
-HOT_SHARE = 1e-4
+#: Multiplier of the rolling hash, its powers, and the value of a sector without a shingle.
+BASE, BASE_2, BASE_4 = (np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in (1, 2, 4))
+EMPTY = np.uint64(2**64 - 1)
+#: Characters hashed at once; lines that a task remembers.
+CHUNK, MEMORY = 500_000, 300_000
+#: Rows and characters that a comparing task takes on average.
+TASK_ROWS, TASK_CHARS = 2048, 2_000_000
+#: White space other than single blanks, and what is folded.
+ODD, FOLDED = re.compile("  |[\t\x0b\x0c\r]"), re.compile("[ \t\x0b\x0c\r]+")
 
 
-def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, line_no (from 0), line and norm: the line in lower case, white space folded; blank lines have a null norm."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("line_no", "line"))
-    # single blanks need no replacement, and to look for others is quicker than the pattern
-    odd = reduce(operator.or_, [F.contains("line", F.lit(c)) for c in ("  ", "\t", "\x0b", "\f", "\r")])
-    low = F.lower("line")
-    norm = F.trim(F.when(odd, F.regexp_replace(low, r"\s{2,}|[\t\x0B\f\r]", " ")).otherwise(low))
-    return rows.withColumn("norm", F.when(norm != "", norm))
+def normal_lines(text: str) -> list[str]:
+    """Lines of a text in lower case, white space folded and none at the ends; a blank line is empty."""
+    low = text.lower()
+    if ODD.search(low):
+        low = FOLDED.sub(" ", low)
+    return [line.strip(" ") for line in low.split("\n")]
+
+
+def line_shingles(norms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Line (position in norms) and hash of each shingle: every nine characters, or the whole of a shorter line. No line may be empty."""
+    size = np.fromiter(map(len, norms), np.int64, len(norms))
+    chars = np.frombuffer("".join(norms).encode("utf-32-le"), "<u4").astype(np.uint64)
+    c = np.concatenate([chars, np.zeros(SHINGLE - 1, np.uint64)])
+    two = c[:-1] * BASE + c[1:]
+    four = two[:-2] * BASE_2 + two[2:]
+    nine = (four[:-4] * BASE_4 + four[4:])[:-1] * BASE + c[8:]
+    count = np.maximum(1, size - (SHINGLE - 1))
+    start = np.cumsum(size) - size
+    row = np.repeat(np.arange(len(norms)), count)
+    at = np.arange(len(row)) + np.repeat(start - (np.cumsum(count) - count), count)
+    for i in np.flatnonzero(size < SHINGLE).tolist():
+        nine[start[i]] = xxhash.xxh3_64_intdigest(norms[i].encode())
+    return row, mix(nine[at])
+
+
+def band_keys(norms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A key for each line and band, and which of them count: a band without a shingle has no key."""
+    row, h = line_shingles(norms)
+    sector = (((h >> np.uint64(40)) * np.uint64(SECTORS)) >> np.uint64(24)).astype(np.int64)
+    least = np.full(len(norms) * SECTORS, EMPTY)
+    np.minimum.at(least, row * SECTORS + sector, h)
+    least = least.reshape(len(norms), BANDS, ROWS)
+    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(norms), BANDS))
+    for i in range(ROWS):
+        keys = mix(keys * BASE + least[:, :, i])
+    return keys, (least != EMPTY).any(axis=2)
+
 
+def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repeats: bool = False) -> DataFrame:
+    """One row per line: doc_id, line_no (from 0), hi and lo (hash of the normalised line, null for a blank one), norm and bands.
 
-def shingle_rows(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and h, one row per shingle of `norm`: every nine characters, or the whole of a shorter line. Shingles are cut from fixed-width characters, which is linear."""
-    wide = lines.select(*keys, F.encode("norm", "UTF-32").alias("__wide"), F.char_length("norm").alias("__n"))
-    at = wide.select(*keys, "__wide", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("__n") - (SHINGLE - 1)))).alias("__at"))
-    return at.select(*keys, F.expr(f"xxhash64(substring(__wide, __at * 4 - 3, {4 * SHINGLE}))").alias("h"))
+    norm is null and bands are empty where the task has met the line before, unless repeats are wanted.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+        seen: set[bytes] = set()
 
-def shingle_set(norm: Column) -> Column:
-    """Distinct shingle hashes of a line as an array, the same as in shingle_rows()."""
-    wide = F.array(F.struct(F.encode(norm, "UTF-32").alias("b"), F.char_length(norm).alias("n")))
-    cut = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), w["n"] - (SHINGLE - 1))), lambda i: F.xxhash64(F.substring(w["b"], i * 4 - 3, F.lit(4 * SHINGLE))))
-    return F.array_distinct(F.transform(wide, cut)[0])
+        def table_of(ids: list, numbers: list[int], norms: list[str]):
+            digests = [xxhash.xxh3_128_digest(x.encode()) for x in norms]
+            new = []
+            for i, digest in enumerate(digests):
+                if norms[i] and (repeats or digest not in seen):
+                    if len(seen) >= MEMORY:
+                        seen.clear()
+                    seen.add(digest)
+                    new.append(i)
+            blank = np.array([not x for x in norms])
+            hi, lo = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2).T
+            count, values = np.zeros(len(norms), np.int64), np.zeros(0, np.uint64)
+            if new:
+                keys, real = band_keys([norms[i] for i in new])
+                count[new], values = real.sum(axis=1), keys[real]
+            own = set(new)
+            bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(values.view(np.int64)))
+            texts = pa.array([x if i in own else None for i, x in enumerate(norms)], pa.string())
+            columns = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(hi, mask=blank), pa.array(lo, mask=blank), texts, bands]
+            return pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(zip(["doc_id", "line_no", "hi", "lo", "norm", "bands"], types, strict=True))))
 
+        for batch in batches:
+            ids, numbers, norms, held = [], [], [], 0
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = normal_lines(text)
+                ids += [doc_id] * len(found)
+                numbers += range(len(found))
+                norms += found
+                held += len(text) + 1
+                if held >= CHUNK:
+                    yield table_of(ids, numbers, norms)
+                    ids, numbers, norms, held = [], [], [], 0
+            if norms:
+                yield table_of(ids, numbers, norms)
 
-def band_keys(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and `bands`, an array of a hash for each band that has a shingle. Rows of equal keys must be in one partition already, then nothing is shuffled."""
-    least = shingle_rows(lines, keys).groupBy(*keys, F.pmod("h", F.lit(SECTORS)).cast("int").alias("sector")).agg(F.min("h").alias("least"))
-    bands = least.groupBy(*keys, F.expr(f"sector div {ROWS}").alias("band")).agg(F.bit_xor(F.xxhash64("sector", "least")).alias("key"))
-    return bands.groupBy(*keys).agg(F.collect_list(F.xxhash64("band", "key")).alias("bands"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return texts.mapInArrow(run, "doc_id long, line_no int, hi long, lo long, norm string, bands array<long>")
 
 
-def distinct_lines(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """The distinct lines (hi, lo, norm) of rows (hi, lo, norm), dealt by (hi, lo). lines: the same rows as a table without norm. Copies of frequent lines are folded before they move."""
-    frequent = lines.groupBy("hi", "lo").agg(F.count("*").alias("n")).where(F.col("n") > HOT_SHARE * lines.count())
-    hot = F.broadcast(materialize(frequent.select("hi", "lo"), "hot"))  # fewer than 1 / HOT_SHARE rows
-    folded = rows.join(hot, ["hi", "lo"], "left_semi").distinct()
-    return folded.unionByName(rows.join(hot, ["hi", "lo"], "left_anti")).repartition("hi", "lo").distinct()
+def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, line_no (from 0) and norm, the normalised line; blank lines have a null norm."""
+    return line_rows(docs, id_col, text_col, repeats=True).select("doc_id", "line_no", "norm")
 
 
-def compared(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose shingle sets are similar. texts: (id, norm)."""
-    sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("norm").alias("y")), "b")
-    sets = sides.select("a", "b", shingle_set(F.col("x")).alias("x"), shingle_set(F.col("y")).alias("y"))
-    both = sets.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("both"), (F.size("x") + F.size("y")).cast("long").alias("sizes"))
-    return both.where(F.col("both") * den >= (F.col("sizes") - F.col("both")) * num).select("a", "b")
+def meeting_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of similar sets that span every set of linked ones. sets: distinct hashes of each."""
+    size = np.array([len(x) for x in sets])
+    _, shingle, having = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    # a shingle of one line alone is in no overlap
+    shared = having[shingle] > 1
+    row, shingle = row[shared], shingle[shared]
+    edges = np.searchsorted(row, np.arange(len(sets) + 1))
+    root, been = np.arange(len(sets)), np.zeros(len(sets), bool)
+    out, pivot = [], 0
+    while True:
+        been[pivot] = True
+        mark = np.zeros(len(having), bool)
+        mark[shingle[edges[pivot] : edges[pivot + 1]]] = True
+        overlap = np.bincount(row[mark[shingle]], minlength=len(sets))
+        linked = np.flatnonzero((overlap * (num + den) >= num * (size + size[pivot])) & (root != root[pivot]))
+        for other in linked.tolist():
+            if root[other] != root[pivot]:
+                root[root == root[other]] = root[pivot]
+                out.append((pivot, other))
+        open_ = np.flatnonzero(~been & (root != np.bincount(root).argmax()))
+        if not len(open_):
+            return out
+        pivot = int(open_[0])
 
 
 def line_links(met: DataFrame, texts: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between similar lines that meet, and their components (node, component). met: distinct (key, id); texts: (id, norm).
 
-    A member's turn as a pivot comes by a hash of its id, the smallest id of a
-    meeting goes first. The pivots of a round are compared with all members whose
-    turn is not over and which no link joins to them so far; sets of too different
-    sizes are never similar, and a pair of several meetings is compared once.
+    Members of one meeting are compared with each other but for pairs that links
+    join already; a meeting of more than a block goes block against block.
     """
-    sizes = met.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("first"))
-    place = (F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))) * F.col("size")
-    turn = F.when(F.col("id") == F.col("first"), 0).otherwise(F.greatest(F.lit(1), F.ceil(F.log(float(GROWTH), F.greatest(place, F.lit(1.0))))).cast("int"))
-    n = texts.select("id", F.size(shingle_set(F.col("norm"))).cast("long").alias("n"))
-    members = materialize(met.join(sizes, "key").join(n, "id").select("key", "id", "n", turn.alias("turn")), "members")
-    last = members.agg(F.max("turn")).first()[0] or 0
-    links, tried, components = [], [], None
-    for now in range(last + 1):
-        held = members.where(F.col("turn") >= now)
-        if components is not None:
-            held = held.join(components, F.col("id") == F.col("node"), "left").select("key", "id", "n", "turn", F.coalesce("component", "id").alias("component"))
-        else:
-            held = held.withColumn("component", F.col("id"))
-        pivots = held.where(F.col("turn") == now).select(F.col("key").alias("met"), F.col("id").alias("p"), F.col("n").alias("m"), F.col("component").alias("own"))
-        near = F.least("n", "m") * den >= F.greatest("n", "m") * num
-        pairs = held.join(pivots, (F.col("key") == F.col("met")) & (F.col("component") != F.col("own")) & near & ((F.col("turn") > now) | (F.col("id") > F.col("p"))))
-        pairs = pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
-        if tried:
-            pairs = pairs.join(union_all(tried), ["a", "b"], "left_anti")
-        tried.append(materialize(pairs, "pairs"))
-        links.append(materialize(compared(tried[-1], texts, num, den), "found"))
-        if components is None or not links[-1].isEmpty():
-            components = materialize(connected_components(union_all(links)), "components")
-    return union_all(links), components
+    leaders = met.groupBy("key").agg(F.min("id").alias("p"), F.count("*").alias("size")).where("size > 1").select("key", "p")
+    members = materialize(met.join(leaders.hint("shuffle_hash"), "key").select("p", F.col("id").alias("x")).distinct(), "members")
+    n_texts, n_chars = texts.agg(F.count("*"), F.sum(F.char_length("norm"))).first()
+    mean = (n_chars or 0) / max(1, n_texts)
+
+    def search(table):
+        import pyarrow as pa
+
+        task, x = table.column("task").to_numpy(), table.column("x").to_numpy()
+        lines, position = np.unique(x, return_inverse=True)
+        norms: list = [None] * len(lines)
+        for at, norm in zip(position.tolist(), table.column("norm").to_pylist(), strict=True):
+            norms[at] = norm
+        sets: list[np.ndarray] = []
+        for i in range(0, len(norms), 256):
+            row, h = line_shingles(norms[i : i + 256])
+            sets += [np.unique(own) for own in np.split(h, np.flatnonzero(np.diff(row)) + 1)]
+        a, b = [], []
+        order = np.argsort(task, kind="stable")
+        for own in np.split(position[order], np.flatnonzero(np.diff(task[order])) + 1):
+            for i, j in meeting_links([sets[k] for k in own.tolist()], num, den) if len(own) > 1 else []:
+                a.append(int(lines[own[i]]))
+                b.append(int(lines[own[j]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    def linked(dealt: DataFrame) -> DataFrame:
+        dealt = materialize(dealt.distinct(), "dealt")
+        n = dealt.count()
+        slots = max(1, -(-n // TASK_ROWS), round(n * mean / TASK_CHARS))
+        rows = texts.join(dealt.hint("shuffle_hash"), F.col("id") == F.col("x")).select("task", "x", "norm", F.pmod("task", F.lit(slots)).alias("slot"))
+        return materialize(rows.groupBy("slot").applyInArrow(search, "a long, b long"), "found")
+
+    links = linked(first_tasks(members))
+    components = materialize(connected_components(links), "components")
+    rest = materialize(open_tasks(members, components), "open")
+    if not rest.isEmpty():
+        links = links.unionByName(linked(rest))
+        components = materialize(connected_components(links), "components")
+    return links, components
 
 
 def similar_lines(docs: DataFrame, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,26 +226,24 @@ def similar_lines(docs: DataFrame, similarity: tuple[int, int] = (80, 100), id_c
     join already. Other columns are not read.
     """
     num, den = similarity
-    rows = split_lines(docs, id_col, text_col)
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "line_no", F.xxhash64("norm").alias("hi"), F.xxhash64(F.lit(1), "norm").alias("lo"), "norm")
-    # texts are split again where they are needed, which costs less than a table of them
-    filled = rows.where("norm IS NOT NULL")
-    lines = materialize(filled.drop("norm"), "lines")
-    keyed = band_keys(distinct_lines(filled.select("hi", "lo", "norm"), lines), ["hi", "lo"])
+    lines = materialize(line_rows(docs, id_col, text_col), "lines")
+    first = lines.where("norm IS NOT NULL")
+    # a frequent line comes once from each task
+    keyed = first.select("hi", "lo", "bands").repartition("hi", "lo").dropDuplicates(["hi", "lo"])
     keyed = materialize(keyed.select(F.monotonically_increasing_id().alias("id"), "hi", "lo", "bands"), "bands")
     banded = keyed.select("id", F.explode("bands").alias("key"))
     # a band has a key once at most
     shared = materialize(banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
     met = materialize(banded.join(shared.hint("shuffle_hash"), "key"), "met")
     wanted = materialize(keyed.select("id", "hi", "lo").join(met.select("id").distinct(), "id", "left_semi"), "wanted")
-    texts = materialize(filled.select("hi", "lo", "norm").join(wanted.hint("shuffle_hash"), ["hi", "lo"]).select("id", "norm").distinct(), "texts")
+    texts = materialize(first.select("hi", "lo", "norm").join(wanted.hint("shuffle_hash"), ["hi", "lo"]).select("id", "norm").dropDuplicates(["id"]), "texts")
     components = line_links(met, texts, num, den)[1].where("node <> component")
     named = keyed.select("id", "hi", "lo")
     several = components.unionByName(components.select(F.col("component").alias("node"), "component")).distinct()
     several = several.join(named.select(F.col("id").alias("node"), "hi", "lo"), "node")
     label = several.groupBy("component").agg(F.min(F.struct("hi", "lo")).alias("label"))
     several = materialize(several.join(label, "component").select("hi", "lo", F.col("label.hi").alias("c_hi"), F.col("label.lo").alias("c_lo")), "labels")
-    placed = lines.join(several.hint("shuffle_hash"), ["hi", "lo"], "left").select("doc_id", "line_no", F.coalesce("c_hi", "hi").alias("hi"), F.coalesce("c_lo", "lo").alias("lo"))
+    placed = lines.where("hi IS NOT NULL").join(several.hint("shuffle_hash"), ["hi", "lo"], "left").select("doc_id", "line_no", F.coalesce("c_hi", "hi").alias("hi"), F.coalesce("c_lo", "lo").alias("lo"))
     placed = materialize(placed, "placed")
     # doc_id and line_no as one number, a null doc_id below all
     place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.expr("cast(-9223372036854775809 AS decimal(20,0))")) * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line_no").cast("decimal(11,0)")
@@ -155,7 +252,7 @@ def similar_lines(docs: DataFrame, similarity: tuple[int, int] = (80, 100), id_c
     # lines alone in their component need no join back
     alone = firsts.where("n = 1").select("doc_id", "line_no", name, F.lit(True).alias("kept"))
     copies = placed.join(firsts.where("n > 1").select("hi", "lo", "first"), ["hi", "lo"]).select("doc_id", "line_no", name, (place == F.col("first")).alias("kept"))
-    blank = rows.where("norm IS NULL").select("doc_id", "line_no", F.lit(None).cast("string").alias("component_id"), F.lit(True).alias("kept"))
+    blank = lines.where("hi IS NULL").select("doc_id", "line_no", F.lit(None).cast("string").alias("component_id"), F.lit(True).alias("kept"))
     return alone.unionByName(copies).unionByName(blank)
 
 

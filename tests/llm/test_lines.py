@@ -3,8 +3,8 @@
 import os
 import random
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from lettermill.llm import lines
 
@@ -77,21 +77,48 @@ def test_chains_in_a_key_lose_no_link(spark):
     assert similar(chain[0], chain[1]) and not similar(chain[0], chain[-1])
 
 
-def test_shingles_are_all_runs_of_nine_characters(spark):
-    texts = ["a", "abc äöü", "nine char", "x" * 50, "the quick 𝒳 brown fox"]
-    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, norm string")
-    exploded = {}
-    for r in lines.shingle_rows(rows, ["i"]).collect():
-        exploded.setdefault(r.i, []).append(r.h)
-    arrays = {r.i: r.s for r in rows.select("i", lines.shingle_set(F.col("norm")).alias("s")).collect()}
+def test_shingles_are_all_runs_of_nine_characters():
+    texts = ["a", "abc äöü", "nine char", "x" * 50, "the quick 𝒳 brown fox", "nine char", "a"]
+    row, h = lines.line_shingles(texts)
+    of = {}
     for i, t in enumerate(texts):
-        assert len(exploded[i]) == max(1, len(t) - 8) and set(exploded[i]) == set(arrays[i]) and len(arrays[i]) == len(shingles(t))
+        own = h[row == i].tolist()
+        cut = [t[j : j + 9] for j in range(max(1, len(t) - 8))]
+        assert len(own) == len(cut)
+        for shingle, value in zip(cut, own, strict=True):
+            # equal shingles have equal hashes in any line, others don't
+            assert of.setdefault(shingle, value) == value
+    assert len(set(of.values())) == len(of)
+
+
+def test_bands_are_minima_of_sectors():
+    texts = ["the quick brown fox jumps over the lazy dog", "abc", "the quick brown fox jumps over the lazy dog"]
+    keys, real = lines.band_keys(texts)
+    assert (keys[0] == keys[2]).all() and (real[0] == real[2]).all() and real[1].sum() == 1
+    row, h = lines.line_shingles(texts[:1])
+    sectors = {((int(x) >> 40) * lines.SECTORS) >> 24 for x in h}
+    assert real[0].sum() == len({s // lines.ROWS for s in sectors})
+
+
+def test_links_of_a_meeting_span_what_all_pairs_link():
+    rng = random.Random(5)
+    sets = [set(rng.sample(range(60), 30)) for _ in range(40)]
+    for i in range(25):
+        near = set(rng.choice(sets))
+        near.discard(next(iter(near)))
+        sets.append(near | {100 + i})
+    links = lines.meeting_links([np.array(sorted(s), np.uint64) for s in sets], 80, 100)
+    want = [(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert all((min(p), max(p)) in want for p in links)
 
+    def joined(pairs):
+        root = list(range(len(sets)))
+        for a, b in pairs:
+            x, y = root[a], root[b]
+            root = [min(x, y) if r in (x, y) else r for r in root]
+        return root
 
-def test_signatures_need_no_shuffle_of_shingles(spark):
-    rows = spark.createDataFrame([("a", 1, 1)] * 3, "norm string, hi long, lo long").repartition("hi", "lo")
-    plan = lines.band_keys(rows, ["hi", "lo"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    assert want and joined(links) == joined(want)
 
 
 def test_white_space_is_folded(spark):
