@@ -228,19 +228,18 @@ def similar_lines(docs: DataFrame, similarity: tuple[int, int] = (80, 100), id_c
     num, den = similarity
     lines = materialize(line_rows(docs, id_col, text_col), "lines")
     first = lines.where("norm IS NOT NULL")
-    # a frequent line comes once from each task
-    keyed = first.select("hi", "lo", "bands").repartition("hi", "lo").dropDuplicates(["hi", "lo"])
-    keyed = materialize(keyed.select(F.monotonically_increasing_id().alias("id"), "hi", "lo", "bands"), "bands")
-    banded = keyed.select("id", F.explode("bands").alias("key"))
-    # a band has a key once at most
-    shared = materialize(banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
-    met = materialize(banded.join(shared.hint("shuffle_hash"), "key"), "met")
-    wanted = materialize(keyed.select("id", "hi", "lo").join(met.select("id").distinct(), "id", "left_semi"), "wanted")
+    banded = first.select("hi", "lo", F.explode("bands").alias("key"))
+    # a frequent line comes once from each task, so a key is shared when two hashes have it, not two rows
+    shared = banded.groupBy("key").agg(F.min("hi").alias("least"), F.max("hi").alias("most")).where("least <> most")
+    shared = materialize(shared.select("key"), "shared")
+    found = materialize(banded.join(shared.hint("shuffle_hash"), "key").distinct(), "banded")
+    wanted = found.select("hi", "lo").distinct()
+    wanted = materialize(wanted.select(F.monotonically_increasing_id().alias("id"), "hi", "lo"), "wanted")
+    met = materialize(found.join(wanted.hint("shuffle_hash"), ["hi", "lo"]).select("key", "id"), "met")
     texts = materialize(first.select("hi", "lo", "norm").join(wanted.hint("shuffle_hash"), ["hi", "lo"]).select("id", "norm").dropDuplicates(["id"]), "texts")
     components = line_links(met, texts, num, den)[1].where("node <> component")
-    named = keyed.select("id", "hi", "lo")
     several = components.unionByName(components.select(F.col("component").alias("node"), "component")).distinct()
-    several = several.join(named.select(F.col("id").alias("node"), "hi", "lo"), "node")
+    several = several.join(wanted.select(F.col("id").alias("node"), "hi", "lo"), "node")
     label = several.groupBy("component").agg(F.min(F.struct("hi", "lo")).alias("label"))
     several = materialize(several.join(label, "component").select("hi", "lo", F.col("label.hi").alias("c_hi"), F.col("label.lo").alias("c_lo")), "labels")
     placed = lines.where("hi IS NOT NULL").join(several.hint("shuffle_hash"), ["hi", "lo"], "left").select("doc_id", "line_no", F.coalesce("c_hi", "hi").alias("hi"), F.coalesce("c_lo", "lo").alias("lo"))
