@@ -104,6 +104,33 @@ def test_places_in_a_global_order(spark):
     assert got == [(*r, i) for i, r in enumerate(sorted(rows))]
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_sums_per_key(spark, descending):
+    rng = np.random.default_rng(9)
+    # one key has nine tenths of the rows, some keys are null, and rows repeat
+    rows = [(None if x > 0.98 else "hot" if x > 0.08 else f"k{int(x * 100)}", int(y), int(z)) for x, y, z in zip(rng.random(900), rng.integers(0, 50, 900), rng.integers(0, 9, 900), strict=True)]
+    df = long(spark, rows, "k string, y int, z long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = store.running(df, ["k"], ["y", "z"], {"n": F.lit(1), "s": F.col("z")}, descending, True, {"x": F.xxhash64("y", "z")})
+        largest = store.written(got.withColumn("part", F.spark_partition_id())).groupBy("part").count().agg(F.max("count")).first()[0]
+        got = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(got) == 900 and largest < 400
+    hashes = {(r.y, r.z): r.h for r in df.select("y", "z", F.xxhash64("y", "z").alias("h")).collect()}
+    for key in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: r[1:], reverse=descending)
+        want, s, x = [], 0, 0
+        for i, (_, y, z) in enumerate(own):
+            s, x = s + z, x ^ hashes[y, z]
+            want.append((y, z, i + 1, s, x, len(own), sum(r[2] for r in own)))
+        assert sorted((r.y, r.z, r.n, r.s, r.x, r.n_total, r.s_total) for r in got if r.k == key) == sorted(want)
+    assert store.running(df.limit(0), ["k"], ["y"], {"n": F.lit(1)}).count() == 0
+
+
 def test_permutations_in_bits_equal_single_ones(spark):
     rng = np.random.default_rng(6)
     pairs = long(spark, [(f"s{i}", str(k)) for i in range(30) for k in rng.choice(6, 3, replace=False)], "seq_id string, kmer string")
