@@ -3,17 +3,20 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import table
+from lettermill.llm.common import ascii_lower, scratch_dir, table
 from lettermill.llm.decontamination import benchmark_hits
 from lettermill.llm.exact_dedup import exact_dedup
 from lettermill.llm.katz import katz_scores
 from lettermill.llm.lines import similar_lines
+from lettermill.llm.merkle import leaf_digest, merkle_manifest
 from lettermill.llm.neardup import jaccard_components
 from lettermill.llm.packing import place_pieces, token_pieces
 from lettermill.llm.pii import KINDS, find_pii
 from lettermill.llm.quality import fit_quality, quality_grades, score_quality
 from lettermill.llm.secrets import scan_secrets
 from lettermill.llm.sharding import stratified_shards
+from lettermill.llm.tokenfiles import read_token_files, with_crc32, write_token_files
+from lettermill.llm.trie import prefix_trie, rebuilt, turn_rows
 
 
 def tokenizer_path() -> str:
@@ -72,6 +75,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_lines(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(turn_rows(table(spark, sf_dir, "conversations"))))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_dir(spark)
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return with_crc32(read_token_files(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+MANIFEST = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = leaf_digest([F.when(F.col("text").isNotNull(), ascii_lower(F.col("text"))) if c == "text" else F.col(c) for c in MANIFEST])
+    hit = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = merkle_manifest(docs, MANIFEST, presented=F.when(hit, tampered).otherwise(leaf_digest([F.col(c) for c in MANIFEST])))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -83,6 +109,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_files": op12_token_files,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
