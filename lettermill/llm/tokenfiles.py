@@ -15,28 +15,32 @@ from lettermill.llm.packing import byte_letters
 LETTERS, DIGITS, SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ʯ", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 #: Where a byte-level tokenizer with its usual pattern cuts a text of these characters; it never joins across a cut.
 CUTS = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^{SPACE}{LETTERS}{DIGITS}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Texts with other characters, or with what may be the name of a special token, are left whole to the tokenizer.
-OTHER = re.compile("[^\\x00-ʯ‐-‧‰-⁞€]|<\\|")
+#: Texts with other characters are left whole to the tokenizer, as are those with what may be the name of a special token.
+OTHER = re.compile("[^\\x00-ʯ‐-‧‰-⁞€]")
 #: Settings of a tokenizer file under which CUTS holds; with any other file whole texts are encoded.
 BYTE_LEVEL = {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}, "post_processor": None}
 
 
 class CutIds(dict):
-    """Cut of a text -> its token ids as little-endian 32-bit bytes, remembered for up to `bound` cuts."""
+    """Cut of a text -> its token ids as little-endian 32-bit bytes.
+
+    Up to twice `bound` cuts are remembered: when there are `bound` of them they
+    become the older half, from which those that occur again come back.
+    """
 
     #: One memory per file and Python worker, so that tasks after the first one start warm.
     made: dict = {}
 
-    def __init__(self, path: str, bound: int = 600_000):
+    def __init__(self, path: str, bound: int = 300_000):
         import json
 
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.bound, self.letters = Tokenizer.from_file(path), bound, byte_letters()
+        self.tokenizer, self.bound, self.letters, self.older = Tokenizer.from_file(path), bound, byte_letters(), {}
         settings = json.loads(self.tokenizer.to_str())
         self.model = self.tokenizer.model
-        # special tokens whose names OTHER does not see, or a model of another kind, ask for whole texts
+        # a model of another kind, or special tokens of other names, ask for whole texts
         self.apart = all(settings[k] == v for k, v in BYTE_LEVEL.items()) and settings["model"]["type"] == "BPE" and all(t["content"].startswith("<|") for t in settings["added_tokens"])
 
     @classmethod
@@ -47,13 +51,17 @@ class CutIds(dict):
 
     def __missing__(self, cut: str) -> bytes:
         if len(self) >= self.bound:
+            self.older = dict(self)
             self.clear()
-        shown = cut.encode().decode("latin-1").translate(self.letters)
-        ids = self[cut] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+        ids = self.older.get(cut)
+        if ids is None:
+            shown = cut.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+        self[cut] = ids
         return ids
 
     def of(self, text: str) -> bytes:
-        if not self.apart or OTHER.search(text):
+        if not self.apart or "<|" in text or not text.isascii() and OTHER.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.__getitem__, CUTS.findall(text)))
 
