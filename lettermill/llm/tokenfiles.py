@@ -14,7 +14,7 @@ from lettermill.llm.packing import byte_letters
 #: The Latin letters, the digits and the white space among the characters up to U+02AF, by Unicode class.
 LETTERS, DIGITS, SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ʯ", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 #: Where a byte-level tokenizer with its usual pattern cuts a text of these characters; it never joins across a cut.
-CUTS = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^{SPACE}{LETTERS}{DIGITS}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+CUTS = re.compile(rf" ?[{LETTERS}]+|'(?:[sdmt]|ll|ve|re)| ?[^{SPACE}{LETTERS}{DIGITS}]+| ?[{DIGITS}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Texts with other characters are left whole to the tokenizer, as are those with what may be the name of a special token.
 OTHER = re.compile("[^\\x00-ʯ‐-‧‰-⁞€]")
 #: Settings of a tokenizer file under which CUTS holds; with any other file whole texts are encoded.
@@ -31,7 +31,7 @@ class CutIds(dict):
     #: One memory per file and Python worker, so that tasks after the first one start warm.
     made: dict = {}
 
-    def __init__(self, path: str, bound: int = 300_000):
+    def __init__(self, path: str, bound: int = 500_000):
         import json
 
         from tokenizers import Tokenizer
@@ -40,6 +40,7 @@ class CutIds(dict):
         self.tokenizer, self.bound, self.letters, self.older = Tokenizer.from_file(path), bound, byte_letters(), {}
         settings = json.loads(self.tokenizer.to_str())
         self.model = self.tokenizer.model
+        self.raw = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         # a model of another kind, or special tokens of other names, ask for whole texts
         self.apart = all(settings[k] == v for k, v in BYTE_LEVEL.items()) and settings["model"]["type"] == "BPE" and all(t["content"].startswith("<|") for t in settings["added_tokens"])
 
@@ -56,7 +57,7 @@ class CutIds(dict):
         ids = self.older.get(cut)
         if ids is None:
             shown = cut.encode().decode("latin-1").translate(self.letters)
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+            ids = b"".join([self.raw[t.id] for t in self.model.tokenize(shown)])
         self[cut] = ids
         return ids
 
@@ -103,7 +104,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     ordered = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     # the salts part the rows of one id, or of one id and text, if they are many
     dealt = ordered.withColumn("__salt", F.monotonically_increasing_id()).repartitionByRange("doc_id", F.xxhash64("text"), "__salt").sortWithinPartitions("doc_id", F.xxhash64("text"), "__salt")
-    coding = {"parquet.writer.version": "v2", "parquet.enable.dictionary": "true", "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows, "compression": "zstd", "maxRecordsPerFile": 0}
+    coding = {"parquet.writer.version": "v2", "parquet.enable.dictionary": "true", "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows, "compression": "zstd", "parquet.compression.codec.zstd.level": 1, "maxRecordsPerFile": 0}
     coding |= {f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "start", "n_tokens")}
     encoded(dealt, tokenizer_path, end_id).write.options(**coding).parquet(f"{path}/tokens")
     counts = spark.read.parquet(f"{path}/tokens").groupBy("part").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
