@@ -310,11 +310,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: tuple[int, int]
 
     Null, empty and blank texts have no shingle and link with nothing, not with
     each other either. Rows with a null id are returned with null ids and link
-    with nothing. Rows that repeat an id must repeat the text. Extra columns are
+    with nothing. Rows that repeat an id may have other texts: each row links by its own
+    text, and its ids are the smallest doc_ids of what it reaches. Extra columns are
     not read. Shingles are told apart by 64-bit hashes, sets by 128-bit hashes.
     No candidate, bucket or group is capped: a meeting of more than BLOCK classes
     is compared block against block, but for pairs that links join already.
     """
+    if repeats_ids(docs, id_col):
+        own = materialize(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.when(F.col(id_col).isNotNull(), F.monotonically_increasing_id()).alias("row")), "numbered")
+        found = materialize(row_components(own, k, similarity, "row", "text"), "rows").withColumnRenamed("doc_id", "row").join(own.select("row", "id").where("row IS NOT NULL"), "row", "left")
+        for c in ("class_id", "component_id"):
+            found = found.join(found.where("id IS NOT NULL").groupBy(c).agg(F.min("id").alias("least")), c, "left").drop(c).withColumnRenamed("least", c)
+        return found.select(F.col("id").alias("doc_id"), "n_shingles", "class_id", "component_id")
+    return row_components(docs, k, similarity, id_col, text_col)
+
+
+def repeats_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether an id stands in several rows; reads no other column."""
+    return not docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
+def row_components(docs: DataFrame, k: int, similarity: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
+    """jaccard_components() of rows whose ids, where not null, are unique."""
     num, den = similarity
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -374,6 +391,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: tuple[int, int]
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, that are the smallest id of their component; rows with a null id stay."""
-    dropped = jaccard_components(docs, k, similarity, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped_id")).distinct()
+    """The rows of docs, all columns, that are the smallest id of their component; rows with a null id stay. Of rows of a component that repeat its smallest id one stays."""
+    if repeats_ids(docs, id_col):
+        own = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.when(F.col(id_col).isNotNull(), F.monotonically_increasing_id()).alias("row")), "numbered")
+        found = row_components(own, k, similarity, "row", "text").where("doc_id IS NOT NULL").select(F.col("doc_id").alias("row"), "component_id")
+        found = materialize(found.join(own.select("row", "id"), "row"), "rows")
+        first = found.groupBy("component_id").agg(F.min(F.struct("id", "row")).alias("first")).select(F.col("first.row").alias("row"))
+        return own.where("row IS NULL").select("kept.*").unionByName(own.join(first, "row", "left_semi").select("kept.*"))
+    dropped = row_components(docs, k, similarity, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped_id"))
     return docs.join(dropped, F.col(id_col) == F.col("__dropped_id"), "left_anti")

@@ -160,7 +160,8 @@ def place_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GR
         group = table.column("__group")[0].as_py()
         return table.drop_columns(["__group"]).append_column("sequence_id", pa.array(bins + (group << 40))).append_column("offset", pa.array(offsets))
 
-    salted = pieces.withColumn("__group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_groups)))
+    # the place in the written table tells rows with null or repeated ids apart
+    salted = pieces.withColumn("__group", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(n_groups)))
     return salted.groupBy("__group").applyInArrow(pack, f"{kinds}, sequence_id long, offset long")
 
 

@@ -257,7 +257,7 @@ def training_rows(docs: DataFrame, max_train: int, seed: int, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2] for r in rows], pa.int32())], names=["label", "features", "fold"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    drawn = docs.select(text.alias("text")).where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(stride)) == 0)
+    drawn = docs.select(text.alias("text")).where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(stride)) == 0).distinct()
     return drawn.mapInArrow(run, "label double, features array<double>, fold int").select("label", array_to_vector("features").alias("features"), "fold")
 
 

@@ -129,11 +129,12 @@ def fit_ordinal(lengths: np.ndarray, at: np.ndarray, value: np.ndarray, grade: n
 
 
 def fit_quality(docs: DataFrame, ratings: DataFrame, n_grades: int, max_train: int = MAX_TRAIN, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
-    """Fits on at most `max_train` rated documents, those of the smallest hash of their id. `ratings`: id, grade from 0 (worst); rows with a null or
-    unknown grade are ignored. Only sparse features of these rows reach the driver."""
+    """Fits on at most `max_train` rated documents, those of the smallest hash of their id; of rows that repeat an id the smallest text counts. `ratings`: id, grade from 0 (worst);
+    rows with a null or unknown grade are ignored. Only sparse features of these rows reach the driver."""
     ids = ratings.select(F.col(id_col).alias("__id"), F.col("grade").cast("int").alias("grade")).where(F.col("__id").isNotNull() & F.col("grade").between(0, n_grades - 1))
     drawn = ids.groupBy("__id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("__id"), "__id").limit(max_train)
-    rated = docs.join(F.broadcast(drawn), F.col(id_col) == F.col("__id")).select(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8"), "grade", F.col("__id"))
+    met = docs.join(F.broadcast(drawn), F.col(id_col) == F.col("__id")).select(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"), "grade", "__id")
+    rated = met.groupBy("__id", "grade").agg(F.min("text").alias("text")).select("text", "grade", "__id")
 
     def extract(batches: Iterator) -> Iterator:
         import pyarrow as pa
