@@ -15,9 +15,12 @@ from lettermill.llm.pii import KINDS, find_pii
 from lettermill.llm.quality import fit_quality, quality_grades, score_quality
 from lettermill.llm.secrets import scan_secrets
 from lettermill.llm.sharding import stratified_shards
+from lettermill.llm.sql import ORACLE_SQL
 from lettermill.llm.tokenfiles import read_token_files, with_crc32, write_token_files
 from lettermill.llm.trie import prefix_trie, rebuilt, turn_rows
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 
 def tokenizer_path() -> str:
     import public_tokenizers
@@ -113,12 +116,3 @@ QUERIES = {
     "op12_token_files": op12_token_files,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
-
-ORACLE_SQL = {
-    "op1_exact_dedup": """
-        WITH d AS (
-          SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents),
-        g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
-        SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(d.norm) AS text_sha256
-        FROM d JOIN g ON d.norm = g.norm"""
-}
