@@ -7,7 +7,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lettermill.operators.store import written
+from lettermill.operators.store import running, written
 
 CLASSIFIERS = {
     "decisiontree": DecisionTreeClassifier,
@@ -93,11 +93,10 @@ def accuracy(predicted: DataFrame, by: tuple[str, ...] = (), truth: str = "actua
 
 
 def _thresholds(scores: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """(by), score, with counts of positives and negatives at the score and cumulated from the highest score on. Equal scores are one row before the window."""
-    cells = scores.groupBy(*by, "score").agg(F.sum("in_family").alias("pos"), F.sum(1 - F.col("in_family")).alias("neg"))
-    down = Window.partitionBy(*by).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    own = Window.partitionBy(*by)
-    return cells.select(*by, "score", "pos", "neg", F.sum("pos").over(down).alias("tp"), F.sum("neg").over(down).alias("fp"), F.sum("pos").over(own).alias("p"), F.sum("neg").over(own).alias("n"))
+    """(by), score, with counts of positives and negatives at the score, cumulated from the highest score on, and of all. Equal scores are one row; the scores of one label are spread over tasks."""
+    cells = written(scores.groupBy(*by, "score").agg(F.sum("in_family").alias("pos"), F.sum(1 - F.col("in_family")).alias("neg")))
+    summed = running(cells, list(by), ["score"], {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True, totals=True)
+    return summed.withColumnsRenamed({"tp_total": "p", "fp_total": "n"})
 
 
 def roc_auc(scores: DataFrame, by: tuple[str, ...] = ("label", "fold")) -> DataFrame:
@@ -122,8 +121,8 @@ def roc_curve(scores: DataFrame, by: tuple[str, ...] = ("label", "fold"), points
     """(by), i, fpr, tpr on an even grid of false positive rates, linear between thresholds; tpr is 0 at 0."""
     t = _thresholds(scores, by).where("p > 0 AND n > 0")
     x, y = F.col("fp") / F.col("n"), F.col("tp") / F.col("p")
-    steps = Window.partitionBy(*by).orderBy(F.desc("score"))
-    segments = t.select(*by, x.alias("x1"), y.alias("y1"), F.lag(x, 1, 0.0).over(steps).alias("x0"), F.lag(y, 1, 0.0).over(steps).alias("y0"))
+    # what the threshold before had is what this one has without its own rows
+    segments = t.select(*by, x.alias("x1"), y.alias("y1"), ((F.col("fp") - F.col("neg")) / F.col("n")).alias("x0"), ((F.col("tp") - F.col("pos")) / F.col("p")).alias("y0"))
     # a grid point lies on the first segment that reaches beyond it; each segment makes its own points
     first, last = F.ceil(F.col("x0") * (points - 1) - 1e-9), F.ceil(F.col("x1") * (points - 1) - 1e-9) - 1
     last = F.when(F.col("x1") == 1, F.lit(points - 1)).otherwise(last)

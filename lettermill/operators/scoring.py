@@ -1,5 +1,7 @@
 """Family scores from k-mer presence. All families and folds are keys of one job, not a job each."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,18 +20,30 @@ def class_probabilities(pairs: DataFrame, labels: DataFrame, keys: tuple[str, ..
     return found.join(sizes, by).select(*by, "kmer", "count", (F.col("count") / F.col("n")).alias("probability"))
 
 
+def of_models(rows: DataFrame, models: DataFrame, shared: list[str]) -> DataFrame:
+    """rows, once for each distinct model that agrees in the shared columns, with the model's other columns and n_labels, the number of such models.
+
+    The models (labels, or labels and folds) are read as one value of a subquery, so
+    rows stay where they are and no join multiplies them.
+    """
+    others = [c for c in models.columns if c not in shared]
+    groups = written(models.distinct().groupBy(*shared).agg(F.collect_list(F.struct(*others)).alias("models")))
+    every = groups.agg(F.collect_list(F.struct(*shared, "models"))).scalar()
+    own = F.filter("__every", lambda g: F.lit(True) if not shared else reduce(Column.__and__, [g[c] == F.col(c) for c in shared]))
+    met = rows.withColumn("__every", every).withColumn("__own", F.get(own, F.lit(0))["models"])
+    return met.select(*rows.columns, F.size("__own").alias("n_labels"), F.explode("__own").alias("__model")).select(*rows.columns, "n_labels", *[F.col(f"__model.{c}").alias(c) for c in others])
+
+
 def class_scores(probabilities: DataFrame, labels: DataFrame, keys: tuple[str, ...] = (), weight: float | None = None, neg_only: bool = False) -> DataFrame:
     """probabilities on the full grid of labels and k-mers, with score = P - w * (sum of the other labels' P).
 
     w: 1 / (number of labels - 1), or 1 with one label. neg_only: without the first term.
     """
     by = list(keys)
-    names = labels.select(*by, "label").distinct()
-    counted = names.withColumn("n_labels", F.count("*").over(Window.partitionBy(*by)))
-    basis = probabilities.groupBy(*by, "kmer").agg(F.sum("probability").alias("all"))
-    # as many rows as the result must have: every label of a key with every k-mer of the key
-    grid = basis.join(counted, by) if by else basis.withColumn("__all", F.lit(0)).join(counted.withColumn("__all", F.lit(0)), "__all").drop("__all")
-    full = grid.join(probabilities, [*by, "label", "kmer"], "left").na.fill(0, ["count", "probability"])
+    # a k-mer's cells are one row, from which every label of its keys takes its own
+    cells = probabilities.groupBy(*by, "kmer").agg(F.sum("probability").alias("all"), F.map_from_entries(F.collect_list(F.struct("label", F.struct("count", "probability")))).alias("cells"))
+    full = of_models(cells, labels.select(*by, "label"), by)
+    full = full.withColumn("cell", F.try_element_at("cells", F.col("label"))).withColumns({c: F.coalesce(f"cell.{c}", F.lit(0)) for c in ("count", "probability")})
     w = F.lit(weight) if weight is not None else F.when(F.col("n_labels") > 1, 1 / (F.col("n_labels") - 1)).otherwise(1.0)
     positive = F.lit(0.0) if neg_only else F.col("probability")
     return full.select(*by, "label", "kmer", "count", "probability", (positive - w * (F.col("all") - F.col("probability"))).alias("score"))
@@ -72,10 +86,9 @@ def sequence_scores(pairs: DataFrame, scores: DataFrame, seqs: DataFrame, keys:
     # a sequence meets the scores of its own folds only
     own = pairs.join(seqs, "seq_id") if shared else pairs
     hits = own.join(scores.select(*keys, "kmer", "score"), [*shared, "kmer"]).groupBy(*keys, "seq_id").agg(F.sum("score").alias("total"))
-    models = scores.select(*keys).distinct()
     # the result has a row for every sequence and model
-    grid = seqs.join(models, shared) if shared else seqs.withColumn("__all", F.lit(0)).join(models.withColumn("__all", F.lit(0)), "__all").drop("__all")
-    return grid.join(hits, [*keys, "seq_id"], "left").select(*keys, "seq_id", F.coalesce("total", F.lit(0.0)).alias("total"))
+    grid = of_models(seqs, scores.select(*keys), shared).select(*keys, "seq_id", F.lit(0.0).alias("total"))
+    return grid.unionByName(hits).groupBy(*keys, "seq_id").agg(F.sum("total").alias("total"))
 
 
 def normed(totals: DataFrame, keys: tuple[str, ...], floor: float | None) -> DataFrame:
@@ -99,16 +112,19 @@ def fit_family_scores(pairs: DataFrame, labels: DataFrame, n: int | float = 0.25
     return weights.select("label", "kmer", "score"), normed(totals, ("label",), floor)
 
 
-def background_scores(pairs: DataFrame, sample: DataFrame, background: DataFrame, n: int | float = 0.25) -> DataFrame:
+def background_scores(pairs: DataFrame, sample: DataFrame, background: DataFrame, n: int | float = 0.25, matched: bool = False) -> DataFrame:
     """label, background_label, seq_id, total, norm, score: all sequences, of sample and background (seq_id, label), by the background's class scores.
 
     Only the k-mers count that the sample's label chooses by its own probability;
-    totals are divided by the largest one as it is.
+    totals are divided by the largest one as it is. matched: only the pairs of equal
+    labels, which are all that combine_background() uses.
     """
     chosen = top_kmers(class_scores(class_probabilities(pairs, sample), sample), n, order="probability").select("label", "kmer")
     scores = class_scores(class_probabilities(pairs, background), background).select(F.col("label").alias("background_label"), "kmer", "score")
     keys = ("label", "background_label")
     used = chosen.join(scores, "kmer")
+    if matched:
+        used = used.where("label = background_label")
     return normed(sequence_scores(pairs, used, sample.select("seq_id").unionByName(background.select("seq_id")), keys), keys, None)
 
 
@@ -135,7 +151,7 @@ def family_weights(weights: DataFrame, background: DataFrame) -> DataFrame:
 
 def stratified_folds(df: DataFrame, label_col: str, k: int, seed: int = 0) -> DataFrame:
     """df with fold 1 to k: within each label, shuffled rows are dealt in turn."""
-    return df.withColumn("fold", stratified_order(df, [label_col], seed) % k + 1)
+    return stratified_order(df, [label_col], seed, name="__place").select(*df.columns, (F.col("__place") % k + 1).cast("int").alias("fold"))
 
 
 def hashed_folds(df: DataFrame, k: int, seed: int = 0) -> DataFrame:
@@ -150,8 +166,7 @@ def fold_flags(folded: DataFrame, k: int) -> DataFrame:
 
 def stratified_split(df: DataFrame, label_col: str, test_share: float = 0.25, seed: int = 0) -> DataFrame:
     """df with train: false for the share (rounded) of each label's shuffled rows."""
-    n = F.count("*").over(Window.partitionBy(label_col))
-    return df.withColumn("train", stratified_order(df, [label_col], seed) >= F.round(n * test_share))
+    return stratified_order(df, [label_col], seed, name="__place").select(*df.columns, (F.col("__place") >= F.round(F.col("__place_total") * test_share)).alias("train"))
 
 
 def cv_scores(pairs: DataFrame, labels: DataFrame, k: int, n: int | float = 0.25, seed: int = 0) -> DataFrame:

@@ -1,8 +1,10 @@
 """Operators on sequences: (filename, seq_id, sequence, ...)."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lettermill.operators.store import running
+
 
 def flag_background(seqs: DataFrame, background_files: list[str] | DataFrame) -> DataFrame:
     """seqs with `background`: whether filename is one of the given names, or occurs in the column filename of the given table."""
@@ -51,6 +53,8 @@ def binary_label(df: DataFrame, family: str, label_col: str = "label") -> DataFr
     return df.withColumn("in_family", F.when(F.col(label_col) == family, 1).otherwise(0))
 
 
-def stratified_order(df: DataFrame, by: list[str], seed: int, id_col: str = "seq_id") -> Column:
-    """Shuffled position, from 0, among the rows of equal `by`."""
-    return F.row_number().over(Window.partitionBy(*by).orderBy(F.md5(F.concat_ws(":", F.lit(seed), id_col)), id_col)) - 1
+def stratified_order(df: DataFrame, by: list[str], seed: int, id_col: str = "seq_id", name: str = "place") -> DataFrame:
+    """df with the shuffled position, from 0, among the rows of equal `by`, and their number as name_total; a group with most rows is spread over tasks."""
+    drawn = df.withColumn("__draw", F.md5(F.concat_ws(":", F.lit(seed), id_col)))
+    placed = running(drawn, by, ["__draw", id_col], {name: F.lit(1)}, totals=True)
+    return placed.select(*df.columns, (F.col(name) - 1).alias(name), f"{name}_total")

@@ -593,7 +593,7 @@ def background_scores(spark, d):
 def combined_scores(spark, d):
     pairs, sample, background = sample_and_background(spark, d)
     own = E.fit_family_scores(pairs, sample, others=background)[1]
-    rows = E.combine_background(own, E.background_scores(pairs, sample, background))
+    rows = E.combine_background(own, E.background_scores(pairs, sample, background, matched=True))
     return rows.select("label", "seq_id", *[unsigned(c, 6) for c in ("score", "weighted", "subtracted")])
 
 
