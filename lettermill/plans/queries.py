@@ -767,11 +767,28 @@ def agglomerative_jaccard(spark, d):
     return G.cluster_agglomerative_jaccard(pair_rows(spark, d), ids(spark, d), 0.5, "single")
 
 
-@query()
+#: One-by-one average linkage of each component: the matrix of distances, row after row, is updated after each merge; 9 stands for a pair that is gone.
+MERGED_MEAN = "(size[i + 1] * d[i * n + {k} + 1] + size[j + 1] * d[j * n + {k} + 1]) / (size[i + 1] + size[j + 1])"
+LINKAGE = f"""{REACH.replace('distance <= 0.5', 'distance < 0.5')}, mm AS (SELECT component, seq_id, row_number() OVER (PARTITION BY component ORDER BY seq_id) - 1 AS i, count(*) OVER (PARTITION BY component) AS n FROM comp),
+  mat AS (SELECT x.component, x.n, list(CASE WHEN x.i = y.i THEN 9.0::DOUBLE ELSE coalesce(jac.distance, 1.0::DOUBLE) END ORDER BY x.i, y.i) AS d
+    FROM mm x JOIN mm y ON x.component = y.component LEFT JOIN jac ON jac.a = least(x.seq_id, y.seq_id) AND jac.b = greatest(x.seq_id, y.seq_id) WHERE x.n > 1 GROUP BY x.component, x.n),
+  step(component, n, d, size, label, k) AS (SELECT component, n, d, list_transform(range(n), lambda x: 1.0::DOUBLE), range(n), 0 FROM mat UNION ALL
+    SELECT component, n, list_transform(range(n * n), lambda p: CASE WHEN p // n = j OR p % n = j OR p = i * n + i THEN 9.0::DOUBLE WHEN p // n = i THEN {MERGED_MEAN.format(k='p % n')} WHEN p % n = i THEN {MERGED_MEAN.format(k='p // n')} ELSE d[p + 1] END),
+      list_transform(range(n), lambda x: CASE WHEN x = i THEN size[i + 1] + size[j + 1] ELSE size[x + 1] END), list_transform(label, lambda x: CASE WHEN x = j THEN i ELSE x END), k + 1
+    FROM (SELECT *, place // n AS i, place % n AS j FROM (SELECT *, list_position(d, list_min(d)) - 1 AS place FROM step WHERE list_min(d) < 0.5))),
+  labels_ AS (SELECT component, arg_max(label, k) AS label FROM step GROUP BY component)"""
+
+
+@query(f"{LINKAGE} SELECT m.seq_id, coalesce(c.seq_id, m.seq_id) AS component FROM mm m LEFT JOIN labels_ l ON l.component = m.component LEFT JOIN mm c ON c.component = m.component AND c.i = l.label[m.i + 1]")
 def agglomerative_average(spark, d):
     return G.cluster_agglomerative_jaccard(pair_rows(spark, d), ids(spark, d), 0.5, "average")
 
 
+@query(f"{LINKAGE.replace(MERGED_MEAN.format(k='p % n'), 'greatest(d[i * n + p % n + 1], d[j * n + p % n + 1])').replace(MERGED_MEAN.format(k='p // n'), 'greatest(d[i * n + p // n + 1], d[j * n + p // n + 1])')} SELECT m.seq_id, coalesce(c.seq_id, m.seq_id) AS component FROM mm m LEFT JOIN labels_ l ON l.component = m.component LEFT JOIN mm c ON c.component = m.component AND c.i = l.label[m.i + 1]")
+def agglomerative_complete(spark, d):
+    return G.cluster_agglomerative_jaccard(pair_rows(spark, d), ids(spark, d), 0.5, "complete")
+
+
 @query(f"""WITH RECURSIVE {PW}, both_ AS (SELECT a, b FROM near UNION SELECT b, a FROM near), deg AS (SELECT seq_id FROM seqs LEFT JOIN both_ ON a = seq_id GROUP BY seq_id HAVING count(b) + 1 >= 3),
   inner_ AS (SELECT a, b FROM both_ WHERE a IN (SELECT seq_id FROM deg) AND b IN (SELECT seq_id FROM deg)), reach AS (SELECT seq_id AS s, seq_id AS t FROM deg UNION SELECT s, b FROM reach JOIN inner_ ON a = t),
   core AS (SELECT s AS seq_id, min(t) AS component FROM reach GROUP BY s), edge AS (SELECT a AS seq_id, arg_min(component, b) AS component FROM both_ JOIN core ON core.seq_id = b WHERE a NOT IN (SELECT seq_id FROM core) GROUP BY a)

@@ -224,6 +224,51 @@ def test_p_value(spark):
     assert (row.false_positives, row.n, row.p) == (2, 4, 0.5)
 
 
+def linkage(distance: np.ndarray, threshold: float, how: str) -> np.ndarray:
+    """Cluster number of each row: merges the closest two clusters while they are nearer than threshold; how: single, complete or average."""
+    d, n = distance.astype(float).copy(), len(distance)
+    np.fill_diagonal(d, np.inf)
+    size, label = np.ones(n), np.arange(n)
+    while n > 1:
+        i, j = divmod(int(d.argmin()), len(d))
+        if not d[i, j] < threshold:
+            break
+        i, j = min(i, j), max(i, j)
+        joined = {"single": np.minimum(d[i], d[j]), "complete": np.maximum(d[i], d[j]), "average": (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])}[how]
+        joined[[i, j]] = np.inf
+        d[i], d[:, i] = joined, joined
+        d[j], d[:, j] = np.inf, np.inf
+        size[i] += size[j]
+        label[label == j] = i
+        n -= 1
+    return label
+
+
+@pytest.mark.parametrize("how", ["average", "complete"])
+def test_linkage_of_any_size_equals_one_by_one(spark, how, monkeypatch):
+    # blocks and stretches far below a component's size
+    monkeypatch.setattr(clustering, "BLOCK", 5)
+    monkeypatch.setattr(clustering, "COLUMNS", 7)
+    rng = np.random.default_rng(11)
+    centres = [set(rng.choice(60, 14, replace=False).tolist()) for _ in range(6)]
+    sets = {}
+    for i in range(70):
+        own = {x for x in centres[i % 6] if rng.random() > 0.2} | set(rng.choice(60, 2).tolist())
+        sets[f"s{i:02}"] = own
+    # many copies of a few sets weigh in an average
+    for i in range(70, 110):
+        sets[f"s{i:03}x"] = sets["s03"] if i % 2 else sets["s09"]
+    ids = sorted(sets)
+    d = np.array([[1 - len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in ids] for a in ids])
+    pairs = long(spark, [(i, str(k)) for i, x in sets.items() for k in x], "seq_id string, kmer string")
+    vertices = long(spark, [(i,) for i in [*ids, "none"]], "seq_id string")
+    for threshold in (0.45, 0.7):
+        got = {r.seq_id: r.component for r in clustering.cluster_agglomerative_jaccard(pairs, vertices, threshold, how).collect()}
+        label = linkage(d, threshold, how)
+        assert got.pop("none") == "none" and got == {i: ids[label[k]] for k, i in enumerate(ids)}
+        assert 1 < len(set(got.values())) < 110
+
+
 def test_linkage_against_components(spark):
     rng = np.random.default_rng(3)
     sets = {f"s{i:02}": set(rng.choice(12, 5, replace=False).tolist()) for i in range(24)}
@@ -234,7 +279,7 @@ def test_linkage_against_components(spark):
     ids = sorted(sets)
     d = np.array([[1 - len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in ids] for a in ids])
     for how, got in (("single", single), ("average", average)):
-        label = clustering.linkage(d, 0.5, how)
+        label = linkage(d, 0.5, how)
         assert {i: got[i] for i in ids} == {i: ids[label[k]] for k, i in enumerate(ids)}
     assert single["none"] == "none"
     noise = {r.seq_id: r.component for r in clustering.cluster_density(pairs, vertices, 0.5, 30).collect()}
