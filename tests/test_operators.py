@@ -282,6 +282,17 @@ def test_linkage_against_components(spark):
         label = linkage(d, 0.5, how)
         assert {i: got[i] for i in ids} == {i: ids[label[k]] for k, i in enumerate(ids)}
     assert single["none"] == "none"
+    # copies count one by one, but stand for one point
+    copies = pairs.unionByName(pairs.where("seq_id = 's00'").crossJoin(spark.range(2000)).select(F.concat("seq_id", F.lit("c"), "id").alias("seq_id"), "kmer"))
+    many = copies.select("seq_id").distinct()
+    near = similarity.jaccard_pairs(pairs, 0.3)
+    links = {i: {i} for i in ids}
+    for r in near.collect():
+        links[r.a].add(r.b)
+        links[r.b].add(r.a)
+    dense = {i for i in ids if len(links[i]) + (2000 if "s00" in links[i] else 0) >= 4}
+    got = {r.seq_id: r.component for r in clustering.cluster_density(copies, many, 0.3, 4).collect()}
+    assert {i for i in ids if got[i]} == {i for i in ids if links[i] & dense} and {got[f"s00c{i}"] for i in range(2000)} == {got["s00"]}
     noise = {r.seq_id: r.component for r in clustering.cluster_density(pairs, vertices, 0.5, 30).collect()}
     assert set(noise.values()) == {None}
 
