@@ -1,33 +1,15 @@
 """Motifs: k-mers ranked by how rarely shuffled labels give them a score as high as the real ones."""
 
-from functools import reduce
-
-from pyspark.ml.classification import LinearSVC
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.operators.kmers import indexed, to_vectors
-from lettermill.operators.models import balanced_weights
 from lettermill.operators.store import numbered, written
+from lettermill.operators.svm import BITS, fit_labellings, labelling_bits, over_largest
 
 
-def svm_weights(pairs: DataFrame, labels: DataFrame, family: str, reg: float = 0.01) -> DataFrame:
-    """kmer, weight of a linear SVM of family against the rest with balanced rows; weights are divided by the largest.
-
-    MLlib's hinge loss, so ranks rather than values compare with a squared hinge.
-    The basis is the model's columns; what goes back to the driver is one weight each.
-    """
-    basis = written(indexed(pairs))
-    return _fit(to_vectors(pairs.withColumn("cnt", F.lit(1)), basis).join(labels, "seq_id"), basis, family, reg)
-
-
-def _fit(vectors: DataFrame, basis: DataFrame, family: str, reg: float) -> DataFrame:
-    # the fit reads its rows once per step
-    rows = written(balanced_weights(vectors.withColumn("label", (F.col("label") == family).cast("double"))))
-    w = LinearSVC(weightCol="weight", regParam=reg, maxIter=50).fit(rows).coefficients.toArray()
-    w = w / w.max() if w.max() > 0 else w
-    weights = basis.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(w)], "idx long, weight double")
-    return basis.join(weights, "idx").select("kmer", "weight")
+def svm_weights(pairs: DataFrame, labels: DataFrame, family: str, cost: float = 1.0) -> DataFrame:
+    """kmer, weight of a linear SVM (squared hinge) of family against the rest with balanced classes; weights are divided by the largest."""
+    return over_largest(fit_labellings(pairs, labelling_bits(labels.select(F.lit(1).alias("perm"), "seq_id", "label"), family), 1, cost)).select("kmer", "weight")
 
 
 def eliminate_features(pairs: DataFrame, labels: DataFrame, family: str, stop: float = -0.2, drop: float = -0.1, rounds: int | None = None) -> DataFrame:
@@ -80,10 +62,6 @@ def _share(c: str, n: str) -> Column:
     return F.when(F.col(n) > 0, F.col(c) / F.col(n)).otherwise(0.0)
 
 
-#: Permutations whose memberships of a sequence are the bits of one number.
-BITS = 60
-
-
 def permuted_statistic(pairs: DataFrame, permuted: DataFrame, family: str) -> DataFrame:
     """perm, kmer, score: score_statistic for each perm of (perm, seq_id, label).
 
@@ -101,15 +79,12 @@ def permuted_statistic(pairs: DataFrame, permuted: DataFrame, family: str) -> Da
 
 
 def permutation_scores(pairs: DataFrame, labels: DataFrame, family: str, n: int, stat: str = "score", seed: int = 0) -> DataFrame:
-    """perm, kmer, score under shuffled labels. stat "score": the share difference, one aggregation; "svm": the weights of svm_weights, a distributed fit per permutation."""
+    """perm, kmer, score under shuffled labels. stat "score": the share difference, one aggregation; "svm": the weights of svm_weights, all permutations in the same passes."""
     permuted = written(permute_labels(labels, n, seed))
     if stat == "score":
         return permuted_statistic(pairs, permuted, family)
-    pairs = written(pairs)
-    basis = written(indexed(pairs))
-    vectors = written(to_vectors(pairs.withColumn("cnt", F.lit(1)), basis))
-    parts = [_fit(vectors.join(permuted.where(F.col("perm") == i).select("seq_id", "label"), "seq_id"), basis, family, 0.01).select(F.lit(i).alias("perm"), "kmer", F.col("weight").alias("score")) for i in range(1, n + 1)]
-    return reduce(DataFrame.unionByName, parts)
+    weights = over_largest(fit_labellings(written(pairs), labelling_bits(permuted, family), n))
+    return weights.select(F.col("fit").alias("perm"), "kmer", F.col("weight").alias("score"))
 
 
 def permutation_p_values(real: DataFrame, permuted: DataFrame) -> DataFrame:

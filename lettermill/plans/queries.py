@@ -13,6 +13,7 @@ from lettermill.operators import motif as H
 from lettermill.operators import scoring as E
 from lettermill.operators import sequences as P
 from lettermill.operators import similarity as D
+from lettermill.operators import svm as S
 from lettermill.operators.store import folder, written
 from lettermill.plans import views as V
 from lettermill.sources import fasta, tables
@@ -849,9 +850,23 @@ def motif_rows(spark, d):
     return K.presence(s, 4, "solvacc"), s.select("seq_id", "label")
 
 
+def default_motif_rows(spark, d):
+    """Presence of the 3-mers of the plain alphabet."""
+    s = V.seqs(spark, d)
+    return written(K.presence(s, 3, "standard")), s.select("seq_id", "label")
+
+
 @query()
 def svm_weights(spark, d):
-    return H.svm_weights(*motif_rows(spark, d), "en")
+    return H.svm_weights(*default_motif_rows(spark, d), "en")
+
+
+@query(f"WITH {V.SEQS}, {V.windows_sql('standard', 3)} SELECT DISTINCT kmer, CAST(0 AS DOUBLE) AS residual FROM w")
+def svm_optimality(spark, d):
+    """The fit leaves no gradient: to three digits every k-mer's part of it is 0."""
+    pairs, labels = default_motif_rows(spark, d)
+    weights = S.fit_labellings(pairs, S.labelling_bits(labels.select(F.lit(1).alias("perm"), "seq_id", "label"), "en"), 1)
+    return S.residuals(pairs, labels, "en", weights.select("kmer", "weight")).select("kmer", unsigned("residual", 3))
 
 
 @query()
@@ -861,7 +876,7 @@ def feature_elimination(spark, d):
 
 @query()
 def svm_permutations(spark, d):
-    return H.permutation_scores(*motif_rows(spark, d), "en", 8, "svm")
+    return H.permutation_scores(*default_motif_rows(spark, d), "en", 60, "svm")
 
 
 # sources and sinks: written, then read back

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lettermill.functions import names
 from lettermill.functions.alphabets import alphabet_keys, alphabet_table, check_valid, get_alphabet, reduce_sequence
-from lettermill.operators import annotate, clustering, kmers, models, motif, scoring, sequences, similarity, store
+from lettermill.operators import annotate, clustering, kmers, models, motif, scoring, sequences, similarity, store, svm
 from lettermill.sources import fasta, tables
 
 
@@ -348,6 +348,38 @@ def test_compatibility(spark):
     assert annotate.merge_with_base(new, new).first().cnt == 2
 
 
+def test_svm_fits_are_optimal(spark, monkeypatch):
+    # groups of few fits, small pieces and blocks, and some features outside the preconditioner
+    monkeypatch.setattr(svm, "NUMBERS", 900)
+    monkeypatch.setattr(svm, "PIECE", 7)
+    monkeypatch.setattr(svm, "CELLS", 100)
+    monkeypatch.setattr(svm, "HEAVY", 20)
+    rng = np.random.default_rng(5)
+    ids = [f"s{i:02}" for i in range(50)]
+    x = (rng.random((50, 24)) < 0.3).astype(float)
+    x[7] = 0
+    pairs = long(spark, [(ids[i], f"k{j:02}") for i, j in zip(*np.nonzero(x), strict=True)], "seq_id string, kmer string")
+    labels = long(spark, [(i, "f" if k % 3 == 0 else "g") for k, i in enumerate(ids)], "seq_id string, label string")
+    permuted = store.written(motif.permute_labels(labels, 37).unionByName(labels.select(F.lit(38).alias("perm"), "seq_id", F.lit("g").alias("label"))))
+    fits = svm.fit_labellings(pairs, svm.labelling_bits(permuted, "f"), 38, tol=1e-3).collect()
+    inside = {(r.perm, r.seq_id): r.label == "f" for r in permuted.collect()}
+    weights = {(r.fit, r.kmer): r.weight for r in fits}
+    assert len(weights) == 38 * 25
+    for fit in range(1, 39):
+        y = np.array([1.0 if inside[fit, i] else -1.0 for i in ids])
+        w = np.array([weights[fit, f"k{j:02}"] for j in range(24)] + [weights[fit, None]])
+        z = np.column_stack([x, np.ones(50)])
+        if (y < 0).all():
+            assert not w.any()
+            continue
+        c = np.where(y > 0, 50 / (2 * (y > 0).sum()), 50 / (2 * (y < 0).sum()))
+        at0 = np.abs(2 * z.T @ (c * y)).max()
+        assert np.abs(w - 2 * z.T @ (c * np.maximum(0, 1 - y * (z @ w)) * y)).max() < 1.01e-3 * at0
+    one = spark.createDataFrame([r for r in fits if r.fit == 1]).select("kmer", "weight")
+    left = svm.residuals(pairs, permuted.where("perm = 1").select("seq_id", "label"), "f", one).collect()
+    assert len(left) == 24 and max(abs(r.residual) for r in left) < 1.01e-3
+
+
 def test_svm_permutations(spark):
     rng = np.random.default_rng(4)
     rows = [(f"s{i:02}", k) for i in range(20) for k in (["hit"] if i < 10 else []) + [str(x) for x in rng.choice(5, 2, replace=False)]]
