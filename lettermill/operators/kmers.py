@@ -7,12 +7,13 @@ sequence; validity (all characters are classes of the alphabet) is part of it.
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lettermill.functions.alphabets import alphabet_keys, key_pattern, reduce_sequence
-from lettermill.operators.store import numbered
+from lettermill.operators.store import folder, numbered
 
 
 def kmer_array(sequence: Column, k: int, alphabet="hydro") -> Column:
@@ -82,17 +83,19 @@ def harmonize(rows: DataFrame, basis: DataFrame) -> DataFrame:
     return rows.join(basis.select("kmer").distinct(), "kmer", "left_semi").select(*rows.columns)
 
 
-@F.udf(VectorUDT())
-def sparse_vector(size, cells):
-    return Vectors.sparse(size, [c.idx for c in cells or []], [c.value for c in cells or []])
-
-
 def to_vectors(counts: DataFrame, basis: DataFrame) -> DataFrame:
-    """seq_id and features: sparse MLlib vectors in the order of basis (kmer, idx from 0); a sequence without any k-mer of the basis has an empty one."""
-    size = basis.count()
+    """seq_id and features: sparse MLlib vectors in the order of basis (kmer, idx from 0); a sequence without any k-mer of the basis has an empty one.
+
+    The parts of a vector are written as a table, in which they are read as one;
+    so vectors are made by column functions, whatever the size of the basis.
+    """
+    spark, path = counts.sparkSession, folder(counts.sparkSession)
     cells = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("cnt").cast("double").alias("value"))))
     present = counts.join(basis.select("kmer", "idx"), "kmer").groupBy("seq_id").agg(cells.alias("cells"))
-    return counts.select("seq_id").distinct().join(present, "seq_id", "left").select("seq_id", sparse_vector(F.lit(size), "cells").alias("features"))
+    every = counts.select("seq_id").distinct().join(present, "seq_id", "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<struct<idx: int, value: double>>")))
+    parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(basis.count()).cast("int").alias("size"), F.col("cells.idx").alias("indices"), F.col("cells.value").alias("values"))
+    every.select("seq_id", parts.alias("features")).write.parquet(path)
+    return spark.read.schema(StructType([counts.schema["seq_id"], StructField("features", VectorUDT())])).parquet(path)
 
 
 def harmonize_dense(counts: DataFrame, basis: DataFrame) -> DataFrame:

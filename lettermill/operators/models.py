@@ -1,5 +1,8 @@
 """Classifiers of families and their evaluation."""
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -76,11 +79,32 @@ def search_results(model: CrossValidatorModel, spark: SparkSession) -> DataFrame
     return spark.createDataFrame([(*r, i == best) for i, r in enumerate(rows)], "params string, score double, best boolean")
 
 
-def grid_search(df: DataFrame, classifier: str = "decisiontree", depths: tuple[int, ...] = (2, 4, 8), leaves: tuple[int, ...] = (1, 5), folds: int = 3, seed: int = 0) -> CrossValidatorModel:
-    """Cross-validated search over depth and rows per leaf by area under ROC; df: features, label."""
+def held_out_accuracy(scores: DataFrame, names: tuple[str, ...] = tuple(CLASSIFIERS), **params) -> DataFrame:
+    """classifier, fold, n, accuracy of each kind of classifier on the rows that it was not fitted on.
+
+    scores: fold, train, in_family and features; a fold's classifier is fitted on its
+    training rows in the order of seq_id, so the dealing of rows does not matter.
+    """
+    rows = written(scores.withColumn("label", F.col("in_family").cast("double")))
+    folds = [r.fold for r in rows.select("fold").distinct().orderBy("fold").collect()]
+    fitted = {f: written(rows.where((F.col("fold") == f) & F.col("train")).repartitionByRange("seq_id").sortWithinPartitions("seq_id")) for f in folds}
+
+    def held_out(task: tuple) -> DataFrame:
+        fold, name = task
+        guessed = make_classifier(name, **params.get(name, {})).fit(fitted[fold]).transform(rows.where((F.col("fold") == fold) & ~F.col("train")))
+        right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+        return guessed.agg(F.count("*").alias("n"), right.alias("accuracy")).select(F.lit(name).alias("classifier"), F.lit(fold).alias("fold"), "n", "accuracy")
+
+    # fits are jobs that wait for each other's steps only; several share the cluster
+    with ThreadPool(4) as pool:
+        return reduce(DataFrame.unionByName, pool.map(held_out, [(f, n) for f in folds for n in names]))
+
+
+def grid_search(df: DataFrame, classifier: str = "decisiontree", depths: tuple[int, ...] = (2, 4, 8), leaves: tuple[int, ...] = (1, 5), folds: int = 3, seed: int = 0, fold_col: str | None = None) -> CrossValidatorModel:
+    """Cross-validated search over depth and rows per leaf by area under ROC; df: features, label and, where given, fold_col with the fold of each row from 0, so that the dealing of rows does not matter."""
     model = make_classifier(classifier)
     grid = ParamGridBuilder().addGrid(model.maxDepth, depths).addGrid(model.minInstancesPerNode, leaves).build()
-    return CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds, seed=seed, parallelism=2).fit(df)
+    return CrossValidator(estimator=model, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds, seed=seed, parallelism=2, foldCol=fold_col or "").fit(df)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -211,6 +211,14 @@ def vector_cells(spark, d):
     return vectors.select("seq_id", F.posexplode(vector_to_array("features")).alias("idx", "value")).where("value <> 0")
 
 
+@query(SQL["vector_cells"])
+def vectors_json_round_trip(spark, d):
+    path = folder(spark)
+    counts = written(K.kmer_counts(V.seqs(spark, d), 4, ALPHABET))
+    tables.write_vectors_json(K.harmonize_dense(counts, written(K.indexed(counts))).withColumnRenamed("values", "vector"), path, 300)
+    return tables.read_vectors_json(spark, path).select("seq_id", F.posexplode("vector").alias("idx", "value")).where("value <> 0")
+
+
 # pairs
 
 
@@ -389,6 +397,12 @@ def predictions(spark, d):
     return predicted(spark, d)
 
 
+@query(f"{LEARNT} SELECT seq_id, prediction, actual, CASE WHEN known THEN contains(actual, prediction) END AS correct FROM pred")
+def predictions_by_part(spark, d):
+    tagged = A.tag_known(V.seqs(spark, d).drop("accession"), V.annotations(spark, d))
+    return A.predictions(scores(spark, d), tagged, substring=True).select("seq_id", "prediction", "actual", "correct")
+
+
 @query(f"{LEARNT} SELECT * FROM tf")
 def tf_crosstab(spark, d):
     return crosstab(spark, d)
@@ -668,6 +682,12 @@ def roc_curve(spark, d):
     return M.roc_curve(cv(spark, d).where("NOT train")).withColumn("tpr", F.round("tpr", 9))
 
 
+@query(f"SELECT label, i, fpr, round(tpr, 6) AS tpr, round(greatest(tpr - sd, 0), 6) AS low, round(least(tpr + sd, 1), 6) AS high FROM (SELECT label, i, fpr, avg(tpr) AS tpr, stddev_pop(tpr) AS sd FROM ({SQL['roc_curve']}) GROUP BY label, i, fpr)")
+def mean_roc(spark, d):
+    rows = M.mean_roc(M.roc_curve(cv(spark, d).where("NOT train")))
+    return rows.select("label", "i", "fpr", *[F.round(c, 6).alias(c) for c in ("tpr", "low", "high")])
+
+
 @query(f"""WITH {CV}, th AS (SELECT *, sum(pos) OVER (PARTITION BY label ORDER BY score DESC) AS tp, sum(neg) OVER (PARTITION BY label ORDER BY score DESC) AS fp, sum(pos) OVER (PARTITION BY label) AS p
   FROM (SELECT label, score, sum(in_family) AS pos, sum(1 - in_family) AS neg FROM cv WHERE NOT train GROUP BY label, score)) SELECT label, score, tp / p AS recall, tp / (tp + fp) AS precision FROM th""")
 def pr_curve(spark, d):
@@ -722,19 +742,24 @@ def embedded(spark, d):
     return V.table(spark, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), "label")
 
 
+def family_features(spark, d):
+    """Scores of the family `en` with the library's folds."""
+    from pyspark.ml.functions import array_to_vector
+
+    return cv(spark, d).where("label = 'en'").select("fold", "seq_id", "train", "in_family", array_to_vector(F.array("score")).alias("features"))
+
+
 @query()
 def classifier_zoo(spark, d):
-    rows = written(embedded(spark, d).withColumn("label", (F.col("label") == 0).cast("double")))
-    from functools import reduce
-
-    parts = [M.accuracy(M.make_classifier(name).fit(rows).transform(rows), truth="label").select(F.lit(name).alias("classifier"), "accuracy") for name in M.CLASSIFIERS]
-    return reduce(DataFrame.unionByName, parts)
+    return M.held_out_accuracy(family_features(spark, d), svc={"regParam": 0.01, "maxIter": 30}).withColumn("accuracy", F.round("accuracy", 9))
 
 
 @query()
 def grid_search(spark, d):
-    rows = written(embedded(spark, d).withColumn("label", (F.col("label") == 0).cast("double")))
-    return M.search_results(M.grid_search(rows, depths=(2, 4), leaves=(1, 5), folds=2), spark)
+    """Each row in the fold that it does not train, with the score that it has there."""
+    rows = family_features(spark, d).where("NOT train").select("seq_id", "features", F.col("in_family").cast("double").alias("label"), (F.col("fold") - 1).alias("own"))
+    ordered = written(rows.repartitionByRange("seq_id").sortWithinPartitions("seq_id"))
+    return M.search_results(M.grid_search(ordered, depths=(2, 4), leaves=(1, 5), folds=5, fold_col="own"), spark)
 
 
 # clusters

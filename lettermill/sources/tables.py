@@ -69,6 +69,15 @@ def read_vectors_json(spark: SparkSession, paths: str | list[str], label: str |
     return rows if label is None else rows.withColumn("label", F.lit(label))
 
 
+def write_vectors_json(vectors: DataFrame, path: str, rows_per_file: int = 1000) -> None:
+    """vectors (seq_id, vector) as gzip JSON files that read_vectors_json() reads: each has the parallel arrays of about rows_per_file rows, so that no task reads a large one."""
+    n = max(1, -(-vectors.count() // rows_per_file))
+    dealt = vectors.select("seq_id", "vector", F.pmod(F.xxhash64("seq_id"), F.lit(n)).alias("file"))
+    rows = F.array_sort(F.collect_list(F.struct("seq_id", "vector")))
+    files = dealt.groupBy("file").agg(rows.alias("rows")).select("file", F.to_json(F.struct(F.col("rows.seq_id").alias("seq_id"), F.col("rows.vector").alias("vector"))).alias("value"))
+    files.write.partitionBy("file").text(path, compression="gzip")
+
+
 def write_vectors(vectors: DataFrame, path: str) -> None:
     """vectors: filename, sequence_id, sequence, sequence_length, kmers."""
     vectors.write.mode("overwrite").parquet(path)

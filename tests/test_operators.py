@@ -337,6 +337,10 @@ def test_vectors(spark, tmp_path):
     counts = long(spark, [("s", "aa", 2), ("t", "ac", 1)], "seq_id string, kmer string, cnt long")
     basis = kmers.indexed(long(spark, [("aa",), ("ab",), ("ac",)], "kmer string"))
     assert {r.seq_id: r["values"] for r in kmers.harmonize_dense(counts, basis).collect()} == {"s": [2.0, 0.0, 0.0], "t": [0.0, 0.0, 1.0]}
+    plan = kmers.to_vectors(counts, basis)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    tables.write_vectors_json(kmers.harmonize_dense(counts, basis).withColumnRenamed("values", "vector"), str(tmp_path / "j"), 1)
+    assert {(r.seq_id, tuple(r.vector), r.vec_len) for r in tables.read_vectors_json(spark, str(tmp_path / "j")).collect()} == {("s", (2.0, 0.0, 0.0), 3), ("t", (0.0, 0.0, 1.0), 3)}
     (tmp_path / "v.json").write_text('{"seq_id": ["x", "y"], "vector": [[1, 0], [0, 1]]}')
     assert [(r.seq_id, r.vector, r.vec_len) for r in tables.read_vectors_json(spark, str(tmp_path / "v.json")).orderBy("seq_id").collect()] == [("x", [1.0, 0.0], 2), ("y", [0.0, 1.0], 2)]
 
