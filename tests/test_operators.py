@@ -165,6 +165,23 @@ def test_class_scores(spark):
         scoring.top_kmers(grid, 1.5)
 
 
+def test_grids_of_models_need_no_cartesian_product(spark):
+    pairs = long(spark, [("a", "k"), ("c", "k"), ("b", "z"), ("d", "m")], "seq_id string, kmer string")
+    labels = long(spark, [("a", "A"), ("b", "B"), ("c", "C"), ("d", "A")], "seq_id string, label string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weights, scored = scoring.fit_family_scores(pairs, labels, 0.7)
+        new = scoring.score_new(pairs, weights, scored, labels)
+        back = scoring.background_scores(pairs, labels, labels, 0.7)
+        for df in (weights, scored, new, back):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "Cartesian" not in plan and "NestedLoop" not in plan
+        assert weights.count() == 9 and scored.count() == 12 and back.where("label = background_label").count() == scoring.background_scores(pairs, labels, labels, 0.7, matched=True).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_folds_are_even(spark):
     df = spark.range(53).select(F.concat(F.lit("s"), "id").alias("seq_id"), F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("label"))
     sizes = [r["count"] for r in scoring.stratified_folds(df, "label", 5).groupBy("label", "fold").count().where("label = 'a'").collect()]
