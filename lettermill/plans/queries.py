@@ -13,6 +13,7 @@ from lettermill.operators import motif as H
 from lettermill.operators import scoring as E
 from lettermill.operators import sequences as P
 from lettermill.operators import similarity as D
+from lettermill.operators import spectral as C
 from lettermill.operators import svm as S
 from lettermill.operators.store import folder, written
 from lettermill.plans import views as V
@@ -775,6 +776,63 @@ def pca_explained(spark, d):
     return G.pca_explained(spark, embedded(spark, d), 8)
 
 
+def lloyd_sql(k: int, steps: int) -> str:
+    """CTEs at0 .. at{steps}: the clusters of all sequences after so many Lloyd steps from k sets of k-mers, in whole numbers up to the last division."""
+    out = f"""sets AS (SELECT seq_id, md5(string_agg(kmer, '' ORDER BY kmer)) AS h FROM kp GROUP BY seq_id),
+  seeds AS MATERIALIZED (SELECT rep, row_number() OVER (ORDER BY md5(rep), rep) - 1 AS cluster FROM (SELECT min(seq_id) AS rep FROM sets GROUP BY h) ORDER BY md5(rep), rep LIMIT {k}),
+  m0 AS MATERIALIZED (SELECT cluster, kmer, 1 AS m FROM seeds JOIN kp ON seq_id = rep), n0 AS MATERIALIZED (SELECT cluster, 1 AS n FROM seeds)"""
+    for i in range(steps + 1):
+        out += f""", at{i} AS MATERIALIZED (SELECT seq_id, CAST(arg_min(cluster, (d, cluster)) AS INTEGER) AS cluster FROM (
+    SELECT s.seq_id, c.cluster, CAST(c.q AS DOUBLE) / (c.n * c.n) - CAST(2 * coalesce(h.m, 0) AS DOUBLE) / c.n AS d FROM seqs s CROSS JOIN (SELECT cluster, n, sum(m * m) AS q FROM m{i} JOIN n{i} USING (cluster) GROUP BY cluster, n) c
+    LEFT JOIN (SELECT seq_id, cluster, sum(m) AS m FROM kp JOIN m{i} USING (kmer) GROUP BY seq_id, cluster) h ON h.seq_id = s.seq_id AND h.cluster = c.cluster) GROUP BY seq_id),
+  f{i} AS MATERIALIZED (SELECT cluster, count(*) AS n FROM at{i} GROUP BY cluster),
+  n{i + 1} AS MATERIALIZED (SELECT cluster, coalesce(f{i}.n, n{i}.n) AS n FROM n{i} LEFT JOIN f{i} USING (cluster)),
+  m{i + 1} AS MATERIALIZED (SELECT cluster, kmer, count(*) AS m FROM at{i} JOIN kp USING (seq_id) GROUP BY cluster, kmer UNION ALL SELECT cluster, kmer, m FROM m{i} WHERE cluster NOT IN (SELECT cluster FROM f{i}))"""
+    return out
+
+
+@query(f"WITH {V.SEQS}, {V.W}, {V.KP}, {lloyd_sql(8, 10)} SELECT seq_id, cluster FROM at10")
+def sequence_kmeans(spark, d):
+    """Eight clusters of k-mer presence after at most ten of Lloyd's steps."""
+    return C.cluster_presence(K.presence(V.seqs(spark, d), SIZE, ALPHABET), ids(spark, d), 8, passes=10)
+
+
+def principal(spark, d):
+    """Presence of the library's default motif k-mers and its eight components."""
+    cells = written(K.presence(V.seqs(spark, d), 3, "standard").withColumn("value", F.lit(1.0)))
+    return cells, C.kmer_components(cells, ids(spark, d), 8)
+
+
+@query()
+def sequence_pca_explained(spark, d):
+    return principal(spark, d)[1][0]
+
+
+@query()
+def sequence_pca_scores(spark, d):
+    return principal(spark, d)[1][2]
+
+
+VARIED = f"WITH {V.SEQS}, {V.windows_sql('standard', 3)}, {V.KP}, varied AS (SELECT kmer FROM kp GROUP BY kmer HAVING count(*) < (SELECT count(*) FROM seqs))"
+
+
+@query(f"{VARIED} SELECT CAST(component AS INTEGER) AS component, kmer, CAST(0 AS DOUBLE) AS residual FROM varied, range(1, 9) r(component)")
+def sequence_pca_residuals(spark, d):
+    """Each component is an eigenvector: to three digits the covariance leaves its loadings as they are."""
+    cells, (explained, loadings, _) = principal(spark, d)
+    return C.component_residuals(cells, ids(spark, d), explained, loadings).select("component", "kmer", unsigned("residual", 3))
+
+
+@query(f"WITH {V.SEQS} SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS covariance, (SELECT count(*) FROM seqs) AS n FROM range(1, 9) x(i), range(1, 9) y(j) WHERE i <= j")
+def sequence_pca_covariances(spark, d):
+    """Scores have mean 0, the variances that are explained, and no correlation."""
+    cells, (explained, loadings, scores) = principal(spark, d)
+    varied = written(loadings.where("loading <> 0").agg(F.countDistinct("kmer").alias("varied")))
+    scaled = written(scores.join(explained, "component").select("seq_id", "component", (F.col("score") / F.sqrt(F.col("explained") * varied.scalar())).alias("z")))
+    met = scaled.withColumnsRenamed({"component": "i", "z": "y"}).join(scaled.withColumnRenamed("component", "j"), "seq_id").where("i <= j")
+    return met.groupBy("i", "j").agg(F.avg(F.col("y") * F.col("z")).alias("covariance"), F.count("*").alias("n")).select("i", "j", unsigned("covariance", 3), "n")
+
+
 REACH = f"""WITH RECURSIVE {PW}, both_ AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
   reach AS (SELECT seq_id AS s, seq_id AS t FROM seqs UNION SELECT s, b FROM reach JOIN both_ ON a = t), comp AS (SELECT s AS seq_id, min(t) AS component FROM reach GROUP BY s)"""
 
