@@ -11,25 +11,42 @@ def set_sizes(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("seq_id").agg(F.count("*").alias("n"))
 
 
-def candidate_pairs(pairs: DataFrame, max_dist: float) -> DataFrame:
-    """Distinct (a, b, n_a, n_b), a < b, that can be within max_dist < 1: an exact prefix filter.
+#: Sets of a k-mer's list that one task looks through; longer lists are dealt.
+LIST = 4096
+
 
-    Each set is ordered from its rarest k-mer on. Sets within the distance share
-    one of the first n - ceil((1 - d) n) + 1, so only these meet: frequent
-    k-mers, which many sequences have, stand behind and are hardly ever joined.
-    K-mers of one sequence alone come first and meet nothing; they only count.
+def candidate_pairs(pairs: DataFrame, max_dist: float) -> DataFrame:
+    """Distinct (a, b, n_a, n_b), a < b, that can be within max_dist < 1: an exact prefix and position filter.
+
+    Each set is ordered from its rarest k-mer on, so frequent k-mers stand behind and
+    are hardly ever joined; k-mers of one sequence alone come first and only count. With s = 1 - d,
+    sets within the distance share a k-mer among the first n - ceil(s n) + 1 of the larger
+    and the first n - ceil(2 s / (1 + s) n) + 1 of the smaller. What they can still share behind
+    the last one that meets is bounded by its places. Lists are cut by powers of 1 / s in size, of which a set meets
+    its own and the next, and the larger sets of a list of over LIST are dealt into tasks.
     """
     if not 0 <= max_dist < 1:
         raise ValueError("max_dist must be from 0 to below 1")
+    least, half = 1 - max_dist, (1 - max_dist) / (2 - max_dist)
     shared = written(pairs.groupBy("kmer").agg(F.count("*").alias("df")).where("df > 1"))
     own = Window.partitionBy("seq_id")
     several = pairs.join(shared, "kmer").select("seq_id", "kmer", F.count("*").over(own).alias("n_shared"), F.row_number().over(own.orderBy("df", "kmer")).alias("r"))
     ranked = several.join(set_sizes(pairs), "seq_id").withColumn("r", F.col("n") - F.col("n_shared") + F.col("r"))
-    # the small number keeps rounding from shortening a prefix
-    prefix = written(ranked.where(F.col("r") <= F.col("n") - F.ceil((1 - max_dist) * F.col("n") - 1e-9) + 1).select("seq_id", "kmer", "n"))
-    left, right = (prefix.select("kmer", F.col("seq_id").alias(s), F.col("n").alias(f"n_{s}")) for s in "ab")
-    alike = (F.least("n_a", "n_b") >= (1 - max_dist) * F.greatest("n_a", "n_b") - 1e-9) & (F.col("a") < F.col("b"))
-    return left.join(right, "kmer").where(alike).select("a", "b", "n_a", "n_b").distinct()
+    # the small numbers keep rounding from shortening a prefix or parting sizes that meet
+    upto = lambda share: F.col("n") - F.ceil(share * F.col("n") - 1e-9) + 1
+    band = F.floor(F.log("n") / F.log(F.lit((1 + 1e-6) / least))).alias("band")
+    prefix = written(ranked.where(F.col("r") <= upto(least)).select("seq_id", "kmer", "n", "r", band, (F.col("r") <= upto(2 * half)).alias("early")))
+    long = written(prefix.groupBy("kmer", "band").agg(F.ceil(F.count("*") / F.lit(LIST)).alias("parts")).where("parts > 1"))
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    large = prefix.join(long, ["kmer", "band"], "left").select("kmer", "band", F.pmod(F.xxhash64("seq_id"), parts).alias("part"), *[F.col(c).alias(f"{c}_l") for c in ("seq_id", "n", "r")])
+    both = prefix.where("early").withColumn("band", F.explode(F.array("band", F.col("band") + 1))).join(long, ["kmer", "band"], "left")
+    small = both.select("kmer", "band", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), *[F.col(c).alias(f"{c}_s") for c in ("seq_id", "n", "r")])
+    alike = (F.struct("n_s", "seq_id_s") < F.struct("n_l", "seq_id_l")) & (F.col("n_s") >= least * F.col("n_l") - 1e-9)
+    met = small.join(large, ["kmer", "band", "part"]).where(alike).groupBy("seq_id_s", "seq_id_l", "n_s", "n_l").agg(F.count("*").alias("common"), F.max("r_s").alias("r_s"), F.max("r_l").alias("r_l"))
+    found = met.where(F.col("common") + F.least(F.col("n_s") - F.col("r_s"), F.col("n_l") - F.col("r_l")) >= half * (F.col("n_s") + F.col("n_l")) - 1e-6)
+    turned = F.col("seq_id_s") > F.col("seq_id_l")
+    either = lambda x, y, name: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name)
+    return found.select(either("seq_id_s", "seq_id_l", "a"), either("seq_id_l", "seq_id_s", "b"), either("n_s", "n_l", "n_a"), either("n_l", "n_s", "n_b"))
 
 
 def overlaps(pairs: DataFrame, candidates: DataFrame) -> DataFrame:

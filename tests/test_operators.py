@@ -89,6 +89,21 @@ def test_jaccard_prefix_filter_is_exact(spark):
         assert {(r.a, r.b) for r in similarity.jaccard_pairs(pairs, limit).collect()} == want
 
 
+@pytest.mark.parametrize("most", [3, 4096])
+def test_jaccard_pairs_of_all_sizes_and_hot_lists(spark, most, monkeypatch):
+    monkeypatch.setattr(similarity, "LIST", most)
+    rng = np.random.default_rng(most)
+    # sizes of exact powers, near copies of each other, k-mers that all have, copies
+    sets = {f"s{i:03}": {"hot", "warm", *(f"k{x}" for x in rng.choice(14, rng.choice([1, 2, 3, 4, 6, 7, 8, 10, 14]), replace=False))} - ({"hot"} if i % 5 == 0 else set()) for i in range(70)}
+    for i in range(12):
+        sets[f"t{i}"] = {f"m{x}" for x in range(2 ** (i % 6))} | ({"hot"} if i > 8 else set())
+    pairs = long(spark, [(k, x) for k, v in sets.items() for x in v], "seq_id string, kmer string")
+    for limit in (0.0, 0.25, 0.5, 2 / 3, 0.9):
+        want = {(a, b): 1 - len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+        found = [(r.a, r.b, round(r.distance, 9)) for r in similarity.jaccard_pairs(pairs, limit).collect()]
+        assert sorted(found) == sorted((a, b, round(d, 9)) for (a, b), d in want.items() if d <= limit)
+
+
 def test_links_of_copies(spark):
     sets = {"a": "xyz", "b": "xyz", "c": "xyzw", "d": "xyz", "e": "pq"}
     pairs = long(spark, [(i, k) for i, ks in sets.items() for k in ks], "seq_id string, kmer string")
