@@ -3,7 +3,7 @@
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lettermill.llm.common import materialize
@@ -24,6 +24,8 @@ LEAST = 8
 FEATURES = ["n_chars", "digits", "uppers", "marks", "distinct", "transitions", "hex", "coverage", "longest_word", "named", "assigned", "quoted", "known", "path_test", "path_config"]
 #: Findings from this probability on are reported as secrets.
 REPORT_FROM = 0.5
+#: Findings that are planted for training where none are given, and words for them where the corpus has no dictionary.
+PLANTED, FEW_WORDS = 8000, ["river", "garden", "window", "number", "paper", "letter", "market", "summer"]
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = MAX_WORDS) -> DataFrame:
@@ -84,12 +86,54 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     return found.join(covered, "value").select(*found.columns, *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(n) for n, c in columns.items()])
 
 
-def rule_labels(found: DataFrame) -> DataFrame:
-    """Described candidates that rules are sure of, with `label`: 1 for known shapes and for quoted or hexadecimal values assigned to a name with digits
-    and letters mixed; 0 for values of words or without digits that are not assigned; others are left out."""
-    mixed = (F.col("digits") > 0.1) & (F.col("digits") < 0.95) & (F.col("coverage") < 0.3)
-    sure = F.when((F.col("known") == 1) | (F.col("named") == 1) & (F.col("assigned") == 1) & mixed & ((F.col("quoted") == 1) | (F.col("hex") == 1)), 1.0)
-    return found.withColumn("label", sure.when((F.col("assigned") == 0) & ((F.col("coverage") > 0.5) | (F.col("digits") == 0)), 0.0)).where("label IS NOT NULL")
+def planted_findings(spark: SparkSession, words: list[str], rows: int = PLANTED, seed: int = 8) -> DataFrame:
+    """Labelled findings by construction: doc_id (from 0), form, path, text, start (of the value, code points), label.
+
+    Values that are secrets (1): keys, hashes, base64 and passwords under a name, documented shapes, tokens that a sentence names. Values that
+    look like them (0): words joined to paths, slugs and compounds, commits and checksums, UUIDs, placeholders and words under a name, numbers,
+    rulers. Words around and inside them come from the dictionary. All choices are hashes of doc_id, so a planted row is the same anywhere.
+    """
+    dictionary = F.split(F.lit(" ".join(words or FEW_WORDS)), " ")
+    draw = lambda k, n: F.pmod(F.xxhash64("doc_id", F.lit(seed), F.lit(k)), n)
+    pick = lambda k, *options: F.element_at(F.array(*[o if isinstance(o, Column) else F.lit(o) for o in options]), (draw(k, F.lit(len(options))) + 1).cast("int"))
+    word = lambda k: F.element_at(dictionary, (draw(k, F.size(dictionary)) + 1).cast("int"))
+    hexes = lambda k: F.sha2(F.concat_ws(":", "doc_id", F.lit(seed), F.lit(k)), 256)
+    base64 = lambda k: F.base64(F.unhex(hexes(k)))
+    mixed = lambda k: F.translate(F.concat(F.left(base64(k), F.lit(42)), F.left(base64(k + 50), F.lit(42))), "+/", "kT")
+    cut = lambda value, k, least, most: F.left(value, (draw(k, F.lit(most - least + 1)) + least).cast("int"))
+    joined = lambda k, n, mark: F.array_join(F.array(*[word(k + i) for i in range(n)]), mark)
+    name = pick(1, "token", "secret", "api_key", "API_KEY", "password", "client_secret", "access_key", "SECRET", "TOKEN", "auth", "passwd", "db_password", "ACCESS_TOKEN")
+    sign = pick(2, ' = "', ': "', '="', " = '", "=", ": ", " = ")
+    quote = F.when(sign.endswith('"'), '"').when(sign.endswith("'"), "'").otherwise("")
+    under = lambda label, value: (label, F.concat(name, sign), value, quote)
+    said = lambda label, before, value, after="": (label, F.concat(before, F.lit(" ")), value, F.lit(after))
+    forms = [
+        under(1, pick(3, F.left(hexes(4), F.lit(32)), F.left(hexes(4), F.lit(40)), hexes(4), F.upper(F.left(hexes(4), F.lit(40))))),
+        under(1, cut(mixed(5), 6, 20, 48)),
+        under(1, base64(7)),
+        under(1, F.concat(cut(mixed(8), 9, 6, 10), pick(10, "!", "@", "#", "$", "%"), cut(mixed(11), 12, 3, 6))),
+        said(1, word(13), pick(14, F.concat(F.lit("AKIA"), F.upper(F.left(hexes(15), F.lit(16)))), F.concat(F.lit("ghp_"), F.left(mixed(15), F.lit(36))), F.concat(F.lit("AIza"), F.left(mixed(15), F.lit(35))), F.concat(F.lit("sk_live_"), F.left(mixed(15), F.lit(24))))),
+        said(1, F.concat(name, pick(16, " is", ":", " was", " =")), cut(mixed(17), 18, 24, 44)),
+        said(0, word(19), F.when(draw(20, F.lit(2)) == 0, joined(21, 5, "/")).otherwise(joined(21, 4, "-"))),
+        said(0, word(19), pick(20, joined(21, 5, ""), F.replace(F.initcap(joined(21, 5, " ")), F.lit(" "), F.lit("")), joined(21, 4, "_"))),
+        said(0, pick(24, "commit", "sha256", "checksum", "md5", "revision", "digest", "blob"), pick(25, F.left(hexes(26), F.lit(40)), hexes(26), F.left(hexes(26), F.lit(32)))),
+        said(0, pick(27, "id", "uuid", "session", "request", "id ="), F.regexp_replace(F.left(hexes(28), F.lit(32)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")),
+        under(0, pick(29, F.concat(F.lit("your_"), F.lower(name), F.lit("_here")), F.concat(F.lit("example-"), word(30), F.lit("-value")), F.repeat(pick(31, "x", "*", "0", "1234"), F.lit(12)), F.concat(F.lit("my_"), word(30), F.lit("_placeholder")), F.lit("changeme123"))),
+        under(0, pick(32, joined(33, 3, "_"), joined(33, 3, "."), joined(33, 3, "-"), joined(33, 4, ""))),
+        said(0, pick(36, "order", "number", "account", word(37)), F.left(F.translate(hexes(38), "abcdef", "012345"), F.lit(24))),
+        said(0, word(39), pick(40, F.repeat(F.lit("-"), F.lit(30)), F.repeat(F.lit("_"), F.lit(24)), F.repeat(F.lit("+-"), F.lit(15)), F.repeat(F.lit("A"), F.lit(28)))),
+    ]
+    chosen = F.array(*[F.struct(F.lit(i).alias("form"), F.lit(float(y)).alias("label"), before.alias("before"), value.alias("value"), after.alias("after")) for i, (y, before, value, after) in enumerate(forms)])
+    head = F.concat_ws(" ", word(41), word(42), F.lit(""))
+    path = pick(43, "src/main.py", "config/app.yaml", "prod.env", "tests/test_login.py", "docs/example.md", "", "web", "notes.txt")
+    made = spark.range(rows).select(F.col("id").alias("doc_id")).select("doc_id", F.element_at(chosen, (draw(44, F.lit(len(forms))) + 1).cast("int")).alias("f"), head.alias("head"), F.concat(F.lit(" "), joined(45, 3, " ")).alias("tail"), path.alias("path"))
+    return made.select("doc_id", "f.form", "path", F.concat("head", "f.before", "f.value", "f.after", "tail").alias("text"), F.char_length(F.concat("head", "f.before")).cast("long").alias("start"), "f.label")
+
+
+def planted_training(spark: SparkSession, words: DataFrame, rows: int = PLANTED, seed: int = 8) -> DataFrame:
+    """Described candidates of planted_findings(), cut by the scan's own patterns, with `form` and `label`; candidates that begin elsewhere are left out."""
+    made = materialize(planted_findings(spark, sorted(r.word for r in words.collect()), rows, seed), "planted")  # MAX_WORDS words at most
+    return describe(candidates(made, path_col="path"), words).join(made.select("doc_id", "start", "form", "label"), ["doc_id", "start"])
 
 
 def fit_findings(labelled: DataFrame, max_train: int = MAX_TRAIN, seed: int = 8) -> RandomForestClassificationModel | None:
@@ -105,17 +149,18 @@ def fit_findings(labelled: DataFrame, max_train: int = MAX_TRAIN, seed: int = 8)
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", report_from: float = REPORT_FROM) -> DataFrame:
     """One row per candidate: doc_id, start, end, value, probability, is_secret.
 
-    `labelled`: findings (doc_id, start, label 0 or 1); without it rule_labels()
-    labels those candidates that rules are sure of. Without both labels the
-    forest is left out and known shapes and named, assigned values count as
-    secrets with probability 1.
+    `labelled`: findings (doc_id, start, label 0 or 1); without it the forest
+    learns from planted_findings(), whose labels are known by construction and
+    not from the features. Without both labels the forest is left out and known
+    shapes and named, assigned values count as secrets with probability 1.
 
     Null and empty texts have no candidates; null ids are reported as null;
     repeated rows are reported each. A null path has no path features.
     """
     found = materialize(candidates(docs, id_col, text_col, path_col), "found")
-    described = materialize(describe(found, frequent_words(docs, text_col)), "described")
-    known = rule_labels(described) if labelled is None else described.join(labelled.select("doc_id", "start", F.col("label").cast("double").alias("label")).where("label IS NOT NULL").dropDuplicates(["doc_id", "start"]), ["doc_id", "start"])
+    words = materialize(frequent_words(docs, text_col), "words")
+    described = materialize(describe(found, words), "described")
+    known = planted_training(docs.sparkSession, words) if labelled is None else described.join(labelled.select("doc_id", "start", F.col("label").cast("double").alias("label")).where("label IS NOT NULL").dropDuplicates(["doc_id", "start"]), ["doc_id", "start"])
     model = fit_findings(known)
     if model is None:
         scored = described.withColumn("probability", ((F.col("known") == 1) | (F.col("named") == 1) & (F.col("assigned") == 1)).cast("double"))
