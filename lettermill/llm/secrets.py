@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lettermill.llm.common import materialize
 
 #: Words that name a secret when something is assigned to them.
-NAMES = "api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|secret|token|passw(?:or)?d|passwd|pwd|credentials?|auth"
+NAMES = "api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|secret|token|password|passwd|pwd|credentials?|auth"
 #: Shapes that providers document; fixed values.
 KNOWN = r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9a-zA-Z]{24,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
 #: A candidate: a known shape, or a long run, or a shorter run that is assigned to a name. A short look at a character or two goes ahead of
@@ -29,9 +29,9 @@ PLANTED, FEW_WORDS = 8000, ["river", "garden", "window", "number", "paper", "let
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = MAX_WORDS) -> DataFrame:
-    """The most frequent words of four letters or more (the first in order among equally frequent): word."""
+    """The most frequent words of four letters or more that occur more than once (the first in order among equally frequent): word."""
     words = docs.select(F.explode(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}]+")).alias("word")).where(F.char_length("word") >= 4)
-    return words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(most).select("word")
+    return words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most).select("word")
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
@@ -112,7 +112,7 @@ def planted_findings(spark: SparkSession, words: list[str], rows: int = PLANTED,
         under(1, cut(mixed(5), 6, 20, 48)),
         under(1, base64(7)),
         under(1, F.concat(cut(mixed(8), 9, 6, 10), pick(10, "!", "@", "#", "$", "%"), cut(mixed(11), 12, 3, 6))),
-        said(1, word(13), pick(14, F.concat(F.lit("AKIA"), F.upper(F.left(hexes(15), F.lit(16)))), F.concat(F.lit("ghp_"), F.left(mixed(15), F.lit(36))), F.concat(F.lit("AIza"), F.left(mixed(15), F.lit(35))), F.concat(F.lit("sk_live_"), F.left(mixed(15), F.lit(24))))),
+        said(1, word(13), pick(14, F.concat(F.lit("AKIA"), F.upper(F.left(hexes(15), F.lit(16)))), F.concat(F.lit("ghp_"), F.left(mixed(15), F.lit(36))), F.concat(F.lit("AIza"), F.left(mixed(15), F.lit(35))), F.concat(F.lit("sk_live_"), F.left(mixed(15), F.lit(24))), F.lit("-----BEGIN PRIVATE KEY-----"))),
         said(1, F.concat(name, pick(16, " is", ":", " was", " =")), cut(mixed(17), 18, 24, 44)),
         said(0, word(19), F.when(draw(20, F.lit(2)) == 0, joined(21, 5, "/")).otherwise(joined(21, 4, "-"))),
         said(0, word(19), pick(20, joined(21, 5, ""), F.replace(F.initcap(joined(21, 5, " ")), F.lit(" "), F.lit("")), joined(21, 4, "_"))),
@@ -143,7 +143,7 @@ def fit_findings(labelled: DataFrame, max_train: int = MAX_TRAIN, seed: int = 8)
     rows = materialize(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows[0].unionByName(rows[1])), "train")
     if rows.select("label").distinct().count() < 2:
         return None
-    return RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed).fit(rows)
+    return RandomForestClassifier(numTrees=40, maxDepth=6, seed=seed).fit(rows)
 
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", report_from: float = REPORT_FROM) -> DataFrame:
