@@ -36,8 +36,6 @@ IP_LIKE = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\s?(?:\.|\[\.\]|\(\.\)|\[dot\]|\(d
 GROUP = re.compile(r"[0-9]+")
 BETWEEN = re.compile(r"[\x20()./-]{1,3}")
 DIGIT = re.compile("[0-9]")
-#: Digit groups of a phone number at most.
-MOST_GROUPS = 6
 #: Words beside a span that speak of a kind, and those that speak of none.
 HINTS = {
     "email": ("mail", "email", "e-mail", "contact", "write", "correo", "courriel"),
@@ -135,7 +133,7 @@ def candidate_spans(text: str) -> list[tuple[str, int, int]]:
                     break
                 if n >= 13 and luhn(digits_of(text[groups[a][0] : groups[b][1]])):
                     found.append(("card", groups[a][0], groups[b][1]))
-                if begins and 7 <= n <= 15 and b - a < MOST_GROUPS:
+                if begins and 7 <= n <= 15:
                     found.append(("phone", start, groups[b][1]))
         i = j
     return found
@@ -182,7 +180,7 @@ def training_spans(text: str, rng: random.Random, forms: int = 4) -> list[tuple[
     for kind, start, end in candidate_spans(text):
         if (kind, start, end) in known or any(k != kind and s < end and start < e for k, s, e in own):
             out.append((int((kind, start, end) in known), span_features(text, kind, start, end)))
-    words = [w for w in re.findall("[a-z]{2,10}", text[:20_000].lower())] or ["a", "of", "ten"]
+    words = [w for w in re.findall("[a-z]{2,10}", text.lower())] or ["a", "of", "ten"]
     for _ in range(forms):
         before, form, behind, kind = planted(rng, lambda: rng.choice(words))
         head = " ".join(rng.choice(words) for _ in range(rng.randint(0, 6)))
