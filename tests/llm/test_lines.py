@@ -8,7 +8,7 @@ import pytest
 
 from lettermill.llm import lines
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 
 
 def shingles(line):
