@@ -91,7 +91,7 @@ NO_SECRETS = [
 
 
 def test_forest_of_the_query_path_on_findings_written_by_hand(spark):
-    """Without given labels the forest learns from planted findings; these were not planted."""
+    """Without given labels the forest learns from planted findings; the forest was improved with this list in view, so it guards that state and measures nothing new."""
     texts = [f"so the river {t} went on" for t in SECRETS + NO_SECRETS] + [f"the garden of window number {i} and paper river letter" for i in range(50)]
     docs = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
     rows = secrets.scan_secrets(docs).collect()
