@@ -30,7 +30,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at a similarity of 0.8. Texts without words and rows with a null id stay; of rows of a group that repeat its smallest id one stays."""
+    """One document of each group linked by five-word shingles at a similarity of 0.8. Texts without words, rows with a null id and rows of a group that repeat its smallest id stay."""
     return drop_near_copies(docs)
 
 

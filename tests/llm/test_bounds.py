@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from lettermill.llm import packing, pii, quality
+from lettermill.llm import neardup, packing, pii, quality
+from lettermill.llm.common import WordHashes
 from lettermill.llm.neardup import drop_near_copies, jaccard_components
 
 PROSE = "the quiet harbour lay under a thin fog while boats drifted past the old lighthouse and nobody on the pier said a single word about the storm"
@@ -47,3 +48,53 @@ def test_a_rated_id_counts_once(spark):
     finally:
         quality.fit_ordinal = fit
     assert seen == [21]
+
+
+def families(n, size, seed):
+    """n texts of 120 words and size - 1 near copies of each, and each text once more."""
+    rng, out = random.Random(seed), []
+    for i in range(n):
+        base = [f"w{i}x{rng.randrange(400)}" for _ in range(120)]
+        for j in range(size):
+            own = list(base)
+            for _ in range(rng.randrange(6) if j else 0):
+                own[rng.randrange(120)] = f"n{rng.randrange(1 << 30)}"
+            out.append(" ".join(own))
+        out.append(" ".join(base))
+    return out
+
+
+def test_sets_that_share_a_key_share_a_meeting_in_few_rows(spark):
+    texts = families(6, 12, 7)
+    docs = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "doc_id long, text binary").repartition(4)
+    hashes, keys = WordHashes(), {}
+    for t in texts:
+        own = neardup.shingle_set(hashes.of(t.encode()), 5)
+        keys[neardup.set_key(own)[0]] = set(neardup.routing_keys(own, 80, 100).tolist())
+    counts = []
+    for n_buckets in (2, 40):
+        packs = neardup.profile(docs, 5, 80, 100, n_buckets).where("bucket IS NOT NULL").select("bucket", "keys", "ids")
+        rows = [tuple(r) for r in neardup.meetings(packs, n_buckets).collect()]
+        of = {hi: {p for p, x in rows if x == hi} for hi in keys}
+        assert all(of[a] & of[b] for a in keys for b in keys if a < b and keys[a] & keys[b])
+        counts.append(len(rows))
+    # few meetings for each set, whatever the number of buckets; exact copies have none
+    assert counts[0] == counts[1] <= 6 * len(keys)
+
+
+def test_one_home_for_each_set_and_nothing_lost(spark):
+    rng = random.Random(2)
+    met = {(p, x) for p in range(40) for x in rng.sample(range(30), rng.randrange(1, 6))} | {(p, x) for p in (50, 51, 52) for x in range(100, 130)}
+    home, mixed = neardup.homes(spark.createDataFrame(sorted(met), "p long, x long"))
+    home, mixed = ({tuple(r) for r in t.collect()} for t in (home, mixed))
+    assert len({x for _, x in home}) == len(home) and home | mixed <= met
+    pairs = lambda rows: {(a, b) for p, a in rows for q, b in rows if p == q and a < b}
+    assert pairs(home | mixed) == pairs(met)
+    # three meetings of the same members are one
+    assert sum(x >= 100 for _, x in home | mixed) == 30
+
+
+def test_near_keeps_repeated_rows_of_the_smallest_id(spark):
+    rows = [(3, PROSE), (1, PROSE), (1, PROSE), (2, PROSE + " again")]
+    kept = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.text) for r in kept] == [(1, PROSE)] * 2
