@@ -104,9 +104,12 @@ def fit_ordinal(lengths: np.ndarray, at: np.ndarray, value: np.ndarray, grade: n
         return OrdinalModel(weights, thresholds)
     row = np.repeat(np.arange(len(lengths)), lengths)
     seen = np.bincount(at, minlength=len(weights))
+    used = np.flatnonzero(seen >= min_docs)
     held = (seen >= min_docs)[at]
-    used, at = np.unique(at[held], return_inverse=True)
-    row, value = row[held], value[held]
+    place = np.cumsum(seen >= min_docs) - 1
+    row, at, value = row[held], place[at[held]], value[held]
+    # the one array of this length that the steps write to
+    part = np.empty(len(value))
     x = np.concatenate([np.zeros(len(used)), [thresholds[0]], np.log(np.diff(thresholds))])
     first, second = np.zeros_like(x), np.zeros_like(x)
     n, k = len(lengths), n_grades - 1
@@ -114,14 +117,16 @@ def fit_ordinal(lengths: np.ndarray, at: np.ndarray, value: np.ndarray, grade: n
     share /= share.sum()
     for step in range(1, steps + 1):
         w, cuts = x[: len(used)], x[len(used)] + np.concatenate([[0], np.cumsum(np.exp(x[len(used) + 1 :]))])
-        score = np.bincount(row, value * w[at], minlength=n)
+        np.multiply(np.take(w, at, out=part, mode="clip"), value, out=part)
+        score = np.bincount(row, part, minlength=n)
         below = np.where(grade > 0, sigmoid(cuts[np.maximum(grade - 1, 0)] - score), 0.0)
         upto = np.where(grade < k, sigmoid(cuts[np.minimum(grade, k - 1)] - score), 1.0)
         by_score = share * (1 - below - upto)
         p = np.maximum(upto - below, 1e-12)
         by_cut = np.bincount(np.minimum(grade, k - 1), np.where(grade < k, -share * upto * (1 - upto) / p, 0), minlength=k) + np.bincount(np.maximum(grade - 1, 0), np.where(grade > 0, share * below * (1 - below) / p, 0), minlength=k)
         tail = np.cumsum(by_cut[::-1])[::-1]
-        slope = np.concatenate([np.bincount(at, value * by_score[row], minlength=len(used)) + l2 * w, [tail[0]], tail[1:] * np.exp(x[len(used) + 1 :])])
+        np.multiply(np.take(by_score, row, out=part, mode="clip"), value, out=part)
+        slope = np.concatenate([np.bincount(at, part, minlength=len(used)) + l2 * w, [tail[0]], tail[1:] * np.exp(x[len(used) + 1 :])])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         x = x - 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     weights[used] = x[: len(used)]
@@ -144,10 +149,11 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, n_grades: int, max_train: i
             found = [sorted(own.of(t).items()) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([[x for x, _ in f] for f in found], pa.list_(pa.int32())), pa.array([[y for _, y in f] for f in found], pa.list_(pa.float64())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int64())], names=["at", "value", "grade", "id"])
 
-    rows = rated.mapInArrow(extract, "at array<int>, value array<double>, grade int, id long").toArrow().sort_by("id").combine_chunks()
-    at, value = (pa_flat(rows[name]) for name in ("at", "value"))
+    rows = rated.mapInArrow(extract, "at array<int>, value array<double>, grade int, id long").toArrow().sort_by("id")
+    at, value, grade = pa_flat(rows["at"]), pa_flat(rows["value"]), rows["grade"].to_numpy()
     lengths = np.concatenate([np.diff(c.offsets.to_numpy()) for c in rows["at"].chunks]) if rows.num_rows else np.zeros(0, np.int64)
-    return fit_ordinal(lengths, at, value, rows["grade"].to_numpy(), n_grades)
+    del rows
+    return fit_ordinal(lengths, at, value, grade, n_grades)
 
 
 def pa_flat(column) -> np.ndarray:
