@@ -23,6 +23,8 @@ REPEATS = WORDS + SHAPES
 MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 #: Bound of the labelled rows that are fitted on.
 MAX_TRAIN = 8000
+#: Features that a step of the fit works on at once.
+BLOCK = 100_000
 #: A document stays when its tail probability of the best grade reaches this.
 KEEP_FROM = 0.5
 
@@ -102,31 +104,33 @@ def fit_ordinal(lengths: np.ndarray, at: np.ndarray, value: np.ndarray, grade: n
     thresholds = np.linspace(-1.0, 1.0, n_grades - 1) if n_grades > 2 else np.zeros(1)
     if not len(lengths):
         return OrdinalModel(weights, thresholds)
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    seen = np.bincount(at, minlength=len(weights))
+    ends = np.cumsum(lengths)
+    # rows of about BLOCK features at a time, so that the steps need no array of the length of all features
+    edges = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(BLOCK, ends[-1], BLOCK)), [len(lengths)]]))
+    blocks = [(i, j, slice(ends[i] - lengths[i], ends[j - 1])) for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    seen = sum(np.bincount(at[own], minlength=len(weights)) for _, _, own in blocks)
     used = np.flatnonzero(seen >= min_docs)
-    held = (seen >= min_docs)[at]
-    place = np.cumsum(seen >= min_docs) - 1
-    row, at, value = row[held], place[at[held]], value[held]
-    # the one array of this length that the steps write to
-    part = np.empty(len(value))
     x = np.concatenate([np.zeros(len(used)), [thresholds[0]], np.log(np.diff(thresholds))])
     first, second = np.zeros_like(x), np.zeros_like(x)
     n, k = len(lengths), n_grades - 1
     share = (1 / np.bincount(grade)[grade]) ** balance
     share /= share.sum()
+    score, by_weight = np.empty(n), np.empty_like(weights)
     for step in range(1, steps + 1):
         w, cuts = x[: len(used)], x[len(used)] + np.concatenate([[0], np.cumsum(np.exp(x[len(used) + 1 :]))])
-        np.multiply(np.take(w, at, out=part, mode="clip"), value, out=part)
-        score = np.bincount(row, part, minlength=n)
+        weights[used] = w
+        for i, j, own in blocks:
+            score[i:j] = np.bincount(np.repeat(np.arange(j - i), lengths[i:j]), np.take(weights, at[own].astype(np.intp), mode="clip") * value[own], minlength=j - i)
         below = np.where(grade > 0, sigmoid(cuts[np.maximum(grade - 1, 0)] - score), 0.0)
         upto = np.where(grade < k, sigmoid(cuts[np.minimum(grade, k - 1)] - score), 1.0)
         by_score = share * (1 - below - upto)
         p = np.maximum(upto - below, 1e-12)
         by_cut = np.bincount(np.minimum(grade, k - 1), np.where(grade < k, -share * upto * (1 - upto) / p, 0), minlength=k) + np.bincount(np.maximum(grade - 1, 0), np.where(grade > 0, share * below * (1 - below) / p, 0), minlength=k)
         tail = np.cumsum(by_cut[::-1])[::-1]
-        np.multiply(np.take(by_score, row, out=part, mode="clip"), value, out=part)
-        slope = np.concatenate([np.bincount(at, part, minlength=len(used)) + l2 * w, [tail[0]], tail[1:] * np.exp(x[len(used) + 1 :])])
+        by_weight[:] = 0
+        for i, j, own in blocks:
+            np.add.at(by_weight, at[own], np.repeat(by_score[i:j], lengths[i:j]) * value[own])
+        slope = np.concatenate([by_weight[used] + l2 * w, [tail[0]], tail[1:] * np.exp(x[len(used) + 1 :])])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         x = x - 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     weights[used] = x[: len(used)]
@@ -147,18 +151,30 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, n_grades: int, max_train: i
         own = Features()
         for batch in batches:
             found = [sorted(own.of(t).items()) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([[x for x, _ in f] for f in found], pa.list_(pa.int32())), pa.array([[y for _, y in f] for f in found], pa.list_(pa.float64())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int64())], names=["at", "value", "grade", "id"])
-
-    rows = rated.mapInArrow(extract, "at array<int>, value array<double>, grade int, id long").toArrow().sort_by("id")
-    at, value, grade = pa_flat(rows["at"]), pa_flat(rows["value"]), rows["grade"].to_numpy()
-    lengths = np.concatenate([np.diff(c.offsets.to_numpy()) for c in rows["at"].chunks]) if rows.num_rows else np.zeros(0, np.int64)
-    del rows
+            # the buckets of words all have the value 1
+            yield pa.RecordBatch.from_arrays([pa.array([[x for x, _ in f] for f in found], pa.list_(pa.int32())), pa.array([[y for x, y in f if x >= WORDS] for f in found], pa.list_(pa.float64())), batch.column(1).cast(pa.int32()), batch.column(2).cast(pa.int64())], names=["at", "value", "grade", "id"])
+
+    rows = rated.mapInArrow(extract, "at array<int>, value array<double>, grade int, id long").toArrow()
+    if not rows.num_rows:
+        return fit_ordinal(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0), np.zeros(0, np.int64), n_grades)
+    order = np.argsort(rows["id"].to_numpy(), kind="stable")
+    grade, ats, values = rows["grade"].to_numpy()[order], pa_lists(rows["at"]), pa_lists(rows["value"])
+    lengths = np.array([len(ats[i]) for i in order])
+    at = np.concatenate([ats[i] for i in order])
+    value = np.ones(len(at))
+    value[at >= WORDS] = np.concatenate([values[i] for i in order])
+    # the model needs none of the collected rows any more
+    del rows, ats, values
     return fit_ordinal(lengths, at, value, grade, n_grades)
 
 
-def pa_flat(column) -> np.ndarray:
-    """All items of a list column."""
-    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]) if len(column) else np.zeros(0, np.int64)
+def pa_lists(column) -> list[np.ndarray]:
+    """The items of each row of a list column, not copied."""
+    out = []
+    for c in column.chunks:
+        items, edges = c.values.to_numpy(), c.offsets.to_numpy()
+        out += [items[i:j] for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    return out
 
 
 def score_column(spark: SparkSession, text: Column, model: OrdinalModel) -> Column:
