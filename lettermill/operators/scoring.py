@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lettermill.operators.packed import label_counts, score_sums
 from lettermill.operators.sequences import stratified_order
 from lettermill.operators.store import written
 
@@ -34,6 +35,36 @@ def of_models(rows: DataFrame, models: DataFrame, shared: list[str]) -> DataFram
     return met.select(*rows.columns, F.size("__own").alias("n_labels"), F.explode("__own").alias("__model")).select(*rows.columns, "n_labels", *[F.col(f"__model.{c}").alias(c) for c in others])
 
 
+def label_probabilities(counts: DataFrame, labels: DataFrame) -> DataFrame:
+    """As class_probabilities, from counts (label, kmer, count)."""
+    sizes = labels.groupBy("label").agg(F.count("*").alias("n"))
+    return counts.join(sizes, "label").select("label", "kmer", "count", (F.col("count") / F.col("n")).alias("probability"))
+
+
+def background_sums(sets: DataFrame, k: int, alphabet, sample: DataFrame, background: DataFrame, n: int | float = 0.25, matched: bool = False, floor: float | None = 1.0) -> tuple[DataFrame | None, DataFrame]:
+    """Scores of fit_family_scores (of matched only, else None) and background_scores, from sequence_sets() of sample and background.
+
+    Counts and sums are made group by group of packed sets, so no row is a k-mer of one
+    sequence; the weights of both results are taken up in one pass.
+    """
+    own = written(class_scores(label_probabilities(label_counts(sets, sample, k, alphabet), sample), sample))
+    other = written(class_scores(label_probabilities(label_counts(sets, background, k, alphabet), background), background))
+    chosen = top_kmers(own, n, order="probability").select("label", "kmer", "score")
+    used = chosen.drop("score").join(other.select(F.col("label").alias("background_label"), "kmer", "score"), "kmer")
+    if matched:
+        used = used.where("label = background_label")
+    keys = ("side", "label", "background_label")
+    used = used.select(F.lit(True).alias("side"), "label", "background_label", "kmer", "score")
+    if matched:
+        used = used.unionByName(chosen.select(F.lit(False).alias("side"), "label", F.lit("").alias("background_label"), "kmer", "score"))
+    totals = score_sums(sets, used, keys, k, alphabet)
+    # rows without a seq_id have no set
+    unnamed = sample.select("seq_id").unionByName(background.select("seq_id")).where("seq_id IS NULL").limit(1)
+    totals = written(totals.unionByName(of_models(unnamed, used.select(*keys), []).select(*keys, "seq_id", F.lit(0.0).alias("total"))))
+    back = normed(totals.where("side").drop("side"), ("label", "background_label"), None)
+    return normed(totals.where("NOT side").drop("side", "background_label"), ("label",), floor) if matched else None, back
+
+
 def class_scores(probabilities: DataFrame, labels: DataFrame, keys: tuple[str, ...] = (), weight: float | None = None, neg_only: bool = False) -> DataFrame:
     """probabilities on the full grid of labels and k-mers, with score = P - w * (sum of the other labels' P).
 
