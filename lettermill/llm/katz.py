@@ -4,7 +4,7 @@ Counting and scoring meet in one shuffle. Documents are dealt into groups of
 bounded size; a group asks each bucket of bigrams for the counts of its distinct
 bigrams and brings its own training counts along. Buckets hold whole contexts,
 so they know what backoff weights need; contexts too frequent for one bucket are
-spread over all and summed apart. Keys travel packed, not as rows; a bucket's table of bigrams is stored the same way.
+spread over all and summed apart. Keys travel packed, not as rows.
 """
 
 import zlib
@@ -20,8 +20,8 @@ from lettermill.llm.common import ascii_lower, materialize, mix
 
 #: Counts up to this are discounted.
 K = 5
-#: Words that a broadcast vocabulary may have (12 bytes each); beyond, score_by_joins() does the work.
-MAX_VOCABULARY = 8_000_000
+#: Words that a broadcast vocabulary may have (12 bytes each); beyond, score_by_joins() does the work. Words that the driver takes in at once.
+MAX_VOCABULARY, SLICE = 24_000_000, 2_000_000
 #: Text bytes of a group, training tokens of a bucket; a context with more than 1 / HOT of the tokens is spread over the buckets.
 GROUP_BYTES, BUCKET_TOKENS, HOT = 10_000_000, 1_000_000, 2000
 #: Stands for the end of a text; no word has a space.
@@ -71,24 +71,38 @@ class Vocabulary:
 
     def __post_init__(self):
         self.size, self.tokens = len(self.hashes), int(self.counts.sum())
+        # two more counts of 0, for the start of a text and unknown words, so no lookup copies the table
+        small = self.tokens < 1 << 32
+        self.padded = np.zeros(self.size + 2, np.uint32 if small else np.int64)
+        self.padded[: self.size] = self.counts
+        self.counts = self.padded[: self.size]
         self.start, self.unknown = self.size, self.size + 1
-        self.d = discounts([0, *(int((self.counts == r).sum()) for r in range(1, K + 2))])
-        self.left = 1.0 - float(discounted(self.counts, self.d).sum()) / max(1, self.tokens)
+        of = [0, *(int((self.counts == r).sum()) for r in range(1, K + 2))]
+        self.d = discounts(of)
+        taken = sum(r * n * (1 - float(d)) for r, (n, d) in enumerate(zip(of[: K + 1], self.d, strict=True)))
+        self.left = 1.0 - (self.tokens - taken) / max(1, self.tokens)
         self.scale = 1.0
         if self.left <= 0:
             self.left, self.scale = 1 / (self.tokens + 1), self.tokens / (self.tokens + 1)
 
+    def __getstate__(self):
+        return {k: x for k, x in self.__dict__.items() if k != "counts"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state, counts=state["padded"][: state["size"]])
+
     def probability(self, ids: np.ndarray) -> np.ndarray:
         """Unigram probability; all unknown words together have what discounts leave."""
-        counts = self.counts[np.minimum(ids, max(0, self.size - 1))] if self.size else np.zeros(len(ids), np.int64)
+        counts = self.padded[np.minimum(ids, self.unknown)].astype(np.int64)
         return np.where(ids < self.size, self.scale * discounted(counts, self.d) / max(1, self.tokens), self.left)
 
     def context_counts(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids == self.start, self.texts, np.append(self.counts, [0, 0])[np.minimum(ids, self.unknown)])
+        return np.where(ids == self.start, self.texts, self.padded[np.minimum(ids, self.unknown)].astype(np.int64))
 
     def hot(self) -> np.ndarray:
         """Ids of the contexts that are spread; fewer than HOT + 1."""
-        return np.flatnonzero(np.append(self.counts, self.texts) * HOT > self.tokens)
+        found = np.flatnonzero(self.counts > self.tokens // HOT)
+        return np.append(found, self.start) if self.texts * HOT > self.tokens else found
 
 
 def word_ids(texts: list[bytes], v: Vocabulary) -> list[np.ndarray]:
@@ -99,7 +113,7 @@ def word_ids(texts: list[bytes], v: Vocabulary) -> list[np.ndarray]:
     words = list(words)
     keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
     at = np.searchsorted(v.hashes, keys)
-    known = np.append(v.hashes, np.uint64(0))[at] == keys
+    known = v.hashes[np.minimum(at, max(0, v.size - 1))] == keys if v.size else np.zeros(len(keys), bool)
     ids = dict(zip(words, np.where(known & (at < v.size), at, v.unknown).tolist(), strict=True))
     out = []
     for text in texts:
@@ -185,13 +199,21 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), text.alias("text"))
     packed = rows.withColumn("text", F.encode("text", "UTF-8"))
     words = materialize(count_words(packed), "unigrams")
-    if words.count() > max_vocabulary:
+    n_words = words.count()
+    if n_words > max_vocabulary:
         return score_by_joins(rows)
     sizes = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.count(F.when(~F.col("held_out"), 1)).alias("texts")).first()
-    table = words.toArrow()
-    hashes, counts = table["word"].to_numpy().view(np.uint64), table["c"].to_numpy()
-    order = np.argsort(hashes)
-    v = Vocabulary(hashes[order], counts[order], sizes.texts)
+    # slices of the range of hashes in order, so the driver never holds more than one besides the vocabulary
+    top = max(0, -(-n_words // SLICE) - 1).bit_length()
+    hashes, counts = [], []
+    for i in range(1 << top):
+        table = (words.where(F.shiftrightunsigned("word", 64 - top) == i) if top else words).toArrow()
+        own = table["word"].to_numpy().view(np.uint64)
+        order = np.argsort(own)
+        hashes.append(own[order])
+        counts.append(table["c"].to_numpy()[order].astype(np.uint32 if table.num_rows and int(table["c"].to_numpy().max()) < 1 << 32 else np.int64))
+    v = Vocabulary(np.concatenate(hashes), np.concatenate(counts), sizes.texts)
+    del hashes, counts
     shared = docs.sparkSession.sparkContext.broadcast(v)
     n_groups, n_buckets = max(1, -(-(sizes.bytes or 0) // GROUP_BYTES)), max(1, -(-v.tokens // BUCKET_TOKENS))
     grouped = packed.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)))
@@ -226,22 +248,22 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         wide = np.isin(contexts, hot)
         groups = table.column("grp").to_pylist()
         cut = np.cumsum([0, *(len(k) for k, _ in parts)])
-        out = {"grp": [], "bucket": [], "counts": [], "contexts": [], "stats": [], "seen": []}
+        out = {"grp": [], "bucket": [], "counts": [], "contexts": [], "stats": []}
         for i, group in enumerate(groups):
             mine = counts[at[cut[i] : cut[i + 1]]]
             # statistics of those contexts of this group that it needs: they back off, or discounts leave them nothing; but for spread ones
             context = (parts[i][0] >> np.uint64(32)).astype(np.int64)
             used = (np.isin(contexts, context[mine == 0]) | np.isin(contexts, context) & ~stats[:, :K].any(axis=1)) & ~wide
-            for name, value in (("grp", group), ("counts", squeezed_counts(mine)), ("contexts", contexts[used].tobytes()), ("stats", stats[used].tobytes()), ("seen", None)):
+            for name, value in (("grp", group), ("counts", squeezed_counts(mine)), ("contexts", contexts[used].tobytes()), ("stats", stats[used].tobytes())):
                 out[name].append(value)
-        for name, value in (("grp", None), ("counts", squeezed_counts(counts[seen])), ("contexts", contexts[wide].tobytes()), ("stats", stats[wide].tobytes()), ("seen", squeezed(keys[seen]))):
+        for name, value in (("grp", None), ("counts", squeezed_counts(counts[seen])), ("contexts", contexts[wide].tobytes()), ("stats", stats[wide].tobytes())):
             out[name].append(value)
         out["bucket"] = [table.column("bucket")[0].as_py()] * len(out["grp"])
-        kinds = pa.schema([("grp", pa.int64()), ("bucket", pa.int64()), ("counts", pa.binary()), ("contexts", pa.binary()), ("stats", pa.binary()), ("seen", pa.binary())])
+        kinds = pa.schema([("grp", pa.int64()), ("bucket", pa.int64()), ("counts", pa.binary()), ("contexts", pa.binary()), ("stats", pa.binary())])
         return pa.table([pa.array(out[f.name], f.type) for f in kinds], schema=kinds)
 
-    # rows with grp answer a group; those without are the table of the bigrams, by bucket
-    answered = materialize(asked.groupBy("bucket").applyInArrow(answer, "grp long, bucket long, counts binary, contexts binary, stats binary, seen binary"), "bigrams")
+    # rows with grp answer a group; those without hold the counts of a bucket's bigrams and the statistics of its spread contexts
+    answered = materialize(asked.groupBy("bucket").applyInArrow(answer, "grp long, bucket long, counts binary, contexts binary, stats binary"), "bigrams")
     model = answered.where("grp IS NULL")
 
     def summed(batches: Iterator) -> Iterator:
@@ -287,7 +309,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         total = np.maximum(own.context_counts(context), 1)
         by_key = np.log10(np.where(counts > 0, scale * discounted(counts, d) / total, weight * own.probability(word)))
         every = np.concatenate(ids)
-        c = np.append(own.counts, [0, 0])[every]
+        c = own.padded[every].astype(np.int64)
         base = np.log10((c + 0.1) / (own.tokens + 0.1 * (own.size + 1)))
         first = np.cumsum([0, *(len(x) for x in ids[:-1])])
         n = np.array([len(x) for x in ids], np.int64)

@@ -98,3 +98,24 @@ def test_near_keeps_repeated_rows_of_the_smallest_id(spark):
     rows = [(3, PROSE), (1, PROSE), (1, PROSE), (2, PROSE + " again")]
     kept = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert [(r.doc_id, r.text) for r in kept] == [(1, PROSE)] * 2
+
+
+def test_katz_vocabulary_is_twelve_bytes_a_word_and_comes_in_slices(spark, monkeypatch):
+    import pickle
+
+    import numpy as np
+
+    from lettermill.llm import katz
+
+    v = katz.Vocabulary(np.arange(100_000, dtype=np.uint64), np.ones(100_000, np.int64), 5)
+    again = pickle.loads(pickle.dumps(v))
+    assert len(pickle.dumps(v)) < 12.1 * 100_000 and again.counts.tolist() == v.counts.tolist()
+    assert again.context_counts(np.array([3, again.start, again.unknown])).tolist() == [1, 5, 0]
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 97}" for j in range(40))) for i in range(60)], "doc_id long, text string")
+    whole = {r.doc_id: r.score for r in katz.katz_scores(docs).collect()}
+    monkeypatch.setattr(katz, "SLICE", 13)
+    seen = []
+    monkeypatch.setattr(katz, "materialize", lambda df, tag, make=katz.materialize: seen.append(make(df, tag)) or seen[-1])
+    assert {r.doc_id: r.score for r in katz.katz_scores(docs).collect()} == whole
+    # nothing is written that no step reads
+    assert "seen" not in seen[-1].columns
